@@ -8,7 +8,7 @@ plans.  Spark's ``round(double, 2)`` rounds the shortest decimal form half-up;
 
 from __future__ import annotations
 
-from fleetlake.plans.queries import AS_OF, DAY, FACT_NOW, LOAD1, LOAD2
+from fleetlake.plans.queries import AS_OF, DAY, FACT_NOW, FIRST_UNTIL, LOAD1, LOAD2, RANGE, SECOND_FROM
 
 
 def R2(x: str) -> str:
@@ -208,6 +208,70 @@ _REASON = """CASE WHEN coalesce(journey_type, '') <> 'journey' THEN 'not_journey
             WHEN tst IS NULL THEN 'no_tst' END"""
 
 
+def _silver_of(where: str) -> str:
+    return f"""SELECT * EXCLUDE (rn, tst, oday), strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') AS tst, CAST(oday AS DATE) AS oday
+  FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_number, tst
+                                     ORDER BY insert_time DESC, kafka_partition DESC, kafka_offset DESC) AS rn
+        FROM flat WHERE {where})
+  WHERE rn = 1"""
+
+
+JOB_LOG = """,
+jl_day AS (SELECT CAST(insert_time AS DATE) AS d, max(insert_time) AS m FROM flat GROUP BY 1),
+job_log AS (
+  SELECT 'hdw_ld' AS schema_name, 'events_ld' AS table_name, m AS max_timestamp,
+         strftime(d, '%Y-%m-%d') AS rundate, m + INTERVAL 1 HOUR AS insert_dt FROM jl_day
+  UNION ALL
+  SELECT 'hdw_stg', 'events_stg', m, strftime(d, '%Y-%m-%d'), m + INTERVAL 2 HOUR FROM jl_day
+  WHERE d < DATE '2024-01-15'
+)"""
+
+_HITS = ",\n".join(f"avg(CASE WHEN abs(dl) <= {t} THEN 1 ELSE 0 END) AS on_time_ratio_{i}"
+                    for i, t in enumerate((60, 120, 180), 1))
+
+KPI = f""",
+kin AS (SELECT tst, vehicle_number, route_id, spd, dl FROM fact WHERE dl IS NOT NULL AND abs(dl) <= 1800),
+kexp AS (
+  SELECT time_bucket(INTERVAL 30 SECOND, tst) - INTERVAL 30 SECOND * k AS window_start, kin.*
+  FROM kin CROSS JOIN range(10) AS r(k)
+),
+kpi AS (
+  SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end,
+         count(DISTINCT vehicle_number) AS active_vehicles, avg(spd) AS avg_speed,
+         {_HITS},
+         count(*) AS events, avg(spd) * 3.6 AS avg_speed_kmh
+  FROM kexp GROUP BY window_start
+),
+rwin AS (
+  SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end, route_id,
+         avg(CAST(dl AS DOUBLE)) AS avg_delay_sec, count(*) AS events_cnt
+  FROM kexp GROUP BY window_start, route_id
+)"""
+
+
+def _extremes(src: str) -> str:
+    return f"""SELECT window_start, window_end, 'worst' AS type, route_id, avg_delay_sec FROM {src}
+  QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY avg_delay_sec DESC, route_id) = 1
+  UNION ALL
+  SELECT window_start, window_end, 'best' AS type, route_id, avg_delay_sec FROM {src}
+  QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY avg_delay_sec ASC, route_id) = 1"""
+
+
+_GAUGES = {"total_active_vehicles": "CAST(active_vehicles AS DOUBLE)", "avg_speed_all": "avg_speed",
+           "pct_routes_on_time_1": "on_time_ratio_1", "pct_routes_on_time_2": "on_time_ratio_2",
+           "pct_routes_on_time_3": "on_time_ratio_3"}
+
+METRICS = KPI + f""",
+ext AS ({_extremes("(SELECT * FROM rwin WHERE events_cnt >= 2)")}),
+metrics AS (
+  {" UNION ALL ".join(f"SELECT '{g}' AS metric, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS VARCHAR) AS route_id, window_end AS ts, {e} AS value FROM kpi" for g, e in _GAUGES.items())}
+  UNION ALL
+  SELECT 'route_delay_extreme_seconds', type, route_id, window_end, avg_delay_sec FROM ext
+)"""
+
+EXTREME = "route_delay_extreme_seconds"
+
+
 def _sql() -> dict[str, str]:
     b = base()
     return {
@@ -321,6 +385,69 @@ versions AS (
 SELECT f.tst, f.vehicle_number, f.route_id, v.route_long_name, v.route_type, v.row_wid
 FROM fact f JOIN versions v
   ON f.route_id = v.route_id AND f.tst >= v.effective_start_dt AND (v.valid_to IS NULL OR f.tst < v.valid_to)""",
+        "dq_report": b + """
+SELECT 'dim_stops' AS table_name, rule, target, violations, violations = 0 AS passed FROM (
+  SELECT 'not_empty' AS rule, '' AS target, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS violations FROM dim_stops
+  UNION ALL
+  -- stop_url is dropped while staging, so one listed column is missing
+  SELECT 'columns_exist', 'stop_id,stop_name,stop_lat,stop_lon,stop_url', CAST(1 AS BIGINT)
+  UNION ALL
+  SELECT 'no_nulls', 'stop_id', count(*) FILTER (WHERE stop_id IS NULL OR stop_id = '') FROM dim_stops
+  UNION ALL
+  SELECT 'no_nulls', 'stop_lon', count(*) FILTER (WHERE stop_lon IS NULL) FROM dim_stops
+  UNION ALL
+  SELECT 'no_duplicates', 'stop_id', count(*) FILTER (WHERE c > 1) FROM (SELECT stop_id, count(*) AS c FROM dim_stops GROUP BY stop_id)
+  UNION ALL
+  SELECT 'values_in_set', 'wheelchair_boarding', count(*) FILTER (WHERE wheelchair_boarding NOT IN (0, 1, 2)) FROM dim_stops
+  UNION ALL
+  SELECT 'active_unique', 'stop_id', count(*) FILTER (WHERE c > 1)
+  FROM (SELECT stop_id, count(*) AS c FROM dim_stops WHERE active_flg = 1 GROUP BY stop_id)
+)""",
+        "dq_duplicates": """
+SELECT 'lineitem' AS table_name, 'no_duplicates' AS rule, 'l_orderkey,l_linenumber' AS target,
+       count(*) FILTER (WHERE c > 1) AS violations, count(*) FILTER (WHERE c > 1) = 0 AS passed
+FROM (SELECT l_orderkey, l_linenumber, count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
+        "joblog_last": b + JOB_LOG + """
+SELECT schema_name, table_name, max(max_timestamp) AS max_timestamp FROM job_log GROUP BY schema_name, table_name""",
+        "joblog_latest": b + JOB_LOG + """
+SELECT * FROM job_log QUALIFY row_number() OVER (PARTITION BY schema_name, table_name ORDER BY insert_dt DESC) = 1""",
+        "joblog_delete": b + JOB_LOG + """
+SELECT * FROM job_log WHERE NOT (schema_name = 'hdw_stg' AND table_name = 'events_stg')""",
+        "incremental_scan": b + JOB_LOG + """
+SELECT vehicle_number AS "key", kafka_partition AS "partition", kafka_offset AS "offset", insert_time FROM flat
+WHERE insert_time > (SELECT max(max_timestamp) FROM job_log WHERE schema_name = 'hdw_stg' AND table_name = 'events_stg')""",
+        "dedupe_dim": b + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY insert_time DESC) AS rn
+  FROM (SELECT * FROM routes_v1 UNION ALL SELECT * FROM routes_v2)
+) WHERE rn = 1""",
+        "fact_incremental": b + f""",
+ex AS ({_silver_of(f"insert_time < TIMESTAMP '{FIRST_UNTIL}'")}),
+bt AS ({_silver_of(f"insert_time > TIMESTAMP '{SECOND_FROM}'")})
+SELECT oday, vehicle_number, tst, dl FROM bt
+WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.oday = bt.oday AND ex.vehicle_number = bt.vehicle_number AND ex.tst = bt.tst)""",
+        "kpi_windows": b + KPI + "\nSELECT * FROM kpi",
+        "route_delay_windows": b + KPI + "\nSELECT * FROM rwin",
+        "latest_window": b + KPI + "\nSELECT * FROM kpi WHERE window_end = (SELECT max(window_end) FROM kpi)",
+        "route_extremes": b + KPI + f"""
+SELECT * FROM ({_extremes("(SELECT * FROM rwin WHERE events_cnt >= 2)")})""",
+        "route_extremes_latest": b + KPI + f""",
+lw AS (SELECT * FROM rwin WHERE events_cnt >= 1 AND window_end = (SELECT max(window_end) FROM rwin WHERE events_cnt >= 1))
+SELECT * FROM ({_extremes("lw")})""",
+        "metrics_long": b + METRICS + "\nSELECT * FROM metrics",
+        "metric_latest": b + METRICS + """
+SELECT metric, type, route_id, max(ts) AS ts, arg_max(value, ts) AS value FROM metrics GROUP BY metric, type, route_id""",
+        "metric_last_over": b + METRICS + f"""
+SELECT metric, type, route_id, max(ts) AS ts, arg_max(value, ts) / 60.0 AS value FROM metrics
+WHERE metric = '{EXTREME}'
+  AND ts > (SELECT max(ts) FROM metrics WHERE metric = '{EXTREME}') - INTERVAL 120 SECOND
+GROUP BY metric, type, route_id""",
+        "metric_topk": b + METRICS + f"""
+SELECT * FROM metrics WHERE metric = '{EXTREME}'
+QUALIFY row_number() OVER (PARTITION BY ts ORDER BY value DESC, type NULLS FIRST, route_id NULLS FIRST) = 1""",
+        "metric_range": b + METRICS + f"""
+SELECT * FROM metrics WHERE metric = 'avg_speed_all' AND ts >= TIMESTAMP '{RANGE[0]}' AND ts <= TIMESTAMP '{RANGE[1]}'
+ORDER BY ts""",
     }
 
 

@@ -14,14 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.operators import analytics as A
+from fleetlake.operators import dq
+from fleetlake.operators import kpi as K
+from fleetlake.operators import metrics as M
+from fleetlake.operators.joblog import delete_job_log, last_loaded, last_loaded_value, latest_job_log
 from fleetlake.operators.envelope import (
     filter_journey, flatten_envelope, journey_rejects, parse_topic_path, record_key,
 )
-from fleetlake.operators.gold import dim_as_of, join_active_dim, join_as_of, to_fact
+from fleetlake.operators.gold import dim_as_of, fact_new_rows, join_active_dim, join_as_of, to_fact
 from fleetlake.operators.scd2 import ROUTE_ATTRS, STOP_ATTRS, new_or_changed_keys, scd2_apply, scd2_close
 from fleetlake.operators.silver import (
-    ROUTES_CLEAN, STOPS_CLEAN, all_to_string, filter_delay_outliers, silver_events, stage_dim,
+    ROUTES_CLEAN, STOPS_CLEAN, all_to_string, filter_delay_outliers, incremental, silver_events, stage_dim,
 )
+from fleetlake.functions.exprs import lit_ntz
 from fleetlake.sources import fixtures as X
 
 # Fixed parameters of the registered queries.
@@ -30,6 +35,9 @@ LOAD1 = "2024-01-01 00:00:00"      # first dimension load / silver run
 LOAD2 = "2024-01-15 00:00:00"      # second dimension load
 FACT_NOW = "2024-02-01 00:00:00"   # gold run time
 AS_OF = "2024-01-10 12:00:00"      # point-in-time dimension state
+FIRST_UNTIL = "2024-01-16 00:00:00"   # first gold run read landings before this time
+SECOND_FROM = "2024-01-14 00:00:00"   # second run re-reads two overlapping days
+RANGE = ("2024-01-10 00:00:00", "2024-01-10 06:00:00")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -228,6 +236,117 @@ def q_fact_join_as_of(spark, sf):
                       ["route_long_name", "route_type", "row_wid"])
 
 
+# ---------------------------------------------------------------- data quality, job control
+STOPS_RULES = [
+    dq.not_empty(),
+    dq.columns_exist(["stop_id", "stop_name", "stop_lat", "stop_lon", "stop_url"]),
+    dq.no_nulls("stop_id"),
+    dq.no_nulls("stop_lon"),
+    dq.no_duplicates(["stop_id"]),
+    dq.values_in_set("wheelchair_boarding", [0, 1, 2]),
+    dq.active_unique(["stop_id"]),
+]
+
+
+def q_dq_report(spark, sf):
+    return dq.dq_report(dim_stops(spark, sf), STOPS_RULES, "dim_stops")
+
+
+def q_dq_duplicates(spark, sf):
+    li = X.table(spark, sf, "lineitem")
+    return dq.dq_report(li, [dq.no_duplicates(["l_orderkey", "l_linenumber"])], "lineitem")
+
+
+def job_log(spark, sf):
+    return X.job_log_from_bronze(bronze(spark, sf))
+
+
+def q_joblog_last(spark, sf):
+    return last_loaded(job_log(spark, sf))
+
+
+def q_joblog_latest(spark, sf):
+    return latest_job_log(job_log(spark, sf))
+
+
+def q_joblog_delete(spark, sf):
+    return delete_job_log(job_log(spark, sf), "hdw_stg", "events_stg")
+
+
+def q_incremental_scan(spark, sf):
+    last = last_loaded_value(job_log(spark, sf), "hdw_stg", "events_stg")
+    return incremental(bronze(spark, sf), last).select("key", "partition", "offset", "insert_time")
+
+
+def q_dedupe_dim(spark, sf):
+    part = X.table(spark, sf, "part")
+    landed = (X.landed(X.routes_file(part, 1), LOAD1, LOAD1[:10])
+              .unionByName(X.landed(X.routes_file(part, 2), LOAD2, LOAD2[:10])))
+    return stage_dim(landed, "route_id", ROUTES_CLEAN)
+
+
+def q_fact_incremental(spark, sf):
+    f = flat(spark, sf)
+    existing = to_fact(silver_events(f.filter(F.col("insert_time") < lit_ntz(FIRST_UNTIL)), LOAD1), FACT_NOW)
+    batch = to_fact(silver_events(incremental(f, SECOND_FROM), LOAD2), FACT_NOW)
+    return fact_new_rows(batch, existing).select("oday", "vehicle_number", "tst", "dl")
+
+
+# ---------------------------------------------------------------- KPIs and gauges
+def kpi_in(spark, sf):
+    return K.kpi_input(fact(spark, sf))
+
+
+def q_kpi_windows(spark, sf):
+    return K.kpi_windows(kpi_in(spark, sf))
+
+
+def q_kpi_windows_approx(spark, sf):
+    return K.kpi_windows(kpi_in(spark, sf), approx=True)
+
+
+def q_route_delay_windows(spark, sf):
+    return K.route_delay_windows(kpi_in(spark, sf))
+
+
+def q_latest_window(spark, sf):
+    return K.latest_window(K.kpi_windows(kpi_in(spark, sf)))
+
+
+def q_route_extremes(spark, sf):
+    return K.route_extremes(K.route_delay_windows(kpi_in(spark, sf)), min_events=2, latest_only=False)
+
+
+def q_route_extremes_latest(spark, sf):
+    return K.route_extremes(K.route_delay_windows(kpi_in(spark, sf)), min_events=1, latest_only=True)
+
+
+def metrics(spark, sf):
+    k = kpi_in(spark, sf)
+    ext = K.route_extremes(K.route_delay_windows(k), min_events=2, latest_only=False)
+    return M.metrics_to_long(K.kpi_windows(k), ext)
+
+
+def q_metrics_long(spark, sf):
+    return metrics(spark, sf)
+
+
+def q_metric_latest(spark, sf):
+    return M.metric_latest(metrics(spark, sf))
+
+
+def q_metric_last_over(spark, sf):
+    return M.metric_last_over(metrics(spark, sf), M.EXTREME_GAUGE, 120, None, scale=60.0)
+
+
+def q_metric_topk(spark, sf):
+    return M.metric_topk(metrics(spark, sf), M.EXTREME_GAUGE, k=1)
+
+
+def q_metric_range(spark, sf):
+    return M.metric_range(metrics(spark, sf), "avg_speed_all", *RANGE)
+
+
 QUERIES: dict[str, Query] = {
     "route_delay_top": q_route_delay_top,
     "route_density": q_route_density,
@@ -262,4 +381,23 @@ QUERIES: dict[str, Query] = {
     "dim_stops": q_dim_stops,
     "dim_as_of": q_dim_as_of,
     "fact_join_as_of": q_fact_join_as_of,
+    "dq_report": q_dq_report,
+    "dq_duplicates": q_dq_duplicates,
+    "joblog_last": q_joblog_last,
+    "joblog_latest": q_joblog_latest,
+    "joblog_delete": q_joblog_delete,
+    "incremental_scan": q_incremental_scan,
+    "dedupe_dim": q_dedupe_dim,
+    "fact_incremental": q_fact_incremental,
+    "kpi_windows": q_kpi_windows,
+    "kpi_windows_approx": q_kpi_windows_approx,
+    "route_delay_windows": q_route_delay_windows,
+    "latest_window": q_latest_window,
+    "route_extremes": q_route_extremes,
+    "route_extremes_latest": q_route_extremes_latest,
+    "metrics_long": q_metrics_long,
+    "metric_latest": q_metric_latest,
+    "metric_last_over": q_metric_last_over,
+    "metric_topk": q_metric_topk,
+    "metric_range": q_metric_range,
 }

@@ -180,3 +180,23 @@ def stops_file(part: DataFrame) -> DataFrame:
 def landed(df: DataFrame, insert_time: str, rundate: str) -> DataFrame:
     """Add the landing audit columns with an injected time (bronze dimension rows)."""
     return df.withColumn("insert_time", lit_ntz(insert_time)).withColumn("rundate", F.lit(rundate).cast("date"))
+
+
+def job_log_from_bronze(bronze: DataFrame, staged_until: str = "2024-01-15") -> DataFrame:
+    """Job-control rows of daily loads over ``bronze``.
+
+    Landing (``hdw_ld.events_ld``) logged one row per landing day with the
+    newest ``insert_time`` of that day, an hour later; staging
+    (``hdw_stg.events_stg``) ran two hours after landing, but only for days
+    before ``staged_until``.
+    """
+    hour = F.make_dt_interval(F.lit(0), F.lit(1), F.lit(0), F.lit(0))
+    per_day = bronze.groupBy(F.to_date("insert_time").alias("d")).agg(F.max("insert_time").alias("m"))
+
+    def rows(df: DataFrame, schema: str, name: str, hours: int) -> DataFrame:
+        return df.select(F.lit(schema).alias("schema_name"), F.lit(name).alias("table_name"),
+                         F.col("m").alias("max_timestamp"), F.date_format("d", "yyyy-MM-dd").alias("rundate"),
+                         (F.col("m") + hour * hours).alias("insert_dt"))
+
+    staged = per_day.filter(F.col("d") < F.lit(staged_until).cast("date"))
+    return rows(per_day, "hdw_ld", "events_ld", 1).unionByName(rows(staged, "hdw_stg", "events_stg", 2))

@@ -445,6 +445,25 @@ GROUP BY metric, type, route_id""",
         "metric_topk": b + METRICS + f"""
 SELECT * FROM metrics WHERE metric = '{EXTREME}'
 QUALIFY row_number() OVER (PARTITION BY ts ORDER BY value DESC, type NULLS FIRST, route_id NULLS FIRST) = 1""",
+        "kpi_stream": b + f""",
+sin AS (
+  SELECT strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, vehicle_number, spd, CAST(dl AS DOUBLE) AS dl
+  FROM flat WHERE dl IS NOT NULL AND abs(dl) <= 1800
+),
+sexp AS (
+  SELECT time_bucket(INTERVAL 30 SECOND, event_time) - INTERVAL 30 SECOND * k AS window_start, sin.*
+  FROM sin CROSS JOIN range(10) AS r(k)
+)
+SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end, count(*) AS events, avg(spd) AS avg_speed,
+       {_HITS}
+FROM sexp GROUP BY window_start
+-- append mode: only windows closed by the final watermark (max event time - 1 minute)
+HAVING window_start + INTERVAL 300 SECOND <= (SELECT max(event_time) FROM sin) - INTERVAL 1 MINUTE""",
+        "stream_landing": b + """
+SELECT vehicle_number AS "key", kafka_partition AS "partition", kafka_offset AS "offset",
+       insert_time - INTERVAL 1 SECOND - CASE WHEN insert_time - INTERVAL 2 SECOND > strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ')
+                                              THEN INTERVAL 1 SECOND ELSE INTERVAL 0 SECOND END AS "timestamp"
+FROM flat""",
         "metric_range": b + METRICS + f"""
 SELECT * FROM metrics WHERE metric = 'avg_speed_all' AND ts >= TIMESTAMP '{RANGE[0]}' AND ts <= TIMESTAMP '{RANGE[1]}'
 ORDER BY ts""",

@@ -347,6 +347,44 @@ def q_metric_range(spark, sf):
     return M.metric_range(metrics(spark, sf), "avg_speed_all", *RANGE)
 
 
+# ---------------------------------------------------------------- streaming
+def _raw_feed(spark, sf) -> str:
+    """Bronze records of ``events`` written once as immutable raw files (the replayable feed)."""
+    import uuid
+
+    from fleetlake.session import shared_dir
+
+    root = shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex)
+    bronze(spark, sf).drop("insert_time").write.parquet(f"{root}/raw")
+    return root
+
+
+def q_kpi_stream(spark, sf):
+    """Stream the raw feed through the watermarked sliding KPIs (availableNow), read the sink back."""
+    from fleetlake.sources.kafka import read_events_stream
+    from fleetlake.streaming.kpi_stream import kpi_stream, stream_positions
+
+    root = _raw_feed(spark, sf)
+    src = read_events_stream(spark, "files", path=f"{root}/raw")
+    q = (kpi_stream(stream_positions(src)).writeStream.outputMode("append").format("parquet")
+         .option("path", f"{root}/kpi").option("checkpointLocation", f"{root}/chk")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/kpi").select(
+        "window_start", "window_end", "events", "avg_speed", "on_time_ratio_1", "on_time_ratio_2", "on_time_ratio_3")
+
+
+def q_stream_landing(spark, sf):
+    """Land the raw feed through the idempotent foreachBatch sink, read bronze back."""
+    from fleetlake.sources.kafka import read_events_stream
+    from fleetlake.streaming.landing import start_landing
+
+    root = _raw_feed(spark, sf)
+    src = read_events_stream(spark, "files", path=f"{root}/raw", max_files_per_trigger=2)
+    start_landing(src, f"{root}/bronze", f"{root}/chk", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{root}/bronze").select("key", "partition", "offset", "timestamp")
+
+
 QUERIES: dict[str, Query] = {
     "route_delay_top": q_route_delay_top,
     "route_density": q_route_density,
@@ -400,4 +438,6 @@ QUERIES: dict[str, Query] = {
     "metric_last_over": q_metric_last_over,
     "metric_topk": q_metric_topk,
     "metric_range": q_metric_range,
+    "kpi_stream": q_kpi_stream,
+    "stream_landing": q_stream_landing,
 }

@@ -461,9 +461,17 @@ FROM sexp GROUP BY window_start
 HAVING window_start + INTERVAL 300 SECOND <= (SELECT max(event_time) FROM sin) - INTERVAL 1 MINUTE""",
         "stream_landing": b + """
 SELECT vehicle_number AS "key", kafka_partition AS "partition", kafka_offset AS "offset",
-       insert_time - INTERVAL 1 SECOND - CASE WHEN insert_time - INTERVAL 2 SECOND > strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ')
-                                              THEN INTERVAL 1 SECOND ELSE INTERVAL 0 SECOND END AS "timestamp"
+       strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') + INTERVAL 1 SECOND AS "timestamp"
 FROM flat""",
+        "events_chain": b + f""",
+run1 AS ({_silver_of(f"insert_time < TIMESTAMP '{FIRST_UNTIL}'")}),
+run2 AS ({_silver_of(f"insert_time > (SELECT max(insert_time) FROM flat WHERE insert_time < TIMESTAMP '{FIRST_UNTIL}')")})
+SELECT oday, vehicle_number, tst, dl, TIMESTAMP '{LOAD2}' AS insert_time FROM run1
+UNION ALL
+SELECT oday, vehicle_number, tst, dl, TIMESTAMP '{FACT_NOW}' AS insert_time FROM run2
+WHERE NOT EXISTS (SELECT 1 FROM run1 WHERE run1.oday = run2.oday AND run1.vehicle_number = run2.vehicle_number
+                  AND run1.tst = run2.tst)""",
+        "routes_chain": b + f"\nSELECT {DIM_OUT} FROM dim2",
         "metric_range": b + METRICS + f"""
 SELECT * FROM metrics WHERE metric = 'avg_speed_all' AND ts >= TIMESTAMP '{RANGE[0]}' AND ts <= TIMESTAMP '{RANGE[1]}'
 ORDER BY ts""",

@@ -385,6 +385,38 @@ def q_stream_landing(spark, sf):
     return spark.read.parquet(f"{root}/bronze").select("key", "partition", "offset", "timestamp")
 
 
+# ---------------------------------------------------------------- chains
+def q_events_chain(spark, sf):
+    """Two incremental runs and a rerun of bronze -> silver -> gold; the fact as finally stored."""
+    import uuid
+
+    from fleetlake.plans.chains import run_events
+    from fleetlake.session import shared_dir
+    from fleetlake.sinks import TableStore
+
+    store = TableStore(spark, shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex))
+    b = bronze(spark, sf)
+    run_events(spark, store, b.filter(F.col("insert_time") < lit_ntz(FIRST_UNTIL)), now=LOAD2, rundate=LOAD2[:10])
+    run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
+    run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
+    return store.read("fact_vehicle_position").select("oday", "vehicle_number", "tst", "dl", "insert_time")
+
+
+def q_routes_chain(spark, sf):
+    """Two dimension files through landing, staging and SCD2; the dimension as finally stored."""
+    import uuid
+
+    from fleetlake.plans.chains import run_routes
+    from fleetlake.session import shared_dir
+    from fleetlake.sinks import TableStore
+
+    store = TableStore(spark, shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex))
+    part = X.table(spark, sf, "part")
+    run_routes(spark, store, X.landed(X.routes_file(part, 1), LOAD1, LOAD1[:10]), now=LOAD1, rundate=LOAD1[:10])
+    run_routes(spark, store, X.landed(X.routes_file(part, 2), LOAD2, LOAD2[:10]), now=LOAD2, rundate=LOAD2[:10])
+    return store.read("dim_routes").select(*_DIM_OUT)
+
+
 QUERIES: dict[str, Query] = {
     "route_delay_top": q_route_delay_top,
     "route_density": q_route_density,
@@ -440,4 +472,6 @@ QUERIES: dict[str, Query] = {
     "metric_range": q_metric_range,
     "kpi_stream": q_kpi_stream,
     "stream_landing": q_stream_landing,
+    "events_chain": q_events_chain,
+    "routes_chain": q_routes_chain,
 }

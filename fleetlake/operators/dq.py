@@ -63,38 +63,40 @@ def _dup_keys(df: DataFrame, keys: Sequence[str]):
 def dq_report(df: DataFrame, rules: Sequence[Rule], table_name: str = "") -> DataFrame:
     spark = df.sparkSession
     types = dict((f.name, f.dataType) for f in df.schema.fields)
-    col_aggs, rows = [], []
+
+    def row(r: Rule, v) -> list:
+        return [F.lit(table_name).alias("table_name"), F.lit(r.kind).alias("rule"), F.lit(r.target).alias("target"),
+                v.cast("bigint").alias("violations")]
+
+    col_aggs, parts = [], []
     for i, r in enumerate(rules):
         if r.kind == "not_empty":
-            col_aggs.append((i, (F.count(F.lit(1)) == 0).cast("bigint")))
+            col_aggs.append((i, r, F.count(F.lit(1)) == 0))
         elif r.kind == "no_nulls":
             bad = F.col(r.column).isNull()
             if isinstance(types.get(r.column), StringType):
                 bad = bad | (F.col(r.column) == "")
-            col_aggs.append((i, F.count_if(bad)))
+            col_aggs.append((i, r, F.count_if(bad)))
         elif r.kind == "values_in_set":
-            col_aggs.append((i, F.count_if(~F.col(r.column).isin(list(r.values)))))
+            col_aggs.append((i, r, F.count_if(~F.col(r.column).isin(list(r.values)))))
         elif r.kind == "columns_exist":
             missing = [c for c in r.columns if c not in df.columns]
-            rows.append(spark.range(1).select(F.lit(i).alias("i"), F.lit(len(missing)).cast("bigint").alias("v")))
+            parts.append(spark.range(1).select(*row(r, F.lit(len(missing)))))
         elif r.kind == "no_duplicates":
-            rows.append(_dup_keys(df, r.columns).select(F.lit(i).alias("i"), F.col("v").cast("bigint")))
+            parts.append(_dup_keys(df, r.columns).select(*row(r, F.col("v"))))
         elif r.kind == "active_unique":
-            rows.append(_dup_keys(df.filter(F.col("active_flg") == 1), r.columns)
-                        .select(F.lit(i).alias("i"), F.col("v").cast("bigint")))
+            parts.append(_dup_keys(df.filter(F.col("active_flg") == 1), r.columns).select(*row(r, F.col("v"))))
         else:
             raise ValueError(f"unknown rule {r.kind}")
     if col_aggs:
-        one = df.agg(*[a.cast("bigint").alias(f"r{i}") for i, a in col_aggs])
-        rows.append(one.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("i"), F.col(f"r{i}").alias("v")) for i, _ in col_aggs])).alias("x")).select("x.*"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    meta = spark.createDataFrame([(i, r.kind, r.target) for i, r in enumerate(rules)], "i int, rule string, target string")
-    return (out.join(F.broadcast(meta), "i")
-            .select(F.lit(table_name).alias("table_name"), "rule", "target",
-                    F.col("v").alias("violations"), (F.col("v") == 0).alias("passed")))
+        # one scan computes every column rule; the single result row is then unpacked
+        one = df.agg(*[a.cast("bigint").alias(f"r{i}") for i, _, a in col_aggs])
+        parts.append(one.select(F.explode(F.array(*[F.struct(*row(r, F.col(f"r{i}"))) for i, r, _ in col_aggs]))
+                                .alias("x")).select("x.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("passed", F.col("violations") == 0)
 
 
 def dq_enforce(report: DataFrame) -> None:

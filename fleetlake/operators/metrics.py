@@ -56,15 +56,16 @@ def metric_last_over(metrics: DataFrame, name: str, lookback_s: int, at: str | _
     """``last_over_time(name[lookback]) / scale`` evaluated at ``at``.
 
     ``at=None`` evaluates at the gauge's newest sample ("now" on a live
-    dashboard); that time is a one-row aggregate joined back, not collected.
+    dashboard): one scalar from a one-row aggregate, used as a literal so the
+    time filter is pushed down like any other.
     """
     m = _upto(metrics, name, at)
     if at is None:
-        now = m.agg(F.max("ts").alias("_at"))
-        m = m.join(F.broadcast(now), (F.col("ts") <= F.col("_at"))
-                   & (F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), F.col("_at"))), "left_semi")
-    else:
-        m = m.filter(F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), lit_ntz(at)))
+        at = m.agg(F.max("ts").alias("_at")).first()["_at"]
+        if at is None:
+            return m.select(*SERIES, "ts", "value").limit(0)
+        m = m.filter(F.col("ts") <= lit_ntz(at))
+    m = m.filter(F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), lit_ntz(at)))
     return (m.groupBy(*SERIES).agg(F.max_by(F.struct("ts", "value"), "ts").alias("s"))
             .select(*SERIES, "s.ts", (F.col("s.value") / scale).alias("value")))
 

@@ -23,8 +23,20 @@ KAFKA_TOPIC = "hsl_stream"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split input over the cluster's cores.
+
+    A small table stored as one row group reads as one task, and everything
+    up to the first shuffle (JSON encoding and parsing here) would then run
+    single-threaded.  Inputs already split at least ``defaultParallelism``
+    ways (every large table) are returned untouched, so they pay no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _vp_columns(e: DataFrame, resent: Column) -> DataFrame:

@@ -479,3 +479,6 @@ ORDER BY ts""",
 
 
 ORACLE_SQL: dict[str, str] = _sql()
+# the SQL surface answers the same questions as the DataFrame reports
+for _k in ("route_delay_top", "route_density", "partition_distribution"):
+    ORACLE_SQL[f"sql_{_k}"] = ORACLE_SQL[_k]

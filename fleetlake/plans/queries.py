@@ -417,6 +417,34 @@ def q_routes_chain(spark, sf):
     return store.read("dim_routes").select(*_DIM_OUT)
 
 
+# ---------------------------------------------------------------- SQL surface
+def _sql_views(spark, sf):
+    from fleetlake.plans.sql import register_star_schema
+
+    register_star_schema(spark, fact=fact(spark, sf), dim_routes=dim_routes(spark, sf), bronze=bronze(spark, sf))
+
+
+def q_sql_route_delay_top(spark, sf):
+    from fleetlake.plans import sql as S
+
+    _sql_views(spark, sf)
+    return S.run(spark, S.ROUTE_DELAY_TOP, day=DAY, n=10)
+
+
+def q_sql_route_density(spark, sf):
+    from fleetlake.plans import sql as S
+
+    _sql_views(spark, sf)
+    return S.run(spark, S.ROUTE_DENSITY, day=DAY, n=10)
+
+
+def q_sql_partition_distribution(spark, sf):
+    from fleetlake.plans import sql as S
+
+    _sql_views(spark, sf)
+    return S.run(spark, S.PARTITION_DISTRIBUTION)
+
+
 QUERIES: dict[str, Query] = {
     "route_delay_top": q_route_delay_top,
     "route_density": q_route_density,
@@ -474,4 +502,7 @@ QUERIES: dict[str, Query] = {
     "stream_landing": q_stream_landing,
     "events_chain": q_events_chain,
     "routes_chain": q_routes_chain,
+    "sql_route_delay_top": q_sql_route_delay_top,
+    "sql_route_density": q_sql_route_density,
+    "sql_partition_distribution": q_sql_partition_distribution,
 }

@@ -21,12 +21,23 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(app: str = "fleetlake", master: str | None = None, **conf: str) -> SparkSession:
-    """Build or reuse a session with UTC, AQE and fixed shuffle width."""
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def get_spark(app: str = "fleetlake", master: str | None = None, *, state_store: str = "default",
+              **conf: str) -> SparkSession:
+    """Build or reuse a session with UTC, AQE and fixed shuffle width.
+
+    ``state_store="rocksdb"`` keeps streaming state off the JVM heap, for
+    windows over many vehicles or long watermarks.  Extra settings are passed
+    as keywords with ``__`` for dots.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     merged = {**DEFAULT_CONF, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
+    if state_store == "rocksdb":
+        merged["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     for key, value in merged.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

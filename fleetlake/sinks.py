@@ -93,3 +93,24 @@ def observed_write(df: DataFrame, write, name: str = "write") -> dict:
     t0 = time.time()
     write(df.observe(obs, F.count(F.lit(1)).alias("rows_written")))
     return {"rows_written": obs.get.get("rows_written", 0), "execution_ms": int((time.time() - t0) * 1000)}
+
+
+def init_tables(store: TableStore, reset: bool = False) -> list[str]:
+    """Create the job log and both dimensions as empty typed tables (K8).
+
+    Existing tables are left alone unless ``reset``; a reset writes an empty
+    new snapshot (dimensions) or an empty log, never drop-then-create.
+    Returns the names created or reset.
+    """
+    from fleetlake.schemas import DIM_ROUTES_SCHEMA, DIM_STOPS_SCHEMA, JOB_LOG_SCHEMA
+
+    spark, done = store.spark, []
+    for name, schema, refresh in (("job_control", JOB_LOG_SCHEMA, False),
+                                  ("dim_routes", DIM_ROUTES_SCHEMA, True),
+                                  ("dim_stops", DIM_STOPS_SCHEMA, True)):
+        if store.exists(name) and not reset:
+            continue
+        empty = spark.createDataFrame([], schema)
+        store.write_refresh(name, empty) if refresh else store.overwrite(name, empty)
+        done.append(name)
+    return done

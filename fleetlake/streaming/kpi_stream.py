@@ -32,9 +32,13 @@ def _ntz_windows(df: DataFrame) -> DataFrame:
 
 
 def kpi_stream(positions: DataFrame, watermark: str = "1 minute", window_s: int = 300, slide_s: int = 30,
-               approx: bool = True) -> DataFrame:
-    """Sliding KPIs; append mode emits a window once the watermark passes its end."""
-    wm = positions.withWatermark("event_time", watermark)
+               approx: bool = True, dedupe: bool = False) -> DataFrame:
+    """Sliding KPIs; append mode emits a window once the watermark passes its end.
+
+    ``dedupe=True`` first drops repeated reports of a vehicle at the same
+    instant within the watermark, so re-sent messages are not counted twice.
+    """
+    wm = dedupe_stream(positions, watermark=watermark) if dedupe else positions.withWatermark("event_time", watermark)
     return _ntz_windows(K.kpi_windows(wm, ts="event_time", window_s=window_s, slide_s=slide_s,
                                       approx=approx, method="window"))
 

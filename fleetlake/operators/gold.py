@@ -34,16 +34,24 @@ def to_fact(silver: DataFrame, now: str | _dt.datetime) -> DataFrame:
 
 
 def fact_new_rows(batch: DataFrame, existing: DataFrame,
-                  key: Sequence[str] = ("vehicle_number", "tst"), partition_col: str = "oday") -> DataFrame:
+                  key: Sequence[str] = ("vehicle_number", "tst"), partition_col: str = "oday",
+                  max_days: int = 10_000) -> DataFrame:
     """Rows of ``batch`` not yet in the fact: the idempotent append set (K6).
 
-    The anti-join carries the partition column, so the existing side is read
-    only for the days the batch touches: Spark's dynamic partition pruning
-    filters a day-partitioned fact table by the batch's days.
+    The days the batch touches are fetched first: a list with one value per
+    day, not data.  Filtering the existing fact on its partition column with
+    that list is static partition pruning, so only the touched ``oday=``
+    directories are listed and read.  Beyond ``max_days`` the days stay a
+    semi-join instead of a literal list.
     """
     keys = [partition_col, *key]
     touched = batch.select(partition_col).distinct()
-    old = existing.select(*keys).join(touched, partition_col, "left_semi")
+    days = [r[0] for r in touched.limit(max_days + 1).collect()]
+    old = existing.select(*keys)
+    if len(days) <= max_days:
+        old = old.filter(F.col(partition_col).isin(days))
+    else:
+        old = old.join(touched, partition_col, "left_semi")
     return batch.join(old, keys, "left_anti")
 
 

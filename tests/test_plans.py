@@ -53,3 +53,17 @@ def test_no_python_evaluation_in_any_registered_query(spark):
 def test_dedupe_is_a_partial_aggregate_not_a_window(spark):
     plan = _plan(Q.silver(spark, SF))
     assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_fact_append_reads_only_touched_days(spark, fact_table):
+    from pyspark.sql import functions as F
+
+    from fleetlake.operators.gold import fact_new_rows
+    existing = spark.read.parquet(fact_table)
+    batch = Q.fact(spark, SF).filter(F.col("insert_time").isNotNull())   # days not known statically
+    days = sorted(r[0] for r in batch.select("oday").distinct().collect())
+    one_day = batch.filter(F.col("tst") < F.lit(str(days[1])).cast("timestamp_ntz"))
+    plan = _plan(fact_new_rows(one_day, existing))
+    filters = [ln.split("PartitionFilters: [")[1].split("]")[0] for ln in plan.split("\n")
+               if "FileScan" in ln and "PartitionFilters: [" in ln]
+    assert any("oday" in f for f in filters)

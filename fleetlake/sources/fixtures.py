@@ -31,8 +31,12 @@ def spread(df: DataFrame) -> DataFrame:
     single-threaded.  Inputs already split at least ``defaultParallelism``
     ways (every large table) are returned untouched, so they pay no shuffle.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect) keep the input as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

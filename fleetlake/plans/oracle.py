@@ -8,7 +8,7 @@ plans.  Spark's ``round(double, 2)`` rounds the shortest decimal form half-up;
 
 from __future__ import annotations
 
-from fleetlake.plans.queries import AS_OF, DAY, FACT_NOW, FIRST_UNTIL, LOAD1, LOAD2, RANGE, SECOND_FROM
+from fleetlake.plans.queries import AS_OF, DAY, FACT_NOW, FIRST_UNTIL, LOAD1, LOAD2, RANGE, REPLAY, SECOND_FROM
 
 
 def R2(x: str) -> str:
@@ -459,6 +459,37 @@ SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end, count(*)
 FROM sexp GROUP BY window_start
 -- append mode: only windows closed by the final watermark (max event time - 1 minute)
 HAVING window_start + INTERVAL 300 SECOND <= (SELECT max(event_time) FROM sin) - INTERVAL 1 MINUTE""",
+        "route_delay_stream": b + f""",
+sin AS (
+  SELECT strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, route_id, CAST(dl AS DOUBLE) AS dl
+  FROM flat WHERE dl IS NOT NULL AND abs(dl) <= 1800
+),
+sexp AS (
+  SELECT time_bucket(INTERVAL 30 SECOND, event_time) - INTERVAL 30 SECOND * k AS window_start, sin.*
+  FROM sin CROSS JOIN range(10) AS r(k)
+)
+SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end, route_id,
+       avg(dl) AS avg_delay_sec, count(*) AS events_cnt
+FROM sexp GROUP BY window_start, route_id
+HAVING window_start + INTERVAL 300 SECOND <= (SELECT max(event_time) FROM sin) - INTERVAL 1 MINUTE""",
+        "kpi_stream_dedupe": b + f""",
+sin AS (
+  SELECT DISTINCT strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, vehicle_number, spd
+  FROM flat WHERE dl IS NOT NULL AND abs(dl) <= 1800
+),
+sexp AS (
+  SELECT time_bucket(INTERVAL 30 SECOND, event_time) - INTERVAL 30 SECOND * k AS window_start, sin.*
+  FROM sin CROSS JOIN range(10) AS r(k)
+)
+SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end, count(*) AS events, avg(spd) AS avg_speed
+FROM sexp GROUP BY window_start
+HAVING window_start + INTERVAL 300 SECOND <= (SELECT max(event_time) FROM sin) - INTERVAL 1 MINUTE""",
+        "replay_window": b + f"""
+SELECT vehicle_number AS "key", kafka_partition AS "partition", kafka_offset AS "offset",
+       strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') + INTERVAL 1 SECOND AS "timestamp"
+FROM flat
+WHERE strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') + INTERVAL 1 SECOND >= TIMESTAMP '{REPLAY[0]}'
+  AND strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') + INTERVAL 1 SECOND < TIMESTAMP '{REPLAY[1]}'""",
         "stream_landing": b + """
 SELECT vehicle_number AS "key", kafka_partition AS "partition", kafka_offset AS "offset",
        strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') + INTERVAL 1 SECOND AS "timestamp"

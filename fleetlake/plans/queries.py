@@ -38,6 +38,7 @@ AS_OF = "2024-01-10 12:00:00"      # point-in-time dimension state
 FIRST_UNTIL = "2024-01-16 00:00:00"   # first gold run read landings before this time
 SECOND_FROM = "2024-01-14 00:00:00"   # second run re-reads two overlapping days
 RANGE = ("2024-01-10 00:00:00", "2024-01-10 06:00:00")
+REPLAY = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -374,6 +375,43 @@ def q_kpi_stream(spark, sf):
         "window_start", "window_end", "events", "avg_speed", "on_time_ratio_1", "on_time_ratio_2", "on_time_ratio_3")
 
 
+def _stream_to_parquet(df, root: str, name: str) -> str:
+    q = (df.writeStream.outputMode("append").format("parquet")
+         .option("path", f"{root}/{name}").option("checkpointLocation", f"{root}/chk_{name}")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return f"{root}/{name}"
+
+
+def q_route_delay_stream(spark, sf):
+    """Per-route sliding delays on the stream (A4 streaming form), closed windows only."""
+    from fleetlake.sources.kafka import read_events_stream
+    from fleetlake.streaming.kpi_stream import route_delay_stream, stream_positions
+
+    root = _raw_feed(spark, sf)
+    src = read_events_stream(spark, "files", path=f"{root}/raw")
+    return spark.read.parquet(_stream_to_parquet(route_delay_stream(stream_positions(src)), root, "route_delay"))
+
+
+def q_kpi_stream_dedupe(spark, sf):
+    """KPI stream with re-sent reports dropped inside the watermark (X7); copy-independent columns."""
+    from fleetlake.sources.kafka import read_events_stream
+    from fleetlake.streaming.kpi_stream import kpi_stream, stream_positions
+
+    root = _raw_feed(spark, sf)
+    src = read_events_stream(spark, "files", path=f"{root}/raw")
+    out = _stream_to_parquet(kpi_stream(stream_positions(src), dedupe=True), root, "kpi")
+    return spark.read.parquet(out).select("window_start", "window_end", "events", "avg_speed")
+
+
+def q_replay_window(spark, sf):
+    """Deterministic replay of one week of the immutable raw feed."""
+    from fleetlake.sources.kafka import replay
+
+    root = _raw_feed(spark, sf)
+    return replay(spark, f"{root}/raw", REPLAY[0], REPLAY[1]).select("key", "partition", "offset", "timestamp")
+
+
 def q_stream_landing(spark, sf):
     """Land the raw feed through the idempotent foreachBatch sink, read bronze back."""
     from fleetlake.sources.kafka import read_events_stream
@@ -500,6 +538,9 @@ QUERIES: dict[str, Query] = {
     "metric_range": q_metric_range,
     "kpi_stream": q_kpi_stream,
     "stream_landing": q_stream_landing,
+    "route_delay_stream": q_route_delay_stream,
+    "kpi_stream_dedupe": q_kpi_stream_dedupe,
+    "replay_window": q_replay_window,
     "events_chain": q_events_chain,
     "routes_chain": q_routes_chain,
     "sql_route_delay_top": q_sql_route_delay_top,

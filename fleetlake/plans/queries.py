@@ -45,7 +45,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---------------------------------------------------------------- layers
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return X.table(spark, sf, "events")
+    # the feed carries the JSON work, so it is spread over the cores when under-split
+    return X.spread(X.table(spark, sf, "events"))
 
 
 def bronze(spark: SparkSession, sf: str, **kw) -> DataFrame:

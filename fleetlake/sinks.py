@@ -23,30 +23,32 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def exists(self, name: str) -> bool:
-        # local paths only are probed directly; other schemes are probed by reading
-        p = self.path(name)
+    def _exists(self, p: str) -> bool:
+        # local paths are probed directly; cluster paths (hdfs://, s3a://, ...) by resolving a read
         if "://" not in p or p.startswith("file:"):
-            return os.path.exists(p.replace("file:", ""))
+            return os.path.exists(p.replace("file://", "").replace("file:", ""))
         try:
             self.spark.read.parquet(p).limit(0).collect()
             return True
-        except Exception:  # noqa: BLE001
+        except Exception:  # noqa: BLE001 - missing path
             return False
 
+    def exists(self, name: str) -> bool:
+        return self._exists(self.path(name))
+
     # ------------------------------------------------------------ snapshot tables
     def _manifest(self, name: str) -> str:
         return f"{self.path(name)}/_snapshots"
 
     def current_snapshot(self, name: str) -> int | None:
-        if not self.exists(name):
+        if not self._exists(self._manifest(name)):
             return None
         row = self.spark.read.parquet(self._manifest(name)).agg(F.max("snapshot").alias("m")).first()
         return row["m"]
 
     def read(self, name: str) -> DataFrame:
         """The newest complete snapshot of a refreshed table, or an append table as a whole."""
-        snap = self.current_snapshot(name) if os.path.exists(self._manifest(name).replace("file:", "")) else None
+        snap = self.current_snapshot(name)
         if snap is None:
             return self.spark.read.parquet(self.path(name))
         # partition filter on a literal: only that snapshot's directory is listed and read
@@ -55,7 +57,7 @@ class TableStore:
 
     def write_refresh(self, name: str, df: DataFrame) -> int:
         """Full refresh without drop-first (K5): new snapshot, then manifest entry."""
-        prev = self.current_snapshot(name) if os.path.exists(self._manifest(name).replace("file:", "")) else None
+        prev = self.current_snapshot(name)
         snap = 0 if prev is None else prev + 1
         df.write.mode("overwrite").parquet(f"{self.path(name)}/snapshot={snap}")
         (self.spark.range(1).select(F.lit(snap).cast("bigint").alias("snapshot"),

@@ -40,13 +40,24 @@ def _log(store: TableStore, schema: str, table: str, max_ts, rundate, now) -> No
 
 
 def run_events(spark: SparkSession, store: TableStore, bronze: DataFrame, *, now, rundate) -> dict:
-    """Landing rows newer than the last staged load -> silver snapshot -> idempotent fact append."""
+    """Landing rows newer than the last staged load -> silver snapshot -> idempotent fact append.
+
+    Silver is computed once: written, audited on the written files, then
+    published; the fact step reads the published snapshot.
+    """
     last = last_loaded_value(job_log(store), "hdw_stg", "events_stg")
     silver = silver_events(flatten_envelope(incremental(bronze, last)), now)
-    if silver.isEmpty():
+    rules = [dq.no_nulls("vehicle_number"), dq.no_duplicates(["vehicle_number", "tst"])]
+
+    def audit(written: DataFrame) -> None:
+        if written.isEmpty():
+            raise _NothingNew
+        dq.check(written, rules, "events_stg")
+
+    try:
+        stats = {"silver": observed_write(silver, lambda d: store.write_refresh("events_stg", d, audit))}
+    except _NothingNew:
         return {"silver_rows": 0, "fact_rows": 0}
-    dq.check(silver, [dq.no_nulls("vehicle_number"), dq.no_duplicates(["vehicle_number", "tst"])], "events_stg")
-    stats = {"silver": observed_write(silver, lambda d: store.write_refresh("events_stg", d))}
     stg = store.read("events_stg")
     max_read = stg.agg(F.max("insert_time").alias("m")).first()["m"]
     _log(store, "hdw_stg", "events_stg", max_read, rundate, now)
@@ -59,6 +70,10 @@ def run_events(spark: SparkSession, store: TableStore, bronze: DataFrame, *, now
     return stats
 
 
+class _NothingNew(Exception):
+    """No landing rows newer than the last load: the snapshot is not published."""
+
+
 def _run_dim(store: TableStore, landed: DataFrame, *, name: str, key: str, spec: dict, attrs, expected,
              extra_rules, now, rundate, null_safe: bool = True) -> dict:
     land = f"{name}_ld"
@@ -68,15 +83,16 @@ def _run_dim(store: TableStore, landed: DataFrame, *, name: str, key: str, spec:
 
     last = last_loaded_value(job_log(store), "hdw_stg", f"{name}_stg")
     staged = stage_dim(incremental(store.read(land), last), key, spec)
-    dq.check(staged, [dq.not_empty(), dq.no_duplicates([key]), *extra_rules], f"{name}_stg")
-    stats["staging"] = observed_write(staged, lambda d: store.write_refresh(f"{name}_stg", d))
+    stg_rules = [dq.not_empty(), dq.no_duplicates([key]), *extra_rules]
+    stats["staging"] = observed_write(staged, lambda d: store.write_refresh(
+        f"{name}_stg", d, lambda w: dq.check(w, stg_rules, f"{name}_stg")))
     stg = store.read(f"{name}_stg")
     _log(store, "hdw_stg", f"{name}_stg", stg.agg(F.max("insert_time")).first()[0], rundate, now)
 
     current = store.read(f"dim_{name}") if store.exists(f"dim_{name}") else None
     nxt = scd2_apply(current, stg, key, attrs, now, null_safe=null_safe)
-    stats["dim"] = observed_write(nxt, lambda d: store.write_refresh(f"dim_{name}", d))
-    dq.check(store.read(f"dim_{name}"), [dq.active_unique([key])], f"dim_{name}")
+    stats["dim"] = observed_write(nxt, lambda d: store.write_refresh(
+        f"dim_{name}", d, lambda w: dq.check(w, [dq.active_unique([key])], f"dim_{name}")))
     _log(store, "hdw", f"dim_{name}", stg.agg(F.max("insert_time")).first()[0], rundate, now)
     return stats
 

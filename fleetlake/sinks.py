@@ -55,11 +55,20 @@ class TableStore:
         return (self.spark.read.option("basePath", self.path(name)).parquet(f"{self.path(name)}/snapshot={snap}")
                 .drop("snapshot"))
 
-    def write_refresh(self, name: str, df: DataFrame) -> int:
-        """Full refresh without drop-first (K5): new snapshot, then manifest entry."""
+    def write_refresh(self, name: str, df: DataFrame, audit=None) -> int:
+        """Full refresh without drop-first (K5): write, audit, publish.
+
+        The snapshot's files are written once; ``audit(written_df)`` (e.g. DQ
+        rules) then runs on those files instead of recomputing ``df``, and
+        only if it passes is the manifest entry appended that makes the
+        snapshot visible.  A failed audit leaves the previous snapshot current.
+        """
         prev = self.current_snapshot(name)
         snap = 0 if prev is None else prev + 1
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/snapshot={snap}")
+        path = f"{self.path(name)}/snapshot={snap}"
+        df.write.mode("overwrite").parquet(path)
+        if audit is not None:
+            audit(self.spark.read.parquet(path))
         (self.spark.range(1).select(F.lit(snap).cast("bigint").alias("snapshot"),
                                     F.current_timestamp().alias("committed_at"))
          .write.mode("append").parquet(self._manifest(name)))

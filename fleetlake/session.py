@@ -52,7 +52,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="fleetlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # noqa: BLE001 - sessions that reject core confs still have the context setting
+            pass
     path = os.path.join(base, *parts) if parts else base
     return path

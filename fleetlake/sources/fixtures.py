@@ -117,9 +117,11 @@ def bronze_events(events: DataFrame, *, resend_every: int | None = 20, lose_ever
     e = events
     if lose_every:
         e = e.filter(F.col("event_id") % lose_every != 0)
-    rows = _vp_columns(e, F.lit(False))
+    # one scan: a re-sent report becomes two rows (original, copy) through explode
+    copies = F.array(F.lit(False))
     if resend_every:
-        rows = rows.unionByName(_vp_columns(e.filter(F.col("event_id") % resend_every == 0), F.lit(True)))
+        copies = F.when(F.col("event_id") % resend_every == 0, F.array(F.lit(False), F.lit(True))).otherwise(copies)
+    rows = _vp_columns(e.withColumn("_resent", F.explode(copies)), F.col("_resent"))
     second = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(1))
     return rows.select(
         F.to_json(F.struct("topic", "payload")).alias("json_str"),

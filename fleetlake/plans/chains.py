@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.functions.exprs import lit_ntz
 from fleetlake.operators import dq
 from fleetlake.operators.envelope import flatten_envelope
 from fleetlake.operators.gold import fact_new_rows, to_fact
@@ -39,6 +40,18 @@ def _log(store: TableStore, schema: str, table: str, max_ts, rundate, now) -> No
     store.write_append(JOB_LOG, log_row(store.spark, schema, table, max_ts, rundate, _ts(now)))
 
 
+JOB_METRICS = "job_metrics"
+
+
+def _metrics(store: TableStore, table: str, stats: dict, now) -> None:
+    """One row of write history per written table."""
+    row = (table, int(stats.get("rows_written", 0)), int(stats.get("rows_inserted", 0)),
+           int(stats.get("rows_updated", 0)), int(stats.get("execution_ms", 0)), _ts(now))
+    store.write_append(JOB_METRICS, store.spark.createDataFrame(
+        [row], "table_name string, rows_written long, rows_inserted long, rows_updated long, "
+               "execution_ms long, run_at timestamp_ntz"))
+
+
 def run_events(spark: SparkSession, store: TableStore, bronze: DataFrame, *, now, rundate) -> dict:
     """Landing rows newer than the last staged load -> silver snapshot -> idempotent fact append.
 
@@ -67,6 +80,8 @@ def run_events(spark: SparkSession, store: TableStore, bronze: DataFrame, *, now
         fact = fact_new_rows(fact, store.read("fact_vehicle_position"))
     stats["fact"] = observed_write(fact, lambda d: store.write_append("fact_vehicle_position", d, ["oday"]))
     _log(store, "hdw", "fact_vehicle_position", max_read, rundate, now)
+    for table, key in (("events_stg", "silver"), ("fact_vehicle_position", "fact")):
+        _metrics(store, table, stats[key], now)
     return stats
 
 
@@ -91,9 +106,14 @@ def _run_dim(store: TableStore, landed: DataFrame, *, name: str, key: str, spec:
 
     current = store.read(f"dim_{name}") if store.exists(f"dim_{name}") else None
     nxt = scd2_apply(current, stg, key, attrs, now, null_safe=null_safe)
-    stats["dim"] = observed_write(nxt, lambda d: store.write_refresh(
-        f"dim_{name}", d, lambda w: dq.check(w, [dq.active_unique([key])], f"dim_{name}")))
+    t = lit_ntz(now)
+    stats["dim"] = observed_write(
+        nxt, lambda d: store.write_refresh(f"dim_{name}", d, lambda w: dq.check(w, [dq.active_unique([key])], f"dim_{name}")),
+        rows_inserted=F.count_if(F.col("effective_start_dt") == t),
+        rows_updated=F.count_if((F.col("active_flg") == 0) & (F.col("update_dt") == t)))
     _log(store, "hdw", f"dim_{name}", stg.agg(F.max("insert_time")).first()[0], rundate, now)
+    for table, k in ((f"{name}_ld", "landing"), (f"{name}_stg", "staging"), (f"dim_{name}", "dim")):
+        _metrics(store, table, stats[k], now)
     return stats
 
 

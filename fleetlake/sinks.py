@@ -92,18 +92,22 @@ class TableStore:
         df.write.mode("overwrite").parquet(self.path(name))
 
 
-def observed_write(df: DataFrame, write, name: str = "write") -> dict:
-    """Run ``write(df_observed)`` and return its row count and elapsed ms.
+def observed_write(df: DataFrame, write, name: str = "write", **metrics) -> dict:
+    """Run ``write(df_observed)`` and return its counters and elapsed ms.
 
     Counters ride along the write via ``DataFrame.observe``: no second scan,
-    unlike counting the table after writing it.
+    unlike counting the table after writing it.  ``metrics`` adds named
+    aggregate columns (e.g. ``rows_updated=F.count_if(...)``).
     """
     import time
 
     obs = Observation(name)
+    exprs = [F.count(F.lit(1)).alias("rows_written"), *[e.alias(k) for k, e in metrics.items()]]
     t0 = time.time()
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows_written")))
-    return {"rows_written": obs.get.get("rows_written", 0), "execution_ms": int((time.time() - t0) * 1000)}
+    write(df.observe(obs, *exprs))
+    out = {k: (v if v is not None else 0) for k, v in obs.get.items()}
+    out["execution_ms"] = int((time.time() - t0) * 1000)
+    return out
 
 
 def init_tables(store: TableStore, reset: bool = False) -> list[str]:

@@ -23,6 +23,13 @@ def test_init_tables_then_full_load_is_the_same_path(spark, tmp_path):
     assert d.filter("active_flg = 1").count() == d.count()
     logged = {(r["schema_name"], r["table_name"]) for r in job_log(store).collect()}
     assert ("hdw", "dim_routes") in logged and ("hdw_stg", "routes_stg") in logged
+    # second file: write history counts opened and closed versions without rescanning
+    stats = run_routes(spark, store, X.landed(X.routes_file(part, 2), Q.LOAD2, Q.LOAD2[:10]), now=Q.LOAD2, rundate="20240115")
+    d2 = store.read("dim_routes")
+    assert stats["dim"]["rows_updated"] == d2.filter("active_flg = 0").count() > 0
+    assert stats["dim"]["rows_inserted"] == d2.filter(f"effective_start_dt = timestamp_ntz'{Q.LOAD2}'").count() > 0
+    hist = {r["table_name"]: r for r in store.read("job_metrics").filter(f"run_at = timestamp_ntz'{Q.LOAD2}'").collect()}
+    assert hist["dim_routes"]["rows_written"] == d2.count()
 
 
 def test_stops_chain_enforces_wheelchair_codes(spark, tmp_path):

@@ -325,6 +325,10 @@ FROM fact GROUP BY route_id, vehicle_number""",
         "occupancy_trend": b + """
 SELECT date_trunc('hour', tst) AS period, count(DISTINCT vehicle_number) AS active_vehicles,
        avg(occu) AS avg_occupancy, count(*) AS events
+FROM fact GROUP BY 1""",
+        "occupancy_daily": b + """
+SELECT oday AS period, count(DISTINCT vehicle_number) AS active_vehicles,
+       avg(occu) AS avg_occupancy, count(*) AS events
 FROM fact GROUP BY 1""",
         "peak_hours": b + """
 SELECT CAST(hour(tst) AS INTEGER) AS hour_of_day, count(*) AS events,
@@ -513,3 +517,5 @@ ORACLE_SQL: dict[str, str] = _sql()
 # the SQL surface answers the same questions as the DataFrame reports
 for _k in ("route_delay_top", "route_density", "partition_distribution"):
     ORACLE_SQL[f"sql_{_k}"] = ORACLE_SQL[_k]
+# both batch forms of the sliding KPIs answer the same question
+ORACLE_SQL["kpi_windows_native"] = ORACLE_SQL["kpi_windows"]

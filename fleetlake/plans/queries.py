@@ -130,6 +130,10 @@ def q_occupancy_trend(spark, sf):
     return A.occupancy_trend(fact(spark, sf), "hour")
 
 
+def q_occupancy_daily(spark, sf):
+    return A.occupancy_trend(fact(spark, sf), "day")
+
+
 def q_peak_hours(spark, sf):
     return A.peak_hours(fact(spark, sf))
 
@@ -303,6 +307,11 @@ def q_kpi_windows(spark, sf):
     return K.kpi_windows(kpi_in(spark, sf))
 
 
+def q_kpi_windows_native(spark, sf):
+    """Same KPIs through Spark's sliding ``window()`` (the streaming form) instead of panes."""
+    return K.kpi_windows(kpi_in(spark, sf), method="window")
+
+
 def q_kpi_windows_approx(spark, sf):
     return K.kpi_windows(kpi_in(spark, sf), approx=True)
 
@@ -495,6 +504,7 @@ QUERIES: dict[str, Query] = {
     "route_on_time": q_route_on_time,
     "speed_by_route_vehicle": q_speed_by_route_vehicle,
     "occupancy_trend": q_occupancy_trend,
+    "occupancy_daily": q_occupancy_daily,
     "peak_hours": q_peak_hours,
     "stop_bottlenecks": q_stop_bottlenecks,
     "fact_select": q_fact_select,
@@ -527,6 +537,7 @@ QUERIES: dict[str, Query] = {
     "dedupe_dim": q_dedupe_dim,
     "fact_incremental": q_fact_incremental,
     "kpi_windows": q_kpi_windows,
+    "kpi_windows_native": q_kpi_windows_native,
     "kpi_windows_approx": q_kpi_windows_approx,
     "route_delay_windows": q_route_delay_windows,
     "latest_window": q_latest_window,

@@ -43,6 +43,22 @@ def get_spark(app: str = "fleetlake", master: str | None = None, *, state_store:
     return builder.getOrCreate()
 
 
+def batch_conf(input_bytes: int, cores: int, target_bytes: int = 256 << 20, cap: int = 100_000) -> dict[str, str]:
+    """Shuffle settings for a batch job over ``input_bytes`` on ``cores`` task slots.
+
+    The initial shuffle width gives ~``target_bytes`` per partition (at least
+    two waves of tasks, at most ``cap``); AQE then coalesces small partitions
+    toward the same advisory size and splits skewed ones.  Streaming jobs keep
+    the fixed width of their checkpoint instead.
+    """
+    width = min(cap, max(2 * cores, -(-input_bytes // target_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(target_bytes, 512 << 20)),
+    }
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared ``spark.checkpoint.dir``.
 

@@ -63,3 +63,23 @@ def test_metric_queries(spark):
     assert lo["value"] == ref["value"] / 2.0
     top = M.metric_topk(long.filter(F.col("metric") == "avg_speed_all"), "avg_speed_all", k=1)
     assert top.count() == n
+
+
+def test_hot_route_gives_the_same_windows(spark):
+    # one route carries a third of all reports; both window forms agree and the plan stays partial+final
+    rows = []
+    for i in range(600):
+        route = "HOT" if i % 3 == 0 else f"R{i % 7}"
+        rows.append((T(2024, 1, 1, 8, 0) + dt.timedelta(seconds=3 * i), f"V{i % 11}", route, (i % 9) / 8, (i * 13) % 400 - 200))
+    df = spark.createDataFrame(rows, "tst timestamp_ntz, vehicle_number string, route_id string, spd double, dl int")
+    panes = K.route_delay_windows(df)
+    assert _rows(panes) == _rows(K.route_delay_windows(df, method="window"))
+    plan = panes._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+
+
+def test_batch_conf_bounds():
+    from fleetlake.session import batch_conf
+    assert batch_conf(10 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert batch_conf(100 * 10**12, 8000)["spark.sql.shuffle.partitions"] == "100000"
+    assert batch_conf(1 << 40, 1000)["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))

@@ -56,15 +56,19 @@ def metric_last_over(metrics: DataFrame, name: str, lookback_s: int, at: str | _
     """``last_over_time(name[lookback]) / scale`` evaluated at ``at``.
 
     ``at=None`` evaluates at the gauge's newest sample ("now" on a live
-    dashboard): one scalar from a one-row aggregate, used as a literal so the
-    time filter is pushed down like any other.
+    dashboard).  Then each series' newest sample is taken in one aggregate,
+    and the gauge's newest time is derived from that small result; the two
+    meet in an equi-join on ``metric`` whose build side is one row (the
+    gauge is fixed by ``name``), so the samples are aggregated only once.
     """
     m = _upto(metrics, name, at)
     if at is None:
-        at = m.agg(F.max("ts").alias("_at")).first()["_at"]
-        if at is None:
-            return m.select(*SERIES, "ts", "value").limit(0)
-        m = m.filter(F.col("ts") <= lit_ntz(at))
+        last = (m.groupBy(*SERIES).agg(F.max_by(F.struct("ts", "value"), "ts").alias("s"))
+                .select(*SERIES, "s.ts", "s.value"))
+        now = last.groupBy("metric").agg(F.max("ts").alias("_at"))
+        return (last.join(F.broadcast(now), "metric")
+                .filter(F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), F.col("_at")))
+                .select(*SERIES, "ts", (F.col("value") / scale).alias("value")))
     m = m.filter(F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), lit_ntz(at)))
     return (m.groupBy(*SERIES).agg(F.max_by(F.struct("ts", "value"), "ts").alias("s"))
             .select(*SERIES, "s.ts", (F.col("s.value") / scale).alias("value")))

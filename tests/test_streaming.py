@@ -92,3 +92,19 @@ def test_dedupe_stream_and_metric_sinks(spark, tmp_path):
     e.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "m" / "kpi_current")).count() == 1
     assert spark.read.parquet(str(tmp_path / "m" / "kpi")).count() > 0
+
+
+def test_landing_with_processing_time_trigger(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    b = bronze_events(ev, resend_every=None)
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    b.drop("insert_time").write.parquet(raw)
+    q = start_landing(read_events_stream(spark, "files", path=raw), out, str(tmp_path / "chk"),
+                      trigger="1 second", query_name="landing_pt")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    landed = spark.read.parquet(out)
+    assert landed.count() == b.count()
+    assert landed.filter(F.col("insert_time").isNull()).count() == 0

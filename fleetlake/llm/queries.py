@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=13)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_components
 
@@ -18,6 +24,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 

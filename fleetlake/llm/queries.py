@@ -16,6 +16,23 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=13)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import fit, predict
+
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    model = fit(docs.where("not held_out and lang is not null"))
+    return predict(docs, model, keep=("held_out",))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_components
 
@@ -25,6 +42,8 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_token_counts": op6_token_counts,
+    "op7_language_id": op7_language_id,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 

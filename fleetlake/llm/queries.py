@@ -40,11 +40,18 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_language_id": op7_language_id,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,4 +1,9 @@
-"""Corpus cleaning pipeline: stages over ``documents``."""
+"""Corpus cleaning pipeline: five stages over ``documents``, each written as Parquet and read again.
+
+Every stage takes all rows that its predecessor kept and returns the columns of
+``documents`` (doc_id, text, lang, source, n_chars); the last adds the pieces.
+Rows with a null doc_id are dropped by the second stage.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +12,60 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.common import table, written
 
+MIN_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose language can't be told: null or without a letter, or scored below ``MIN_SCORE``."""
+    from fleetlake.llm.language_id import UNKNOWN, fit, predict
+
+    columns = docs.columns
+    learn = docs.where((F.crc32(F.col("doc_id").cast("string")) % 4 != 2) & F.col("lang").isNotNull())
+    found = predict(docs, fit(learn), keep=tuple(c for c in columns if c not in ("doc_id", "text")), keep_text=True)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*columns)
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest doc_id) of each SimHash group stays."""
     from fleetlake.llm.simhash import near_components
 
     found = near_components(docs, words=3, radius=3)
-    return docs.join(found.where("doc_id = component_id").select("doc_id"), "doc_id", "left_semi")
+    return docs.join(found.where("doc_id = component_id").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 13 words and more that an earlier document holds are cut out; a document goes when
+    nothing of its text is left."""
+    from fleetlake.llm.substring import cleaned
+
+    left = cleaned(docs, length=13).where("n_words = 0 or n_removed < n_words")
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    from fleetlake.llm.decontaminate import contaminated
+
+    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every text, and whether they decode to it."""
+    import public_tokenizers
+
+    from fleetlake.llm.sentencepieces import decoded, sampled_pieces
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = decoded(sampled_pieces(docs, model, seed=42), model)
+    return back.select(*docs.columns, "pieces", F.size("pieces").cast("long").alias("n_pieces"),
+                       F.col("decoded").eqNullSafe(F.col("text").cast("binary")).alias("lossless"))
 
 
-STAGES = [("simhash_near_dedup", near_dedup)]
+STAGES = [("language_id", language_id), ("simhash_near_dedup", near_dedup), ("substring_dedup", substring_dedup),
+          ("benchmark_decontamination", decontaminate), ("sentencepiece", sentencepiece)]
 
+#: training, rolling hashes and sampling are beyond SQL; tests/llm compares the stages with brute force
 ORACLE_SQL = None
 
 

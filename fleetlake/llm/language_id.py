@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 UNKNOWN = "und"
 
@@ -210,11 +211,11 @@ def classify(text: str | None, model: Model) -> tuple[str, float]:
     return model.classes[best], float(min(1.0, p[best]))
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, *keep, lang_pred, score)``, one row per row."""
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
+    """``docs(doc_id, text)`` -> ``(doc_id, *keep, [text,] lang_pred, score)``, one row per row."""
     rows = docs.select("doc_id", *keep, F.col("text").cast("string").alias("text"))
-    kept = rows.drop("text").schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double"
+    kept = rows.schema if keep_text else rows.drop("text").schema
+    schema = StructType([*kept.fields]).add("lang_pred", StringType()).add("score", DoubleType())
 
     def run(batches):
         import pyarrow as pa
@@ -222,7 +223,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
         for batch in batches:
             found = [classify(t, model) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([lang for lang, _ in found], pa.string()),
-                 pa.array([score for _, score in found], pa.float64())], [*kept.names, "lang_pred", "score"])
+                [*batch.columns[:len(kept)], pa.array([lang for lang, _ in found], pa.string()),
+                 pa.array([score for _, score in found], pa.float64())], schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -16,6 +16,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=13)
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .sentencepieces import decoded, sampled_pieces
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = decoded(sampled_pieces(docs, model, seed=42), model)
+    return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
+                       F.col("decoded").eqNullSafe(F.col("text").cast("binary")).alias("lossless"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,6 +60,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op6_token_counts": op6_token_counts,
     "op7_language_id": op7_language_id,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,

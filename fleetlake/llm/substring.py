@@ -31,10 +31,13 @@ with an equal text get equal results.  Further columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import compress
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from .common import blobs, width, written
 from .rolling import WordHasher, mix
@@ -193,35 +196,45 @@ def _marks(packed: DataFrame, groups: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, groups: int) -> DataFrame:
-    """Whole texts, compressed by document group, so that they are moved once and small."""
+    """Whole rows, compressed by document group, so that they are moved once and small."""
 
     def run(batches):
         import numpy as np
+        import pyarrow as pa
         import zstandard
 
-        press = zstandard.ZstdCompressor(3)
-        for unit in _units(batches, UNIT_BYTES):
-            group = group_of(np.array([d for d, _ in unit], np.int64), groups)
-            rows = []
-            for g in np.unique(group):
-                own = [unit[i] for i in np.flatnonzero(group == g)]
-                ids = np.array([d for d, _ in own], np.int64).tobytes()
-                sizes = np.array([len(t) for _, t in own], np.int64).tobytes()
-                rows.append((int(g), TEXTS, len(own).to_bytes(4, "little")
-                             + press.compress(ids + sizes + b"".join(t for _, t in own))))
-            yield from _rows(rows)
+        press, waiting, size = zstandard.ZstdCompressor(3), [], 0
 
-    return docs.mapInArrow(run, ROW)
+        def packed():
+            rows = pa.Table.from_batches(waiting).combine_chunks()
+            group = group_of(rows.column(0).to_numpy(), groups)
+            order = np.argsort(group, kind="stable")
+            keys, cuts = np.unique(group[order], return_index=True)
+            for g, own in zip(keys, np.split(order, cuts[1:]), strict=True):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema) as stream:
+                    stream.write_table(rows.take(own))
+                yield int(g), TEXTS, press.compress(sink.getvalue())
 
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                waiting.append(batch.slice(at, 500))
+                size += sum(len(t or b"") + 64 for t in blobs(waiting[-1].column(1)))
+                if size >= UNIT_BYTES:
+                    yield from _rows(list(packed()))
+                    waiting, size = [], 0
+        if waiting:
+            yield from _rows(list(packed()))
+
+    return docs.mapInArrow(run, ROW)
 
-def _open_texts(blob: bytes) -> list[tuple[int, bytes]]:
-    import numpy as np
-    import zstandard
 
-    n, raw = int.from_bytes(blob[:4], "little"), zstandard.ZstdDecompressor().decompress(blob[4:])
-    ids, sizes = np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.int64, n, 8 * n)
-    ends = 16 * n + np.cumsum(sizes)
-    return [(int(d), raw[e - s:e]) for d, s, e in zip(ids, sizes, ends, strict=True)]
+def without(text: bytes, keep: list[bool]) -> bytes:
+    """``text`` without the words not in ``keep`` and the white space before them."""
+    words = re.findall(rb"[\t-\r ]*[^\t-\r ]+", text)
+    end = text[len(b"".join(words)):]
+    left = b"".join(compress(words, keep))
+    return (left if keep[0] else left.lstrip()) + end
 
 
 def ladders(hasher, text: bytes, repeated, length: int, winnow: int) -> list[list[int]]:
@@ -251,25 +264,28 @@ def ladders(hasher, text: bytes, repeated, length: int, winnow: int) -> list[lis
     return out
 
 
-def _apply(marks: DataFrame, texts: DataFrame, length: int, winnow: int, keep_text: bool) -> DataFrame:
-    """Marks and texts meet by document group; marks come first."""
-    schema = ("doc_id long, n_words long, n_removed long, kept_sha256 string, ladders array<array<long>>"
-              + (", kept_text string" if keep_text else ""))
+def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, winnow: int,
+           keep_text: bool) -> DataFrame:
+    """Marks and rows (``row``: doc_id, text, more) meet by document group; marks come first."""
+    schema = StructType([f for f in row.fields if keep_text or f.name == "doc_id"])
+    for name, kind in (("n_words", LongType()), ("n_removed", LongType()), ("kept_sha256", StringType()),
+                       ("ladders", ArrayType(ArrayType(LongType())))):
+        schema = schema.add(name, kind)
 
     def run(batches):
         from hashlib import sha256
-        from itertools import compress
 
         import numpy as np
         import pyarrow as pa
+        import zstandard
 
         hasher, group, parts, marked = WordHasher(), None, [], None
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.string()]
-        names = ["doc_id", "n_words", "n_removed", "kept_sha256", "ladders", "kept_text"][:6 if keep_text else 5]
+        types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.string()]
 
         def one(doc: int, text: bytes) -> tuple:
             words, rungs, n_removed = text.split(), [], 0
             total = len(words)
+            kept = text
             lo, hi = np.searchsorted(marked[0], [doc, doc + 1]) if marked else (0, 0)
             if hi > lo:
                 pos, flag = marked[1][lo:hi].astype(np.int64), marked[2][lo:hi]
@@ -281,10 +297,12 @@ def _apply(marks: DataFrame, texts: DataFrame, length: int, winnow: int, keep_te
                 cover[gone + length] -= 1
                 keep = np.cumsum(cover)[:total] == 0
                 n_removed = int(total - keep.sum())
-                words = list(compress(words, keep.tolist()))
-                rungs = ladders(hasher, text, np.unique(pos), length, winnow)
-            kept = b" ".join(words)
-            return doc, total, n_removed, sha256(kept).hexdigest(), rungs, kept.decode() if keep_text else None
+                if n_removed:
+                    keep = keep.tolist()
+                    words = list(compress(words, keep))
+                    kept = without(text, keep) if keep_text else b""
+                rungs = ladders(hasher, text, np.unique(pos), length, winnow) if winnow else []
+            return total, n_removed, sha256(b" ".join(words)).hexdigest(), rungs, kept.decode() if keep_text else None
 
         for batch in batches:
             for key, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -297,9 +315,11 @@ def _apply(marks: DataFrame, texts: DataFrame, length: int, winnow: int, keep_te
                     doc, pos, flag = (np.concatenate(x) for x in zip(*parts, strict=True))
                     order = np.argsort(doc, kind="stable")
                     marked, parts = (doc[order], pos[order], flag[order]), []
-                done = [one(d, t) for d, t in _open_texts(blob)]
-                columns = list(zip(*done, strict=True))[:len(names)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names)
+                for rows in pa.ipc.open_stream(zstandard.ZstdDecompressor().decompressobj().decompress(blob)):
+                    done = [one(d, t or b"") for d, t in zip(rows.column(0).to_pylist(), blobs(rows.column(1)), strict=True)]
+                    found = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)]
+                    kept = [rows.column(0), found[4], *rows.columns[2:]] if keep_text else [rows.column(0)]
+                    yield pa.RecordBatch.from_arrays([*kept, *found[:4]], schema.names)
 
     return (marks.union(texts).repartition("key").sortWithinPartitions("key", "kind").mapInArrow(run, schema))
 
@@ -323,14 +343,29 @@ def _longest(found: DataFrame, length: int) -> DataFrame:
     return reached.groupBy("doc_id").agg(F.max("longest_repeat").alias("longest_repeat"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 13, winnow: int = 32, keep_text: bool = False) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, n_words, n_removed, kept_sha256, longest_repeat[, kept_text])``."""
-    spark = docs.sparkSession
-    shuffles = width(spark)
+def _own(docs: DataFrame, *more: str) -> DataFrame:
+    return docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+
+
+def _found(rows: DataFrame, length: int, winnow: int, keep_text: bool) -> DataFrame:
+    shuffles = width(rows.sparkSession)
     buckets, groups = 16 * shuffles, 4 * shuffles
-    own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    marks = _marks(_first_level(own, length, buckets, groups), groups)
-    found = written(_apply(marks, _texts(own, groups), length, winnow, keep_text), "repeats")
+    marks = _marks(_first_level(rows.select("doc_id", "text"), length, buckets, groups), groups)
+    return _apply(marks, _texts(rows, groups), rows.schema, length, winnow, keep_text)
+
+
+def remove_repeats(docs: DataFrame, length: int = 13, winnow: int = 32) -> DataFrame:
+    """``docs(doc_id, text)`` -> ``(doc_id, n_words, n_removed, kept_sha256, longest_repeat)``."""
+    found = written(_found(_own(docs), length, winnow, False), "repeats")
     return (found.drop("ladders").join(_longest(found, length), "doc_id", "left")
             .withColumn("longest_repeat", F.coalesce("longest_repeat", F.when(F.col("n_removed") > 0, length)
                                                      .otherwise(0).cast("long"))))
+
+
+def cleaned(docs: DataFrame, length: int = 13) -> DataFrame:
+    """All columns of ``docs``, ``text`` without its repeated words and the white space before them, and
+    n_words, n_removed, kept_sha256 (the first level alone decides what goes).  A text that loses
+    nothing stays as it is; columns of ``docs`` with these names are replaced."""
+    more = [c for c in docs.columns if c not in ("doc_id", "text", "n_words", "n_removed", "kept_sha256", "ladders")]
+    return _found(_own(docs, *more), length, 0, True).drop("ladders")

@@ -39,7 +39,7 @@ class Pieces:
     """Piece table of a model file, and the lattice over it."""
 
     #: words longer than the last go one by one; each class is worked in blocks of so many different words
-    CLASSES = ((8, 30_000), (16, 8_000), (32, 3_000))
+    CLASSES = ((8, 10_000), (16, 3_000), (32, 1_000))
 
     def __init__(self, model_path: str, theta: float = 1.0):
         import sentencepiece
@@ -224,7 +224,7 @@ class Pieces:
         return b"".join(map(self.raw.__getitem__, ids.tolist()))
 
 
-def by_size(texts: list, limit: int = 2 << 20) -> Iterator[slice]:
+def by_size(texts: list, limit: int = 1 << 19) -> Iterator[slice]:
     """Slices of ``texts`` of about ``limit`` characters."""
     lo = size = 0
     for i, t in enumerate(texts):

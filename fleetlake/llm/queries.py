@@ -28,6 +28,12 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("decoded").eqNullSafe(F.col("text").cast("binary")).alias("lossless"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .webarchive import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"), least=0).drop("url")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -61,6 +67,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_warc": op4_warc,
     "op6_token_counts": op6_token_counts,
     "op7_language_id": op7_language_id,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,

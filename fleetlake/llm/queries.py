@@ -16,6 +16,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=13)
 
 
+def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_forest import neighbours
+
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -76,6 +82,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_prefix_forest": op2_prefix_forest,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_warc": op4_warc,
     "op6_token_counts": op6_token_counts,

@@ -40,6 +40,14 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"), least=0).drop("url")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import packed
+
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, pad=50256)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -85,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_prefix_forest": op2_prefix_forest,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_warc": op4_warc,
+    "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op7_language_id": op7_language_id,
     "op8_chat_formatting": op8_chat_formatting,

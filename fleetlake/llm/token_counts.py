@@ -48,26 +48,31 @@ def batches_by_bytes(pieces: list[str], limit: int) -> Iterator[list[str]]:
         yield batch
 
 
-class PieceCounter:
-    """Token counts of texts as the sum over their pieces."""
+class PieceTable:
+    """What ``encode`` makes of each piece of a text; pieces of up to ``LONG`` characters are remembered."""
+
+    LONG = 64
 
     def __init__(self, encode, batch_bytes: int, cache_pieces: int):
         self.encode, self.batch_bytes, self.cache_pieces = encode, batch_bytes, cache_pieces
         self.split, self.known = re.compile(PIECE).findall, {}
 
-    def count(self, text: str) -> int:
-        total, pieces = 0, self.split(text)
-        new = [p for p in set(pieces) if p not in self.known]
-        if len(self.known) + len(new) > self.cache_pieces:
-            self.known, new = {}, list(set(pieces))
+    def values(self, text: str) -> list:
+        pieces, known, once = self.split(text), self.known, {}
+        new = [p for p in set(pieces) if p not in known]
+        if len(known) + len(new) > self.cache_pieces:
+            known = self.known = {}
+            new = list(set(pieces))
         for batch in batches_by_bytes(new, self.batch_bytes):
-            self.known.update(zip(batch, self.encode(batch), strict=True))
-        total += sum(map(self.known.__getitem__, pieces))
-        return total
+            for p, v in zip(batch, self.encode(batch), strict=True):
+                (known if len(p) <= self.LONG else once)[p] = v
+        if once:
+            return [once[p] if p in once else known[p] for p in pieces]
+        return list(map(known.__getitem__, pieces))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, batch_bytes: int = 1 << 20,
-                 cache_pieces: int = 1_000_000) -> DataFrame:
+                 cache_pieces: int = 200_000) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, n_bytes, n_tokens, over_limit)``."""
 
     def run(batches):
@@ -76,12 +81,12 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, batch_
         import pyarrow as pa
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter = PieceCounter(load_json(tokenizer_path), batch_bytes, cache_pieces)
+        table = PieceTable(load_json(tokenizer_path), batch_bytes, cache_pieces)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
-                 pa.array([counter.count(t) for t in texts], pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+                 pa.array([sum(table.values(t)) for t in texts], pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
             .mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")

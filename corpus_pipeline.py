@@ -19,10 +19,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose language can't be told: null or without a letter, or scored below ``MIN_SCORE``."""
     from fleetlake.llm.language_id import UNKNOWN, fit, predict
 
-    columns = docs.columns
+    columns, out = docs.columns, ("__lang_pred", "__score")
     learn = docs.where((F.crc32(F.col("doc_id").cast("string")) % 4 != 2) & F.col("lang").isNotNull())
-    found = predict(docs, fit(learn), keep=tuple(c for c in columns if c not in ("doc_id", "text")), keep_text=True)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*columns)
+    found = predict(docs, fit(learn), keep=tuple(c for c in columns if c not in ("doc_id", "text")), keep_text=True,
+                    out=out)
+    return found.where((F.col(out[0]) != UNKNOWN) & (F.col(out[1]) >= MIN_SCORE)).select(*columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +59,8 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     back = decoded(sampled_pieces(docs, model, seed=42), model)
-    return back.select(*docs.columns, "pieces", F.size("pieces").cast("long").alias("n_pieces"),
+    kept = [c for c in docs.columns if c not in ("pieces", "n_pieces", "lossless")]
+    return back.select(*kept, "pieces", F.size("pieces").cast("long").alias("n_pieces"),
                        F.col("decoded").eqNullSafe(F.col("text").cast("binary")).alias("lossless"))
 
 

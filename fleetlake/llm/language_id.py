@@ -211,11 +211,12 @@ def classify(text: str | None, model: Model) -> tuple[str, float]:
     return model.classes[best], float(min(1.0, p[best]))
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), keep_text: bool = False,
+            out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, *keep, [text,] lang_pred, score)``, one row per row."""
     rows = docs.select("doc_id", *keep, F.col("text").cast("string").alias("text"))
     kept = rows.schema if keep_text else rows.drop("text").schema
-    schema = StructType([*kept.fields]).add("lang_pred", StringType()).add("score", DoubleType())
+    schema = StructType([*kept.fields]).add(out[0], StringType()).add(out[1], DoubleType())
 
     def run(batches):
         import pyarrow as pa

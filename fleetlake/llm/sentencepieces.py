@@ -17,7 +17,8 @@ numpy, then all their occurrences are sampled side by side.
 The draws depend on ``seed``, the row's key and the word's place alone: the same
 row gets the same segmentation on any partitioning, in any run.  A null key is
 a key like any other; a null text gives null pieces and is decoded to null, an
-empty text no pieces.  Every input row gives one row.
+empty text no pieces.  Every input row gives one row.  A column that has the name of an
+output is replaced.
 """
 
 from __future__ import annotations
@@ -239,7 +240,7 @@ def by_size(texts: list, limit: int = 1 << 19) -> Iterator[slice]:
 def sampled_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", seed: int = 0,
                    theta: float = 1.0, out: str = "pieces") -> DataFrame:
     """All columns of ``docs`` and ``out`` (array of int): one sampled segmentation of each text."""
-    rows = docs.withColumn("__state", F.xxhash64(F.lit(seed), F.col(key).cast("string")))
+    rows = docs.drop(out).withColumn("__state", F.xxhash64(F.lit(seed), F.col(key).cast("string")))
     schema = StructType([*rows.schema.fields]).add(out, ArrayType(IntegerType()))
     where, state = rows.columns.index(text), len(rows.columns) - 1
 
@@ -261,6 +262,7 @@ def sampled_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text:
 
 def decoded(rows: DataFrame, model_path: str, ids: str = "pieces", out: str = "decoded") -> DataFrame:
     """All columns of ``rows`` and ``out`` (binary): the bytes that the pieces stand for."""
+    rows = rows.drop(out)
     schema = StructType([*rows.schema.fields]).add(out, BinaryType())
     where = rows.columns.index(ids)
 

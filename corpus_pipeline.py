@@ -39,7 +39,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     nothing of its text is left."""
     from fleetlake.llm.substring import cleaned
 
-    left = cleaned(docs, length=13).where("n_words = 0 or n_removed < n_words")
+    left = cleaned(docs, length=13, prefix="__").where("__n_words = 0 or __n_removed < __n_words")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -15,7 +15,8 @@ stretch of 13 tokens with any two of them substituted.
    its tokens).  Hash collisions end here.
 
 The result has one row per contaminated (document, item), with its best alignment.
-An item of fewer than seven tokens cannot be told from chance and never matches.
+An item of fewer than 13 tokens is found where one seed of its is intact; one of fewer
+than seven cannot be told from chance and never matches.
 Null and empty texts have no tokens; null ids are left out; rows that repeat an
 id count once.  Further columns are ignored.
 """

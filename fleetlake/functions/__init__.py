@@ -3,7 +3,6 @@
 from fleetlake.functions.exprs import (  # noqa: F401
     blank_to_null,
     epoch_seconds,
-    instant_from_utc,
     lit_ntz,
     null_safe_changed,
     parse_utc_ts,

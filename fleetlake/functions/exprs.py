@@ -41,11 +41,6 @@ def utc_ntz(instant: str | Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(_col(instant)), lit_ntz(_EPOCH))
 
 
-def instant_from_utc(ntz: str | Column) -> Column:
-    """UTC wall clock (``timestamp_ntz``) -> instant (``timestamp``); needed by watermarks."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", lit_ntz(_EPOCH), _col(ntz)))
-
-
 def parse_utc_ts(c: str | Column) -> Column:
     """ISO-8601 string with zone (e.g. ``...Z``) -> UTC ``timestamp_ntz``; bad input -> NULL."""
     return utc_ntz(F.try_to_timestamp(_col(c)))

@@ -51,29 +51,32 @@ def partition_distribution(bronze: DataFrame, partition_col: str = "partition")
             .orderBy("kafka_partition"))
 
 
-def offset_gaps(bronze: DataFrame, partition_col: str = "partition", offset_col: str = "offset",
-                bucket_size: int = 1 << 20) -> DataFrame:
-    """Missing offset ranges per Kafka partition.
-
-    Same rows as ``lead(offset) over (partition by partition order by offset)``
-    but a Kafka partition is split into offset buckets of ``bucket_size``:
-    ``lead`` runs inside each bucket, and the edge between consecutive
-    non-empty buckets (max of one, min of the next) is checked on the small
-    per-bucket summary.  No task ever holds a whole Kafka partition.
+def offset_gaps(bronze: DataFrame, topic_col: str = "topic", partition_col: str = "partition",
+                offset_col: str = "offset", bucket_size: int = 1 << 20) -> DataFrame:
+    """Missing offset ranges per topic and Kafka partition.
+
+    Same rows as ``lead(offset) over (partition by topic, partition order by
+    offset)``, but a Kafka partition is split into offset buckets of
+    ``bucket_size``.  An aggregate first finds the buckets with a hole; ``lead``
+    runs inside these only, and the edge between consecutive non-empty buckets
+    (max of one, min of the next) is checked on the per-bucket summary.  No task
+    ever holds a whole Kafka partition.
     """
-    df = bronze.select(F.col(partition_col).alias("kafka_partition"), F.col(offset_col).alias("kafka_offset"))
+    place = ["topic", "kafka_partition", "bucket"]
+    df = bronze.select(F.col(topic_col).alias("topic"), F.col(partition_col).alias("kafka_partition"),
+                       F.col(offset_col).alias("kafka_offset"))
     df = df.withColumn("bucket", F.floor(F.col("kafka_offset") / bucket_size))
-    inner = df.withColumn(
-        "next_offset",
-        F.lead("kafka_offset").over(Window.partitionBy("kafka_partition", "bucket").orderBy("kafka_offset")),
-    ).select("kafka_partition", "kafka_offset", "next_offset")
-    edges = (df.groupBy("kafka_partition", "bucket")
-             .agg(F.min("kafka_offset").alias("lo"), F.max("kafka_offset").alias("hi"))
-             .select("kafka_partition", F.col("hi").alias("kafka_offset"),
-                     F.lead("lo").over(Window.partitionBy("kafka_partition").orderBy("bucket")).alias("next_offset")))
-    pairs = inner.unionByName(edges).filter(F.col("next_offset") > F.col("kafka_offset") + 1)
+    summary = df.groupBy(*place).agg(F.min("kafka_offset").alias("lo"), F.max("kafka_offset").alias("hi"),
+                                     F.count_distinct("kafka_offset").alias("n"))
+    holes = summary.filter(F.col("hi") - F.col("lo") + 1 > F.col("n")).select(*place)
+    inner = df.join(holes, place, "left_semi").withColumn(
+        "next_offset", F.lead("kafka_offset").over(Window.partitionBy(*place).orderBy("kafka_offset")))
+    edges = summary.select(
+        "topic", "kafka_partition", F.col("hi").alias("kafka_offset"),
+        F.lead("lo").over(Window.partitionBy("topic", "kafka_partition").orderBy("bucket")).alias("next_offset"))
+    pairs = inner.select(*edges.columns).unionByName(edges).filter(F.col("next_offset") > F.col("kafka_offset") + 1)
     return pairs.select(
-        "kafka_partition",
+        "topic", "kafka_partition",
         (F.col("kafka_offset") + 1).alias("missing_start"),
         (F.col("next_offset") - 1).alias("missing_end"),
         (F.col("next_offset") - F.col("kafka_offset") - 1).alias("missing_count"),

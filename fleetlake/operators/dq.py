@@ -1,7 +1,7 @@
 """Data-quality rules (D1-D6) evaluated in as few passes as possible.
 
 ``dq_report`` returns a DataFrame ``(table_name, rule, target, violations,
-passed)``.  All column rules share one aggregate pass; each key rule costs
+detail, passed)``; ``detail`` names missing columns.  All column rules share one aggregate pass; each key rule costs
 one shuffle on its key.  ``dq_enforce`` raises ``ValueError("QC FAILED: ...")``
 like the reference's checks, after collecting only the small report.
 """
@@ -64,13 +64,17 @@ def dq_report(df: DataFrame, rules: Sequence[Rule], table_name: str = "") -> Dat
     spark = df.sparkSession
     types = dict((f.name, f.dataType) for f in df.schema.fields)
 
-    def row(r: Rule, v) -> list:
+    def row(r: Rule, v, detail: str = "") -> list:
         return [F.lit(table_name).alias("table_name"), F.lit(r.kind).alias("rule"), F.lit(r.target).alias("target"),
-                v.cast("bigint").alias("violations")]
+                v.cast("bigint").alias("violations"), F.lit(detail).alias("detail")]
 
     col_aggs, parts = [], []
     for i, r in enumerate(rules):
-        if r.kind == "not_empty":
+        needed = [*([r.column] if r.column else []), *r.columns, *(["active_flg"] if r.kind == "active_unique" else [])]
+        missing = [c for c in needed if c not in df.columns]
+        if missing:  # named for every rule that needs them, so one lost column never hides the others
+            parts.append(spark.range(1).select(*row(r, F.lit(len(missing)), "missing: " + ", ".join(missing))))
+        elif r.kind == "not_empty":
             col_aggs.append((i, r, F.count(F.lit(1)) == 0))
         elif r.kind == "no_nulls":
             bad = F.col(r.column).isNull()
@@ -80,8 +84,7 @@ def dq_report(df: DataFrame, rules: Sequence[Rule], table_name: str = "") -> Dat
         elif r.kind == "values_in_set":
             col_aggs.append((i, r, F.count_if(~F.col(r.column).isin(list(r.values)))))
         elif r.kind == "columns_exist":
-            missing = [c for c in r.columns if c not in df.columns]
-            parts.append(spark.range(1).select(*row(r, F.lit(len(missing)))))
+            parts.append(spark.range(1).select(*row(r, F.lit(0))))
         elif r.kind == "no_duplicates":
             parts.append(_dup_keys(df, r.columns).select(*row(r, F.col("v"))))
         elif r.kind == "active_unique":
@@ -104,7 +107,8 @@ def dq_enforce(report: DataFrame) -> None:
     failed = report.filter(~F.col("passed")).orderBy("rule", "target").collect()
     if failed:
         f = failed[0]
-        raise ValueError(f"QC FAILED: {f['table_name']} {f['rule']} on {f['target']}: {f['violations']} violations")
+        raise ValueError(f"QC FAILED: {f['table_name']} {f['rule']} on {f['target']}: {f['violations']} violations"
+                         + (f" ({f['detail']})" if f["detail"] else ""))
 
 
 def check(df: DataFrame, rules: Sequence[Rule], table_name: str) -> None:

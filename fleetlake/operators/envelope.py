@@ -16,8 +16,7 @@ def flatten_envelope(bronze: DataFrame, json_col: str = "json_str") -> DataFrame
 
     Kafka ``partition``/``offset`` are kept as ``kafka_partition``/``kafka_offset``:
     they are the deterministic tie-break of the dedupe and the key of the gap
-    audit.  Only the fields a later projection uses are materialised, because
-    Catalyst prunes unused ``from_json`` fields.
+    audit.  The whole envelope is parsed whichever fields a later step uses.
     """
     data = F.from_json(F.col(json_col), ENVELOPE_SCHEMA)
     parsed = bronze.select(
@@ -59,21 +58,23 @@ def to_envelope(flat: DataFrame) -> DataFrame:
     )
 
 
-def _journey_reason(modes: Sequence[str]):
+def journey_reason(modes: Sequence[str], prefix: str = ""):
+    """First failed rule of the ingest filter, NULL for a journey to keep."""
+    c = lambda name: F.col(prefix + name)
     # Accepted journey/temporal types of the producer filter.
-    return (F.when(F.coalesce(F.col("journey_type"), F.lit("")) != "journey", "not_journey")
-            .when(F.coalesce(F.col("temporal_type"), F.lit("")) != "ongoing", "not_ongoing")
-            .when(~F.coalesce(F.col("transport_mode").isin(list(modes)), F.lit(False)), "mode")
-            .when(blank_to_null("vehicle_number").isNull(), "no_vehicle")
-            .when(blank_to_null("route_id").isNull(), "no_route")
-            .when(F.col("tst").isNull(), "no_tst"))
+    return (F.when(F.coalesce(c("journey_type"), F.lit("")) != "journey", "not_journey")
+            .when(F.coalesce(c("temporal_type"), F.lit("")) != "ongoing", "not_ongoing")
+            .when(~F.coalesce(c("transport_mode").isin(list(modes)), F.lit(False)), "mode")
+            .when(blank_to_null(c("vehicle_number")).isNull(), "no_vehicle")
+            .when(blank_to_null(c("route_id")).isNull(), "no_route")
+            .when(c("tst").isNull(), "no_tst"))
 
 
 def filter_journey(df: DataFrame, modes: Sequence[str] = ("bus",)) -> DataFrame:
     """Keep ongoing journeys of the given modes with vehicle, route and tst present."""
-    return df.filter(_journey_reason(modes).isNull())
+    return df.filter(journey_reason(modes).isNull())
 
 
 def journey_rejects(df: DataFrame, modes: Sequence[str] = ("bus",)) -> DataFrame:
     """The complement of ``filter_journey``, each row with its first failed rule."""
-    return df.withColumn("reject_reason", _journey_reason(modes)).filter(F.col("reject_reason").isNotNull())
+    return df.withColumn("reject_reason", journey_reason(modes)).filter(F.col("reject_reason").isNotNull())

@@ -9,50 +9,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.functions.exprs import lit_ntz
+from fleetlake.operators.scd2 import OPEN_END
+from fleetlake.operators.silver import with_audit
 from fleetlake.schemas import FACT_COLUMNS
 
-# A dimension side is broadcast only when it is proven to hold at most this many rows.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check is ``limit(max_rows + 1).count()``: a bounded job that stops
-    reading after ``max_rows + 1`` rows.  Beyond the bound the join stays a
-    shuffle join; AQE may still pick a broadcast from measured sizes.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def to_fact(silver: DataFrame, now: str | _dt.datetime) -> DataFrame:
     """Project the 20 business columns and stamp the audit columns."""
-    t = lit_ntz(now)
-    return silver.select(*FACT_COLUMNS, t.alias("insert_time"), t.alias("update_time"))
+    return with_audit(silver.select(*FACT_COLUMNS), now)
 
 
 def fact_new_rows(batch: DataFrame, existing: DataFrame,
-                  key: Sequence[str] = ("vehicle_number", "tst"), partition_col: str = "oday",
-                  max_days: int = 10_000) -> DataFrame:
+                  key: Sequence[str] = ("vehicle_number", "tst"), partition_col: str = "oday") -> DataFrame:
     """Rows of ``batch`` not yet in the fact: the idempotent append set (K6).
 
-    The days the batch touches are fetched first: a list with one value per
-    day, not data.  Filtering the existing fact on its partition column with
-    that list is static partition pruning, so only the touched ``oday=``
-    directories are listed and read.  Beyond ``max_days`` the days stay a
-    semi-join instead of a literal list.
+    The days of the batch, one value each, are fetched first and filter the
+    existing fact on its partition column: static pruning, so only the touched
+    ``oday=`` directories are listed and read.  Keys match null-safely.
     """
+    days = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    touched = F.col(partition_col).isin([d for d in days if d is not None])
+    if None in days:
+        touched = touched | F.col(partition_col).isNull()
     keys = [partition_col, *key]
-    touched = batch.select(partition_col).distinct()
-    days = [r[0] for r in touched.limit(max_days + 1).collect()]
-    old = existing.select(*keys)
-    if len(days) <= max_days:
-        old = old.filter(F.col(partition_col).isin(days))
-    else:
-        old = old.join(touched, partition_col, "left_semi")
-    return batch.join(old, keys, "left_anti")
+    old = existing.filter(touched).select(*[F.col(c).alias(f"_old_{c}") for c in keys])
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    return batch.join(old, same, "left_anti")
 
 
 def active(dim: DataFrame) -> DataFrame:
@@ -61,11 +44,15 @@ def active(dim: DataFrame) -> DataFrame:
 
 def join_active_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
                     columns: Sequence[str] | None = None, how: str = "inner") -> DataFrame:
-    """Fact rows joined to the active version of their dimension row."""
+    """Fact rows joined to the active version of their dimension row.
+
+    No hint: the planner broadcasts the dimension when its measured bytes are
+    small and splits hot keys of the fact when they are not.
+    """
     dim_key = dim_key or fact_key
     cols = [c for c in (columns or dim.columns) if c != dim_key]
     d = active(dim).select(F.col(dim_key).alias("_dim_key"), *cols)
-    return fact.join(sized_broadcast(d), F.col(fact_key) == F.col("_dim_key"), how).drop("_dim_key")
+    return fact.join(d, F.col(fact_key) == F.col("_dim_key"), how).drop("_dim_key")
 
 
 def dim_versions(dim: DataFrame, key: str) -> DataFrame:
@@ -81,10 +68,13 @@ def dim_versions(dim: DataFrame, key: str) -> DataFrame:
 
 
 def dim_as_of(dim: DataFrame, key: str, at: str | _dt.datetime) -> DataFrame:
-    """The dimension exactly as it stood at ``at``."""
+    """The dimension exactly as it stood at ``at`` (J5): a version closed later was active and open then."""
     t = lit_ntz(at)
     v = dim_versions(dim, key)
     return (v.filter((F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (t < F.col("valid_to"))))
+            .withColumn("active_flg", F.lit(1))
+            .withColumn("effective_end_dt", lit_ntz(OPEN_END))
+            .withColumn("update_dt", F.when(F.col("update_dt") > t, F.col("insert_dt")).otherwise(F.col("update_dt")))
             .drop("valid_from", "valid_to"))
 
 
@@ -99,4 +89,4 @@ def join_as_of(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, ts_
         F.col(dim_key).alias("_dim_key"), "valid_from", "valid_to", *[c for c in columns if c != dim_key])
     cond = ((F.col(fact_key) == F.col("_dim_key")) & (F.col(ts_col) >= F.col("valid_from"))
             & (F.col("valid_to").isNull() | (F.col(ts_col) < F.col("valid_to"))))
-    return fact.join(sized_broadcast(v), cond, how).drop("_dim_key", "valid_from", "valid_to")
+    return fact.join(v, cond, how).drop("_dim_key", "valid_from", "valid_to")

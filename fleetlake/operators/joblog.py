@@ -1,7 +1,7 @@
 """Incremental-load log.
 
-The log is a small append-only table ``(schema_name, table_name,
-max_timestamp, rundate, insert_dt)``.  ``max_timestamp`` stores the newest
+The log is a small refreshed table ``(schema_name, table_name, max_timestamp,
+rundate, insert_dt)``.  ``max_timestamp`` stores the newest
 ``insert_time`` of the data a run *read*, not the wall clock, so rows landing
 between read and log are picked up next time.
 """
@@ -57,7 +57,7 @@ def latest_job_log(job_log: DataFrame) -> DataFrame:
 
 
 def delete_job_log(job_log: DataFrame, schema_name: str, table_name: str) -> DataFrame:
-    """The log without the rows of one table (K9); the caller overwrites the log with it."""
+    """The log without the rows of one table (K9); ``chains.delete_logged`` publishes it."""
     hit = (F.col("schema_name") == schema_name) & (F.col("table_name") == table_name)
     return job_log.filter(~F.coalesce(hit, F.lit(False)))
 

@@ -118,15 +118,26 @@ def latest_window(windows: DataFrame, end_col: str = "window_end") -> DataFrame:
     return windows.join(F.broadcast(m), F.col(end_col) == F.col("_latest"), "left_semi")
 
 
+def newest(df: DataFrame, ts: str = "tst", slide_s: int = 30) -> DataFrame:
+    """The reports of the last ``slide_s`` seconds: all that the newest window can hold.
+
+    The newest time is a scalar subquery, so ``latest_window`` over the windows
+    of this is the newest window of the whole history without its cost.
+    """
+    last = df.select(F.timestamp_add("SECOND", F.lit(-slide_s), F.max(ts))).scalar()
+    return df.filter(F.col(ts) > last)
+
+
 def route_extremes(route_windows: DataFrame, min_events: int = 5, latest_only: bool = True) -> DataFrame:
     """Worst (highest mean delay) and best route per window among routes with ``min_events`` reports.
 
-    One pass ranks both ways; ties go to the smaller ``route_id``.  The window
+    ``latest_only`` takes the newest window first and then the routes with
+    enough reports, so it says nothing rather than name an older window.  One
+    pass ranks both ways; ties go to the smaller ``route_id``.  The window
     partition holds one row per route of one window, never raw events.
     """
-    rw = route_windows.filter(F.col("events_cnt") >= min_events)
-    if latest_only:
-        rw = latest_window(rw)
+    rw = latest_window(route_windows) if latest_only else route_windows
+    rw = rw.filter(F.col("events_cnt") >= min_events)
     by = Window.partitionBy("window_start")
     ranked = (rw.withColumn("_worst", F.row_number().over(by.orderBy(F.col("avg_delay_sec").desc(), "route_id")))
               .withColumn("_best", F.row_number().over(by.orderBy(F.col("avg_delay_sec").asc(), "route_id"))))

@@ -32,54 +32,61 @@ def metrics_to_long(kpis: DataFrame, extremes: DataFrame | None = None) -> DataF
     long = (wide.unpivot("ts", list(GAUGES), "metric", "value")
             .select("metric", F.lit(None).cast("string").alias("type"),
                     F.lit(None).cast("string").alias("route_id"), "ts", "value"))
-    if extremes is not None:
-        long = long.unionByName(extremes.select(
-            F.lit(EXTREME_GAUGE).alias("metric"), "type", "route_id", F.col("window_end").alias("ts"),
-            F.col("avg_delay_sec").cast("double").alias("value")))
-    return long
+    return long if extremes is None else long.unionByName(extremes_to_long(extremes))
 
 
-def _upto(metrics: DataFrame, name: str | None, at: str | _dt.datetime | None) -> DataFrame:
+def extremes_to_long(extremes: DataFrame) -> DataFrame:
+    """Route extremes as samples of the labelled gauge."""
+    return extremes.select(F.lit(EXTREME_GAUGE).alias("metric"), "type", "route_id", F.col("window_end").alias("ts"),
+                           F.col("avg_delay_sec").cast("double").alias("value"))
+
+
+def _series(metrics: DataFrame, name: str | None, labels: dict[str, str] | None = None,
+            at: str | _dt.datetime | None = None) -> DataFrame:
+    """Samples of a gauge whose labels have the given values, up to ``at``."""
     m = metrics if name is None else metrics.filter(F.col("metric") == name)
+    for label, value in (labels or {}).items():
+        m = m.filter(F.col(label) == value)
     return m if at is None else m.filter(F.col("ts") <= lit_ntz(at))
 
 
-def metric_latest(metrics: DataFrame, name: str | None = None, at: str | _dt.datetime | None = None) -> DataFrame:
+def _last(m: DataFrame) -> DataFrame:
+    return m.groupBy(*SERIES).agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
+
+
+def metric_latest(metrics: DataFrame, name: str | None = None, at: str | _dt.datetime | None = None,
+                  labels: dict[str, str] | None = None) -> DataFrame:
     """Current value of each series: its newest sample at or before ``at`` (G1)."""
-    return (_upto(metrics, name, at).groupBy(*SERIES)
-            .agg(F.max_by(F.struct("ts", "value"), "ts").alias("s"))
-            .select(*SERIES, "s.ts", "s.value"))
+    return _last(_series(metrics, name, labels, at))
 
 
 def metric_last_over(metrics: DataFrame, name: str, lookback_s: int, at: str | _dt.datetime | None = None,
-                     scale: float = 1.0) -> DataFrame:
-    """``last_over_time(name[lookback]) / scale`` evaluated at ``at``.
+                     scale: float = 1.0, labels: dict[str, str] | None = None) -> DataFrame:
+    """``last_over_time(name{labels}[lookback]) / scale`` evaluated at ``at``.
 
     ``at=None`` evaluates at the gauge's newest sample ("now" on a live
-    dashboard).  Then each series' newest sample is taken in one aggregate,
-    and the gauge's newest time is derived from that small result; the two
-    meet in an equi-join on ``metric`` whose build side is one row (the
-    gauge is fixed by ``name``), so the samples are aggregated only once.
+    dashboard), found by a scalar subquery over the metrics table.
     """
-    m = _upto(metrics, name, at)
-    if at is None:
-        last = (m.groupBy(*SERIES).agg(F.max_by(F.struct("ts", "value"), "ts").alias("s"))
-                .select(*SERIES, "s.ts", "s.value"))
-        now = last.groupBy("metric").agg(F.max("ts").alias("_at"))
-        return (last.join(F.broadcast(now), "metric")
-                .filter(F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), F.col("_at")))
-                .select(*SERIES, "ts", (F.col("value") / scale).alias("value")))
-    m = m.filter(F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), lit_ntz(at)))
-    return (m.groupBy(*SERIES).agg(F.max_by(F.struct("ts", "value"), "ts").alias("s"))
-            .select(*SERIES, "s.ts", (F.col("s.value") / scale).alias("value")))
-
-
-def metric_topk(metrics: DataFrame, name: str, k: int = 1, ascending: bool = False) -> DataFrame:
+    m = _series(metrics, name, labels, at)
+    now = lit_ntz(at) if at is not None else _series(metrics, name).select(F.max("ts")).scalar()
+    return (_last(m.filter(F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), now)))
+            .select(*SERIES, "ts", (F.col("value") / scale).alias("value")))
+
+
+def metric_topk(metrics: DataFrame, name: str, k: int = 1, ascending: bool = False, labels: dict[str, str] | None = None,
+                scale: float = 1.0) -> DataFrame:
     """``topk``/``bottomk`` at every sample time (G3); ties go to the smaller labels."""
     order = F.col("value").asc() if ascending else F.col("value").desc()
     w = Window.partitionBy("ts").orderBy(order, "type", "route_id")
-    return (metrics.filter(F.col("metric") == name).withColumn("_r", F.row_number().over(w))
-            .filter(F.col("_r") <= k).drop("_r"))
+    return (_series(metrics, name, labels).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+            .select(*SERIES, "ts", (F.col("value") / scale).alias("value")))
+
+
+def metric_topk_over(metrics: DataFrame, name: str, k: int, lookback_s: int, at: str | _dt.datetime | None = None,
+                     ascending: bool = False, labels: dict[str, str] | None = None, scale: float = 1.0) -> DataFrame:
+    """``topk(k, last_over_time(name{labels}[lookback])) / scale`` at ``at``, or ``bottomk``."""
+    order = F.col("value").asc() if ascending else F.col("value").desc()
+    return metric_last_over(metrics, name, lookback_s, at, scale, labels).orderBy(order, "type", "route_id").limit(k)
 
 
 def metric_range(metrics: DataFrame, name: str, start: str | _dt.datetime, end: str | _dt.datetime) -> DataFrame:

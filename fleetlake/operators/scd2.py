@@ -3,8 +3,9 @@
 ``scd2_apply`` returns the complete next snapshot of the dimension; the
 caller writes it to a new location and swaps (``sinks.write_refresh``), so
 the path being read is never overwritten.  One full outer join on the
-business key (one shuffle of each side) decides every row; an empty or
-missing dimension makes the same code a full load.
+business key decides every active row; closed history is passed through by a
+second read of the dimension.  An empty or missing dimension makes the same
+code a full load.
 """
 
 from __future__ import annotations
@@ -39,9 +40,14 @@ def _active(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col("active_flg") == 1)
 
 
-def new_or_changed_keys(stg: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Staged rows whose key has no active version (J2): ``left_anti``, not outer join + IS NULL."""
-    return stg.join(_active(dim).select(key), key, "left_anti")
+def new_or_changed_keys(stg: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str] = (),
+                        now: str | _dt.datetime = OPEN_END, null_safe: bool = True) -> DataFrame:
+    """Staged rows that get a new version (J2): the key has no active version, or, given ``attrs``, had
+    one that this load closes.  ``left_anti``, not outer join + IS NULL."""
+    kept = _active(dim).select(key)
+    if attrs:
+        kept = kept.join(scd2_close(dim, stg, key, attrs, now, null_safe).select(key), key, "left_anti")
+    return stg.join(kept, key, "left_anti")
 
 
 def scd2_close(dim: DataFrame, stg: DataFrame, key: str, attrs: Sequence[str], now: str | _dt.datetime,

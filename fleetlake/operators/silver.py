@@ -5,27 +5,22 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.functions.exprs import lit_ntz, parse_utc_ts, safe_cast
+from fleetlake.functions.exprs import blank_to_null, lit_ntz, parse_utc_ts, safe_cast
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """Keep one row per key: the greatest ``(order..., tiebreak...)``.
 
-    Same result as ``row_number() over (partition by keys order by ... desc) = 1``
-    with a total order, but planned as an aggregate with ``max_by``: partial
-    aggregation runs before the shuffle, so a hot key (a message re-sent a
-    million times) is reduced map-side instead of being sorted in one task.
-    NULL order values rank lowest, as ``desc nulls last`` does.
+    Only the columns a later step uses are shuffled, and a limit of one row per
+    key runs before the shuffle as well (``WindowGroupLimit``), so a message
+    re-sent a million times leaves a task once.  NULL order values rank lowest.
     """
-    cols = df.columns
-    ordering = F.struct(*[F.col(c) for c in list(order) + list(tiebreak)])
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_row"))
-            .select(*[F.col(f"_row.{c}").alias(c) for c in cols]))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order, *tiebreak]])
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def type_events(flat: DataFrame, now: str | _dt.datetime) -> DataFrame:
@@ -39,10 +34,26 @@ def type_events(flat: DataFrame, now: str | _dt.datetime) -> DataFrame:
             .withColumn("update_time", lit_ntz(now)))
 
 
+def reject_reason() -> Column:
+    """Why a typed report can't be keyed; NULL for one that can."""
+    return (F.when(blank_to_null("vehicle_number").isNull(), "no_vehicle")
+            .when(F.col("tst").isNull(), "no_tst"))
+
+
+def dedupe_events(typed: DataFrame) -> DataFrame:
+    """Reports with a key, one per (vehicle_number, tst): later landing wins, offset breaks ties."""
+    return dedupe_latest(typed.filter(reject_reason().isNull()), ["vehicle_number", "tst"], ["insert_time"],
+                         ["kafka_partition", "kafka_offset"])
+
+
 def silver_events(flat: DataFrame, now: str | _dt.datetime) -> DataFrame:
-    """Dedupe on (vehicle_number, tst), later landing wins, offset breaks ties; then type."""
-    deduped = dedupe_latest(flat, ["vehicle_number", "tst"], ["insert_time"], ["kafka_partition", "kafka_offset"])
-    return type_events(deduped, now)
+    """Type, then dedupe on the typed key; reports without vehicle or time are ``silver_rejects``."""
+    return dedupe_events(type_events(flat, now))
+
+
+def silver_rejects(flat: DataFrame, now: str | _dt.datetime) -> DataFrame:
+    """The reports that ``silver_events`` leaves out, with the reason."""
+    return type_events(flat, now).withColumn("reject_reason", reject_reason()).filter(F.col("reject_reason").isNotNull())
 
 
 def filter_delay_outliers(df: DataFrame, col: str = "dl", max_abs: int = 1800) -> DataFrame:
@@ -50,18 +61,9 @@ def filter_delay_outliers(df: DataFrame, col: str = "dl", max_abs: int = 1800) -
     return df.filter(F.col(col).isNotNull() & (F.abs(F.col(col)) <= max_abs))
 
 
-def with_audit(df: DataFrame, now: str | _dt.datetime, *, rundate: str | None = None,
-               kind: str = "update") -> DataFrame:
-    """Audit columns with an injected time.
-
-    ``kind``: ``"landing"`` -> insert_time + rundate; ``"update"`` ->
-    insert_time + update_time; ``"dim"`` -> insert_dt + update_dt.
-    """
+def with_audit(df: DataFrame, now: str | _dt.datetime) -> DataFrame:
+    """Audit columns ``insert_time`` and ``update_time`` with an injected time."""
     t = lit_ntz(now)
-    if kind == "landing":
-        return df.withColumn("insert_time", t).withColumn("rundate", F.lit(rundate).cast("date"))
-    if kind == "dim":
-        return df.withColumn("insert_dt", t).withColumn("update_dt", t)
     return df.withColumn("insert_time", t).withColumn("update_time", t)
 
 
@@ -90,17 +92,23 @@ STOPS_CLEAN = dict(drop=("stop_url", "location_type", "_corrupt_record"),
 
 
 def stage_dim(landed: DataFrame, key: str, spec: dict) -> DataFrame:
-    """Clean the landed rows, then keep the latest landing per business key."""
+    """Clean the landed rows, then keep the latest landing per business key; of rows landed at the same
+    time, the one with the greatest values, column by column, wins."""
     cleaned = clean_dim(landed, **spec)
-    return dedupe_latest(cleaned, [key], ["insert_time"])
+    return dedupe_latest(cleaned, [key], ["insert_time"], [c for c in cleaned.columns if c not in (key, "insert_time")])
 
 
-def incremental(df: DataFrame, last: _dt.datetime | None, ts_col: str = "insert_time") -> DataFrame:
+def incremental(df: DataFrame, last: _dt.datetime | None, ts_col: str = "insert_time",
+                day_col: str = "landed") -> DataFrame:
     """Rows newer than the last loaded time.
 
-    ``last`` is a scalar fetched by ``joblog.last_loaded_value``; as a literal
-    it is pushed into the Parquet scan and skips old row groups.
+    ``last`` is a scalar fetched by ``joblog.last_loaded_value``; as a literal it
+    is pushed into the Parquet scan and skips old row groups.  A table that is
+    partitioned by landing day (``day_col``) is listed from that day on only.
     """
     if last is None:
         return df
-    return df.filter(F.col(ts_col) > lit_ntz(last))
+    t = lit_ntz(last)
+    if day_col in df.columns:
+        df = df.filter(F.col(day_col) >= t.cast("date"))
+    return df.filter(F.col(ts_col) > t)

@@ -12,14 +12,17 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
 
 from fleetlake.functions.exprs import lit_ntz
 from fleetlake.operators import dq
 from fleetlake.operators.envelope import flatten_envelope
 from fleetlake.operators.gold import fact_new_rows, to_fact
-from fleetlake.operators.joblog import last_loaded_value, log_row
+from fleetlake.operators.joblog import delete_job_log, last_loaded_value, log_row, truncate_job_log
 from fleetlake.operators.scd2 import ROUTE_ATTRS, STOP_ATTRS, scd2_apply
-from fleetlake.operators.silver import ROUTES_CLEAN, STOPS_CLEAN, incremental, silver_events, stage_dim
+from fleetlake.operators.silver import (
+    ROUTES_CLEAN, STOPS_CLEAN, dedupe_events, incremental, reject_reason, stage_dim, type_events,
+)
 from fleetlake.schemas import JOB_LOG_SCHEMA, ROUTES_RAW_COLUMNS, STOPS_RAW_COLUMNS
 from fleetlake.sinks import TableStore, observed_write
 
@@ -37,7 +40,18 @@ def job_log(store: TableStore) -> DataFrame:
 
 
 def _log(store: TableStore, schema: str, table: str, max_ts, rundate, now) -> None:
-    store.write_append(JOB_LOG, log_row(store.spark, schema, table, max_ts, rundate, _ts(now)))
+    row = log_row(store.spark, schema, table, max_ts, rundate, _ts(now))
+    store.write_refresh(JOB_LOG, job_log(store).unionByName(row).coalesce(1))
+
+
+def delete_logged(store: TableStore, schema: str, table: str) -> None:
+    """Forget one table's loads (K9): the next run of its chain loads everything again."""
+    store.write_refresh(JOB_LOG, delete_job_log(job_log(store), schema, table).coalesce(1))
+
+
+def truncate_logged(store: TableStore) -> None:
+    """Forget all loads."""
+    store.write_refresh(JOB_LOG, truncate_job_log(job_log(store)))
 
 
 JOB_METRICS = "job_metrics"
@@ -53,34 +67,49 @@ def _metrics(store: TableStore, table: str, stats: dict, now) -> None:
 
 
 def run_events(spark: SparkSession, store: TableStore, bronze: DataFrame, *, now, rundate) -> dict:
-    """Landing rows newer than the last staged load -> silver snapshot -> idempotent fact append.
+    """Landing rows newer than the last completed load -> silver snapshot -> idempotent fact append.
 
     Silver is computed once: written, audited on the written files, then
-    published; the fact step reads the published snapshot.
+    published; the fact step reads the published snapshot.  Reports without
+    vehicle or time go to ``events_rejects``.  Both loads are logged after the
+    fact is committed: a run that fails anywhere is repeated from its start by
+    the next one, and the anti-joins keep what was already appended single.
     """
     last = last_loaded_value(job_log(store), "hdw_stg", "events_stg")
-    silver = silver_events(flatten_envelope(incremental(bronze, last)), now)
-    rules = [dq.no_nulls("vehicle_number"), dq.no_duplicates(["vehicle_number", "tst"])]
+    read = Observation("typed")
+    typed = type_events(flatten_envelope(incremental(bronze, last)), now)
+    seen = typed.observe(read, F.max("insert_time").alias("max_read"),
+                         F.count_if(reject_reason().isNotNull()).alias("rejected"))
+    rules = [dq.no_nulls("vehicle_number"), dq.no_nulls("tst"), dq.no_duplicates(["vehicle_number", "tst"])]
 
     def audit(written: DataFrame) -> None:
         if written.isEmpty():
             raise _NothingNew
         dq.check(written, rules, "events_stg")
 
+    stats, tables = {}, []
     try:
-        stats = {"silver": observed_write(silver, lambda d: store.write_refresh("events_stg", d, audit))}
+        stats["silver"] = observed_write(dedupe_events(seen), lambda d: store.write_refresh("events_stg", d, audit))
+        fact = to_fact(store.read("events_stg"), now)
+        if store.exists("fact_vehicle_position"):
+            fact = fact_new_rows(fact, store.read("fact_vehicle_position"))
+        stats["fact"] = observed_write(fact, lambda d: store.write_append("fact_vehicle_position", d, ["oday"]))
+        tables = [("events_stg", "silver"), ("fact_vehicle_position", "fact")]
     except _NothingNew:
+        pass
+    if read.get["rejected"]:
+        bad = typed.withColumn("reject_reason", reject_reason()).filter(F.col("reject_reason").isNotNull())
+        if store.exists("events_rejects"):
+            bad = fact_new_rows(bad, store.read("events_rejects"), ("kafka_partition", "kafka_offset", "insert_time"),
+                                "reject_reason")
+        stats["rejects"] = observed_write(bad, lambda d: store.write_append("events_rejects", d, ["reject_reason"]))
+        tables.append(("events_rejects", "rejects"))
+    if not tables:
         return {"silver_rows": 0, "fact_rows": 0}
-    stg = store.read("events_stg")
-    max_read = stg.agg(F.max("insert_time").alias("m")).first()["m"]
-    _log(store, "hdw_stg", "events_stg", max_read, rundate, now)
-
-    fact = to_fact(stg, now)
-    if store.exists("fact_vehicle_position"):
-        fact = fact_new_rows(fact, store.read("fact_vehicle_position"))
-    stats["fact"] = observed_write(fact, lambda d: store.write_append("fact_vehicle_position", d, ["oday"]))
+    max_read = read.get["max_read"]
     _log(store, "hdw", "fact_vehicle_position", max_read, rundate, now)
-    for table, key in (("events_stg", "silver"), ("fact_vehicle_position", "fact")):
+    _log(store, "hdw_stg", "events_stg", max_read, rundate, now)
+    for table, key in tables:
         _metrics(store, table, stats[key], now)
     return stats
 
@@ -91,18 +120,19 @@ class _NothingNew(Exception):
 
 def _run_dim(store: TableStore, landed: DataFrame, *, name: str, key: str, spec: dict, attrs, expected,
              extra_rules, now, rundate, null_safe: bool = True) -> dict:
-    land = f"{name}_ld"
+    """Landing -> staging -> dimension.  Staging is logged once the dimension is published, so a run
+    that fails in between is made good by the next one."""
+    land, newest = f"{name}_ld", F.max("insert_time")
     dq.check(landed, [dq.not_empty(), dq.columns_exist(expected), dq.no_nulls(key)], land)
-    stats = {"landing": observed_write(landed, lambda d: store.write_append(land, d))}
-    _log(store, "hdw_ld", land, landed.agg(F.max("insert_time")).first()[0], rundate, now)
+    stats = {"landing": observed_write(landed, lambda d: store.write_append(land, d), max_read=newest)}
+    _log(store, "hdw_ld", land, stats["landing"]["max_read"], rundate, now)
 
     last = last_loaded_value(job_log(store), "hdw_stg", f"{name}_stg")
     staged = stage_dim(incremental(store.read(land), last), key, spec)
     stg_rules = [dq.not_empty(), dq.no_duplicates([key]), *extra_rules]
     stats["staging"] = observed_write(staged, lambda d: store.write_refresh(
-        f"{name}_stg", d, lambda w: dq.check(w, stg_rules, f"{name}_stg")))
-    stg = store.read(f"{name}_stg")
-    _log(store, "hdw_stg", f"{name}_stg", stg.agg(F.max("insert_time")).first()[0], rundate, now)
+        f"{name}_stg", d, lambda w: dq.check(w, stg_rules, f"{name}_stg")), max_read=newest)
+    stg, max_read = store.read(f"{name}_stg"), stats["staging"]["max_read"]
 
     current = store.read(f"dim_{name}") if store.exists(f"dim_{name}") else None
     nxt = scd2_apply(current, stg, key, attrs, now, null_safe=null_safe)
@@ -111,8 +141,9 @@ def _run_dim(store: TableStore, landed: DataFrame, *, name: str, key: str, spec:
         nxt, lambda d: store.write_refresh(f"dim_{name}", d, lambda w: dq.check(w, [dq.active_unique([key])], f"dim_{name}")),
         rows_inserted=F.count_if(F.col("effective_start_dt") == t),
         rows_updated=F.count_if((F.col("active_flg") == 0) & (F.col("update_dt") == t)))
-    _log(store, "hdw", f"dim_{name}", stg.agg(F.max("insert_time")).first()[0], rundate, now)
-    for table, k in ((f"{name}_ld", "landing"), (f"{name}_stg", "staging"), (f"dim_{name}", "dim")):
+    _log(store, "hdw", f"dim_{name}", max_read, rundate, now)
+    _log(store, "hdw_stg", f"{name}_stg", max_read, rundate, now)
+    for table, k in ((land, "landing"), (f"{name}_stg", "staging"), (f"dim_{name}", "dim")):
         _metrics(store, table, stats[k], now)
     return stats
 

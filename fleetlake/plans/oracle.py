@@ -106,7 +106,7 @@ def _routes(version: int) -> str:
     long_name = "CASE WHEN p_partkey % 7 = 1 THEN NULL ELSE p_name END" if version == 2 else "p_name"
     size = "p_size + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END" if version == 2 else "p_size"
     return f"""SELECT 'R' || CAST(p_partkey AS VARCHAR) AS route_id,
-         'HSL' AS agency_id,
+         'CITY' AS agency_id,
          coalesce(CASE WHEN p_partkey % 9 = 4 THEN NULL ELSE p_brand END, 'NA') AS route_short_name,
          {long_name} AS route_long_name,
          TRY_CAST(CASE WHEN p_partkey % 23 = 5 THEN 'bus' ELSE CAST({size} AS VARCHAR) END AS INTEGER) AS route_type,
@@ -294,15 +294,20 @@ ORDER BY veh_to_stops_ratio DESC NULLS LAST, f.route_id
 LIMIT 10""",
         "partition_distribution": b + """
 SELECT kafka_partition, count(*) AS event_count FROM flat GROUP BY kafka_partition ORDER BY kafka_partition""",
-        "offset_gaps": base(lose_every=97) + """,
+        "offset_gaps": """
+WITH feed AS (
+  SELECT 'vehicle_positions' AS topic, event_id FROM events WHERE event_id % 97 <> 0
+  UNION ALL
+  SELECT 'vehicle_positions_b', event_id FROM events WHERE event_id % 89 <> 0
+),
 ordered AS (
-  SELECT kafka_partition, kafka_offset,
-         lead(kafka_offset) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset) AS next_offset
-  FROM flat
+  SELECT topic, CAST(event_id % 6 AS INTEGER) AS kafka_partition, CAST(event_id // 6 AS BIGINT) AS kafka_offset,
+         lead(CAST(event_id // 6 AS BIGINT)) OVER (PARTITION BY topic, event_id % 6 ORDER BY event_id) AS next_offset
+  FROM feed
 )
-SELECT kafka_partition, kafka_offset + 1 AS missing_start, next_offset - 1 AS missing_end,
+SELECT topic, kafka_partition, kafka_offset + 1 AS missing_start, next_offset - 1 AS missing_end,
        next_offset - kafka_offset - 1 AS missing_count
-FROM ordered WHERE next_offset IS NOT NULL AND next_offset > kafka_offset + 1""",
+FROM ordered WHERE next_offset > kafka_offset + 1""",
         "route_bus_count": b + """
 SELECT oday, route_id, count(DISTINCT vehicle_number) AS bus_count
 FROM fact GROUP BY oday, route_id ORDER BY bus_count DESC, oday, route_id LIMIT 10""",
@@ -370,7 +375,9 @@ SELECT vehicle_number, tst, {_REASON} AS reject_reason FROM silver WHERE ({_REAS
         "scd2_incremental": b + f"\nSELECT {DIM_OUT} FROM dim2",
         "scd2_incremental_plain": b + f"\nSELECT {DIM_OUT} FROM dim2_plain",
         "scd2_new_keys": b + """
-SELECT route_id FROM routes_v2 WHERE route_id NOT IN (SELECT route_id FROM dim1 WHERE active_flg = 1)""",
+-- new in the second file, or closed by it
+SELECT route_id FROM routes_v2
+WHERE route_id NOT IN (SELECT route_id FROM dim1) OR route_id IN (SELECT route_id FROM dim2 WHERE active_flg = 0)""",
         "scd2_closed": b + f"""
 SELECT {DIM_OUT} FROM dim2 WHERE active_flg = 0""",
         "dim_clean_routes": b + "\nSELECT * FROM routes_v2",
@@ -380,7 +387,9 @@ SELECT {DIM_OUT} FROM dim2 WHERE active_flg = 0""",
 versions AS (
   SELECT *, lead(effective_start_dt) OVER (PARTITION BY route_id ORDER BY effective_start_dt) AS valid_to FROM dim2
 )
-SELECT {DIM_OUT} FROM versions
+SELECT route_id, route_short_name, route_long_name, route_type, effective_start_dt,
+       TIMESTAMP '9999-12-31 00:00:00' AS effective_end_dt, 1 AS active_flg, insert_dt AS update_dt, row_wid
+FROM versions
 WHERE effective_start_dt <= TIMESTAMP '{AS_OF}' AND (valid_to IS NULL OR TIMESTAMP '{AS_OF}' < valid_to)""",
         "fact_join_as_of": b + """,
 versions AS (
@@ -390,7 +399,8 @@ SELECT f.tst, f.vehicle_number, f.route_id, v.route_long_name, v.route_type, v.r
 FROM fact f JOIN versions v
   ON f.route_id = v.route_id AND f.tst >= v.effective_start_dt AND (v.valid_to IS NULL OR f.tst < v.valid_to)""",
         "dq_report": b + """
-SELECT 'dim_stops' AS table_name, rule, target, violations, violations = 0 AS passed FROM (
+SELECT 'dim_stops' AS table_name, rule, target, violations, violations = 0 AS passed,
+       CASE WHEN rule = 'columns_exist' THEN 'missing: stop_url' ELSE '' END AS detail FROM (
   SELECT 'not_empty' AS rule, '' AS target, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS violations FROM dim_stops
   UNION ALL
   -- stop_url is dropped while staging, so one listed column is missing
@@ -409,7 +419,7 @@ SELECT 'dim_stops' AS table_name, rule, target, violations, violations = 0 AS pa
 )""",
         "dq_duplicates": """
 SELECT 'lineitem' AS table_name, 'no_duplicates' AS rule, 'l_orderkey,l_linenumber' AS target,
-       count(*) FILTER (WHERE c > 1) AS violations, count(*) FILTER (WHERE c > 1) = 0 AS passed
+       count(*) FILTER (WHERE c > 1) AS violations, '' AS detail, count(*) FILTER (WHERE c > 1) = 0 AS passed
 FROM (SELECT l_orderkey, l_linenumber, count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
         "joblog_last": b + JOB_LOG + """
 SELECT schema_name, table_name, max(max_timestamp) AS max_timestamp FROM job_log GROUP BY schema_name, table_name""",
@@ -422,8 +432,10 @@ SELECT vehicle_number AS "key", kafka_partition AS "partition", kafka_offset AS
 WHERE insert_time > (SELECT max(max_timestamp) FROM job_log WHERE schema_name = 'hdw_stg' AND table_name = 'events_stg')""",
         "dedupe_dim": b + """
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY insert_time DESC) AS rn
-  FROM (SELECT * FROM routes_v1 UNION ALL SELECT * FROM routes_v2)
+  SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY insert_time DESC, agency_id DESC NULLS LAST,
+           route_short_name DESC NULLS LAST, route_long_name DESC NULLS LAST, route_type DESC NULLS LAST, rundate DESC) AS rn
+  FROM (SELECT * FROM routes_v1 UNION ALL SELECT * FROM routes_v2
+        UNION ALL SELECT * REPLACE (TIMESTAMP '""" + LOAD2 + """' AS insert_time, DATE '""" + LOAD2[:10] + """' AS rundate) FROM routes_v1)
 ) WHERE rn = 1""",
         "fact_incremental": b + f""",
 ex AS ({_silver_of(f"insert_time < TIMESTAMP '{FIRST_UNTIL}'")}),
@@ -436,8 +448,33 @@ WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.oday = bt.oday AND ex.vehicle_number
         "route_extremes": b + KPI + f"""
 SELECT * FROM ({_extremes("(SELECT * FROM rwin WHERE events_cnt >= 2)")})""",
         "route_extremes_latest": b + KPI + f""",
-lw AS (SELECT * FROM rwin WHERE events_cnt >= 1 AND window_end = (SELECT max(window_end) FROM rwin WHERE events_cnt >= 1))
+half AS (
+  SELECT time_bucket(INTERVAL 12 HOUR, tst) AS window_start, time_bucket(INTERVAL 12 HOUR, tst) + INTERVAL 12 HOUR AS window_end,
+         route_id, avg(CAST(dl AS DOUBLE)) AS avg_delay_sec, count(*) AS events_cnt
+  FROM kin GROUP BY ALL
+),
+lw AS (SELECT * FROM half WHERE window_end = (SELECT max(window_end) FROM half) AND events_cnt >= 5)
 SELECT * FROM ({_extremes("lw")})""",
+        "route_extremes_none": "SELECT CAST(0 AS BIGINT) AS named",
+        "kpi_windows_approx": b + KPI + """
+SELECT window_start, window_end, events, avg_speed, true AS vehicles_within_5_pct FROM kpi""",
+        "metric_bottomk": b + METRICS + f"""
+SELECT metric, type, route_id, ts, value / 60.0 AS value FROM metrics WHERE metric = '{EXTREME}' AND type = 'best'
+QUALIFY row_number() OVER (PARTITION BY ts ORDER BY value, route_id NULLS FIRST) = 1""",
+        "metric_topk_worst": b + METRICS + f"""
+SELECT metric, type, route_id, max(ts) AS ts, arg_max(value, ts) / 60.0 AS value FROM metrics
+WHERE metric = '{EXTREME}' AND type = 'worst'
+  AND ts > (SELECT max(ts) FROM metrics WHERE metric = '{EXTREME}') - INTERVAL 12 HOUR
+GROUP BY ALL ORDER BY value DESC, route_id LIMIT 1""",
+        "metric_bottomk_best": b + METRICS + f"""
+SELECT metric, type, route_id, max(ts) AS ts, arg_max(value, ts) / 60.0 AS value FROM metrics
+WHERE metric = '{EXTREME}' AND type = 'best' AND ts > TIMESTAMP '{AS_OF}' - INTERVAL 12 HOUR AND ts <= TIMESTAMP '{AS_OF}'
+GROUP BY ALL ORDER BY value, route_id LIMIT 1""",
+        "metric_last_over_worst": b + METRICS + f"""
+SELECT metric, type, route_id, max(ts) AS ts, arg_max(value, ts) / 60.0 AS value FROM metrics
+WHERE metric = '{EXTREME}' AND type = 'worst'
+  AND ts > (SELECT max(ts) FROM metrics WHERE metric = '{EXTREME}') - INTERVAL 12 HOUR
+GROUP BY ALL""",
         "metrics_long": b + METRICS + "\nSELECT * FROM metrics",
         "metric_latest": b + METRICS + """
 SELECT metric, type, route_id, max(ts) AS ts, arg_max(value, ts) AS value FROM metrics GROUP BY metric, type, route_id""",
@@ -458,7 +495,8 @@ sexp AS (
   SELECT time_bucket(INTERVAL 30 SECOND, event_time) - INTERVAL 30 SECOND * k AS window_start, sin.*
   FROM sin CROSS JOIN range(10) AS r(k)
 )
-SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end, count(*) AS events, avg(spd) AS avg_speed,
+SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end, true AS vehicles_near, count(*) AS events,
+       avg(spd) AS avg_speed,
        {_HITS}
 FROM sexp GROUP BY window_start
 -- append mode: only windows closed by the final watermark (max event time - 1 minute)
@@ -507,6 +545,38 @@ SELECT oday, vehicle_number, tst, dl, TIMESTAMP '{FACT_NOW}' AS insert_time FROM
 WHERE NOT EXISTS (SELECT 1 FROM run1 WHERE run1.oday = run2.oday AND run1.vehicle_number = run2.vehicle_number
                   AND run1.tst = run2.tst)""",
         "routes_chain": b + f"\nSELECT {DIM_OUT} FROM dim2",
+        "stops_chain": b + """
+SELECT * REPLACE (CAST(CAST(stop_code AS BIGINT) AS VARCHAR) AS stop_code, wheelchair_boarding % 3 AS wheelchair_boarding)
+FROM dim_stops""",
+        "events_chain_recovery": b + f"""
+SELECT oday, vehicle_number, tst, dl, TIMESTAMP '{FACT_NOW}' AS insert_time FROM silver""",
+        "events_chain_malformed": b + """,
+marked AS (SELECT *, kafka_offset % 50 AS n FROM flat)
+SELECT 'kept' AS outcome, count(DISTINCT (vehicle_number, tst)) AS reports FROM marked WHERE n NOT IN (1, 2, 3)
+UNION ALL
+SELECT 'no_tst', count(*) FROM marked WHERE n IN (1, 2)
+UNION ALL
+SELECT 'no_vehicle', count(*) FROM marked WHERE n = 3""",
+        "metrics_stream": b + f""",
+sin AS (
+  SELECT strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, route_id, spd, CAST(dl AS DOUBLE) AS dl
+  FROM flat WHERE dl IS NOT NULL AND abs(dl) <= 1800
+),
+sexp AS (
+  SELECT time_bucket(INTERVAL 30 SECOND, event_time) - INTERVAL 30 SECOND * k AS window_start, sin.*
+  FROM sin CROSS JOIN range(10) AS r(k)
+  WHERE time_bucket(INTERVAL 30 SECOND, event_time) - INTERVAL 30 SECOND * k + INTERVAL 300 SECOND
+        <= (SELECT max(event_time) FROM sin) - INTERVAL 1 MINUTE
+),
+skpi AS (SELECT window_start + INTERVAL 300 SECOND AS ts, avg(spd) AS avg_speed, {_HITS} FROM sexp GROUP BY window_start),
+sroute AS (
+  SELECT window_start, window_start + INTERVAL 300 SECOND AS window_end, route_id, avg(dl) AS avg_delay_sec
+  FROM sexp GROUP BY window_start, route_id HAVING count(*) >= 2
+)
+{" UNION ALL ".join(f"SELECT '{g}' AS metric, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS VARCHAR) AS route_id, ts, {e} AS value FROM skpi"
+                    for g, e in _GAUGES.items() if g != "total_active_vehicles")}
+UNION ALL
+SELECT '{EXTREME}', type, route_id, window_end, avg_delay_sec FROM ({_extremes("sroute")})""",
         "metric_range": b + METRICS + f"""
 SELECT * FROM metrics WHERE metric = 'avg_speed_all' AND ts >= TIMESTAMP '{RANGE[0]}' AND ts <= TIMESTAMP '{RANGE[1]}'
 ORDER BY ts""",
@@ -519,3 +589,5 @@ for _k in ("route_delay_top", "route_density", "partition_distribution"):
     ORACLE_SQL[f"sql_{_k}"] = ORACLE_SQL[_k]
 # both batch forms of the sliding KPIs answer the same question
 ORACLE_SQL["kpi_windows_native"] = ORACLE_SQL["kpi_windows"]
+# rows behind the watermark change no window
+ORACLE_SQL["kpi_stream_late"] = ORACLE_SQL["kpi_stream"]

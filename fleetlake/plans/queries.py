@@ -8,6 +8,8 @@ limits appear only in top-k reports.
 
 from __future__ import annotations
 
+import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +19,7 @@ from fleetlake.operators import analytics as A
 from fleetlake.operators import dq
 from fleetlake.operators import kpi as K
 from fleetlake.operators import metrics as M
-from fleetlake.operators.joblog import delete_job_log, last_loaded, last_loaded_value, latest_job_log
+from fleetlake.operators.joblog import last_loaded, last_loaded_value, latest_job_log
 from fleetlake.operators.envelope import (
     filter_journey, flatten_envelope, journey_rejects, parse_topic_path, record_key,
 )
@@ -26,8 +28,18 @@ from fleetlake.operators.scd2 import ROUTE_ATTRS, STOP_ATTRS, new_or_changed_key
 from fleetlake.operators.silver import (
     ROUTES_CLEAN, STOPS_CLEAN, all_to_string, filter_delay_outliers, incremental, silver_events, stage_dim,
 )
-from fleetlake.functions.exprs import lit_ntz
+from fleetlake.functions.exprs import lit_ntz, utc_ntz
+from fleetlake.plans import chains as C
+from fleetlake.plans import sql as S
+from fleetlake.schemas import FACT_COLUMNS
+from fleetlake.session import shared_dir
+from fleetlake.sinks import TableStore
 from fleetlake.sources import fixtures as X
+from fleetlake.sources.kafka import read_events_stream, replay
+from fleetlake.streaming.kpi_stream import (
+    kpi_stream, read_metrics, route_delay_stream, start_metrics, stream_positions,
+)
+from fleetlake.streaming.landing import start_landing
 
 # Fixed parameters of the registered queries.
 DAY = "2024-01-08"                 # a Monday inside the driver's event range
@@ -38,6 +50,8 @@ AS_OF = "2024-01-10 12:00:00"      # point-in-time dimension state
 FIRST_UNTIL = "2024-01-16 00:00:00"   # first gold run read landings before this time
 SECOND_FROM = "2024-01-14 00:00:00"   # second run re-reads two overlapping days
 RANGE = ("2024-01-10 00:00:00", "2024-01-10 06:00:00")
+SLICES = ("2024-01-01 00:00:00", "2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00", "2024-03-01 00:00:00")
+HALF_DAY = 12 * 3600
 REPLAY = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +59,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---------------------------------------------------------------- layers
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    # the feed carries the JSON work, so it is spread over the cores when under-split
-    return X.spread(X.table(spark, sf, "events"))
+    return X.table(spark, sf, "events")
 
 
 def bronze(spark: SparkSession, sf: str, **kw) -> DataFrame:
@@ -61,10 +74,39 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return silver_events(flat(spark, sf), now=LOAD1)
 
 
-def fact(spark: SparkSession, sf: str) -> DataFrame:
+def computed_fact(spark: SparkSession, sf: str) -> DataFrame:
     return to_fact(silver(spark, sf), FACT_NOW)
 
 
+_STORED: dict[tuple, TableStore] = {}
+
+
+def lake(spark: SparkSession, sf: str) -> TableStore:
+    """The gold layer of ``sf``, written once per application: the fact by operating day, both
+    dimensions.  Reports read it, as they do in production, instead of parsing the feed each time."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        store = TableStore(spark, shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex))
+        store.write_append("fact_vehicle_position", computed_fact(spark, sf).repartition("oday"), ["oday"])
+        store.write_refresh("dim_routes", computed_routes(spark, sf))
+        store.write_refresh("dim_stops", computed_stops(spark, sf))
+        _STORED[key] = store
+    return _STORED[key]
+
+
+def fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored fact; its partition column comes first, as in the computed one."""
+    return lake(spark, sf).read("fact_vehicle_position").select(*FACT_COLUMNS, "insert_time", "update_time")
+
+
+def dim_routes(spark: SparkSession, sf: str) -> DataFrame:
+    return lake(spark, sf).read("dim_routes")
+
+
+def dim_stops(spark: SparkSession, sf: str) -> DataFrame:
+    return lake(spark, sf).read("dim_stops")
+
+
 def routes_staged(spark: SparkSession, sf: str, version: int) -> DataFrame:
     part = X.table(spark, sf, "part")
     at = LOAD1 if version == 1 else LOAD2
@@ -72,7 +114,7 @@ def routes_staged(spark: SparkSession, sf: str, version: int) -> DataFrame:
     return stage_dim(landed, "route_id", ROUTES_CLEAN)
 
 
-def dim_routes(spark: SparkSession, sf: str, loads: int = 2, null_safe: bool = True) -> DataFrame:
+def computed_routes(spark: SparkSession, sf: str, loads: int = 2, null_safe: bool = True) -> DataFrame:
     d = scd2_apply(None, routes_staged(spark, sf, 1), "route_id", ROUTE_ATTRS, LOAD1)
     if loads >= 2:
         d = scd2_apply(d, routes_staged(spark, sf, 2), "route_id", ROUTE_ATTRS, LOAD2, null_safe=null_safe)
@@ -84,7 +126,7 @@ def stops_staged(spark: SparkSession, sf: str) -> DataFrame:
     return stage_dim(landed, "stop_id", STOPS_CLEAN)
 
 
-def dim_stops(spark: SparkSession, sf: str) -> DataFrame:
+def computed_stops(spark: SparkSession, sf: str) -> DataFrame:
     return scd2_apply(None, stops_staged(spark, sf), "stop_id", STOP_ATTRS, LOAD1)
 
 
@@ -103,7 +145,9 @@ def q_partition_distribution(spark, sf):
 
 def q_offset_gaps(spark, sf):
     # bucket_size is small here so the bucket-edge stitching is exercised at test scale
-    return A.offset_gaps(bronze(spark, sf, lose_every=97), bucket_size=64)
+    # and two topics share the landing table with the same partitions and offsets, but other losses
+    two = bronze(spark, sf, lose_every=97).unionByName(bronze(spark, sf, lose_every=89, topic="vehicle_positions_b"))
+    return A.offset_gaps(two, bucket_size=64)
 
 
 def q_route_bus_count(spark, sf):
@@ -144,7 +188,7 @@ def q_stop_bottlenecks(spark, sf):
 
 # ---------------------------------------------------------------- layers as queries
 def q_fact_select(spark, sf):
-    return fact(spark, sf)
+    return computed_fact(spark, sf)
 
 
 def q_fact_join_active_dim(spark, sf):
@@ -200,23 +244,24 @@ _DIM_OUT = ["route_id", "route_short_name", "route_long_name", "route_type",
 
 
 def q_scd2_initial(spark, sf):
-    return dim_routes(spark, sf, loads=1).select(*_DIM_OUT)
+    return computed_routes(spark, sf, loads=1).select(*_DIM_OUT)
 
 
 def q_scd2_incremental(spark, sf):
-    return dim_routes(spark, sf, loads=2).select(*_DIM_OUT)
+    return computed_routes(spark, sf, loads=2).select(*_DIM_OUT)
 
 
 def q_scd2_incremental_plain(spark, sf):
-    return dim_routes(spark, sf, loads=2, null_safe=False).select(*_DIM_OUT)
+    return computed_routes(spark, sf, loads=2, null_safe=False).select(*_DIM_OUT)
 
 
 def q_scd2_new_keys(spark, sf):
-    return new_or_changed_keys(routes_staged(spark, sf, 2), dim_routes(spark, sf, loads=1), "route_id").select("route_id")
+    return new_or_changed_keys(routes_staged(spark, sf, 2), computed_routes(spark, sf, loads=1), "route_id",
+                               ROUTE_ATTRS, LOAD2).select("route_id")
 
 
 def q_scd2_closed(spark, sf):
-    return scd2_close(dim_routes(spark, sf, loads=1), routes_staged(spark, sf, 2), "route_id",
+    return scd2_close(computed_routes(spark, sf, loads=1), routes_staged(spark, sf, 2), "route_id",
                       ROUTE_ATTRS, LOAD2).select(*_DIM_OUT)
 
 
@@ -229,7 +274,7 @@ def q_dim_clean_stops(spark, sf):
 
 
 def q_dim_stops(spark, sf):
-    return dim_stops(spark, sf)
+    return computed_stops(spark, sf)
 
 
 def q_dim_as_of(spark, sf):
@@ -275,8 +320,16 @@ def q_joblog_latest(spark, sf):
     return latest_job_log(job_log(spark, sf))
 
 
+def _store(spark) -> TableStore:
+    return TableStore(spark, shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex))
+
+
 def q_joblog_delete(spark, sf):
-    return delete_job_log(job_log(spark, sf), "hdw_stg", "events_stg")
+    """The log as stored after a delete (K9): written, one table forgotten, read back."""
+    store = _store(spark)
+    store.write_refresh(C.JOB_LOG, job_log(spark, sf))
+    C.delete_logged(store, "hdw_stg", "events_stg")
+    return C.job_log(store)
 
 
 def q_incremental_scan(spark, sf):
@@ -285,9 +338,11 @@ def q_incremental_scan(spark, sf):
 
 
 def q_dedupe_dim(spark, sf):
+    """Three landings of routes; the last two at the same time, so the values decide between them."""
     part = X.table(spark, sf, "part")
     landed = (X.landed(X.routes_file(part, 1), LOAD1, LOAD1[:10])
-              .unionByName(X.landed(X.routes_file(part, 2), LOAD2, LOAD2[:10])))
+              .unionByName(X.landed(X.routes_file(part, 2), LOAD2, LOAD2[:10]))
+              .unionByName(X.landed(X.routes_file(part, 1), LOAD2, LOAD2[:10])))
     return stage_dim(landed, "route_id", ROUTES_CLEAN)
 
 
@@ -313,7 +368,12 @@ def q_kpi_windows_native(spark, sf):
 
 
 def q_kpi_windows_approx(spark, sf):
-    return K.kpi_windows(kpi_in(spark, sf), approx=True)
+    """Sketch counts of vehicles against the exact ones, per window: within 5 % or not."""
+    exact = K.kpi_windows(kpi_in(spark, sf)).select("window_start", F.col("active_vehicles").alias("exact"))
+    rough = K.kpi_windows(kpi_in(spark, sf), approx=True)
+    near = F.abs(F.col("active_vehicles") - F.col("exact")) <= 0.05 * F.col("exact")
+    return rough.join(exact, "window_start").select(
+        "window_start", "window_end", "events", "avg_speed", near.alias("vehicles_within_5_pct"))
 
 
 def q_route_delay_windows(spark, sf):
@@ -321,7 +381,7 @@ def q_route_delay_windows(spark, sf):
 
 
 def q_latest_window(spark, sf):
-    return K.latest_window(K.kpi_windows(kpi_in(spark, sf)))
+    return K.latest_window(K.kpi_windows(K.newest(kpi_in(spark, sf))))
 
 
 def q_route_extremes(spark, sf):
@@ -329,7 +389,16 @@ def q_route_extremes(spark, sf):
 
 
 def q_route_extremes_latest(spark, sf):
-    return K.route_extremes(K.route_delay_windows(kpi_in(spark, sf)), min_events=1, latest_only=True)
+    """Half-day windows, so that the newest one has routes on both sides of the floor of five reports."""
+    k = K.newest(kpi_in(spark, sf), slide_s=HALF_DAY)
+    return K.route_extremes(K.route_delay_windows(k, window_s=HALF_DAY, slide_s=HALF_DAY), min_events=5, latest_only=True)
+
+
+def q_route_extremes_none(spark, sf):
+    """No route of the newest window reaches the floor: nothing is named, and no older window either."""
+    windows = K.route_delay_windows(kpi_in(spark, sf), window_s=HALF_DAY, slide_s=HALF_DAY)
+    found = K.route_extremes(windows, min_events=1 << 40, latest_only=True)
+    return found.agg(F.count("*").alias("named"))
 
 
 def metrics(spark, sf):
@@ -354,6 +423,26 @@ def q_metric_topk(spark, sf):
     return M.metric_topk(metrics(spark, sf), M.EXTREME_GAUGE, k=1)
 
 
+def q_metric_bottomk(spark, sf):
+    return M.metric_topk(metrics(spark, sf), M.EXTREME_GAUGE, k=1, ascending=True, labels={"type": "best"}, scale=60.0)
+
+
+def q_metric_topk_worst(spark, sf):
+    """``topk(1, last_over_time(route_delay_extreme_seconds{type="worst"}[12h])) / 60``."""
+    return M.metric_topk_over(metrics(spark, sf), M.EXTREME_GAUGE, 1, HALF_DAY, labels={"type": "worst"}, scale=60.0)
+
+
+def q_metric_bottomk_best(spark, sf):
+    """``bottomk(1, last_over_time(route_delay_extreme_seconds{type="best"}[12h])) / 60`` at a past time."""
+    return M.metric_topk_over(metrics(spark, sf), M.EXTREME_GAUGE, 1, HALF_DAY, AS_OF, ascending=True,
+                              labels={"type": "best"}, scale=60.0)
+
+
+def q_metric_last_over_worst(spark, sf):
+    """``last_over_time(route_delay_extreme_seconds{type="worst"}[12h]) / 60``, every route."""
+    return M.metric_last_over(metrics(spark, sf), M.EXTREME_GAUGE, HALF_DAY, scale=60.0, labels={"type": "worst"})
+
+
 def q_metric_range(spark, sf):
     return M.metric_range(metrics(spark, sf), "avg_speed_all", *RANGE)
 
@@ -361,28 +450,49 @@ def q_metric_range(spark, sf):
 # ---------------------------------------------------------------- streaming
 def _raw_feed(spark, sf) -> str:
     """Bronze records of ``events`` written once as immutable raw files (the replayable feed)."""
-    import uuid
-
-    from fleetlake.session import shared_dir
-
     root = shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex)
     bronze(spark, sf).drop("insert_time").write.parquet(f"{root}/raw")
     return root
 
 
+def _closed_with_exact(spark, sf, out: str, **kw) -> DataFrame:
+    """The stream's windows, its sketch count of vehicles compared with the exact one of the batch form."""
+    batch = stream_positions(bronze(spark, sf)).withColumn("tst", utc_ntz("event_time"))
+    exact = K.kpi_windows(batch, **kw).select("window_start", F.col("active_vehicles").alias("exact"))
+    near = F.abs(F.col("active_vehicles") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return spark.read.parquet(out).join(exact, "window_start").select(
+        "window_start", "window_end", near.alias("vehicles_near"), "events", "avg_speed",
+        "on_time_ratio_1", "on_time_ratio_2", "on_time_ratio_3")
+
+
 def q_kpi_stream(spark, sf):
     """Stream the raw feed through the watermarked sliding KPIs (availableNow), read the sink back."""
-    from fleetlake.sources.kafka import read_events_stream
-    from fleetlake.streaming.kpi_stream import kpi_stream, stream_positions
+    root = _raw_feed(spark, sf)
+    src = read_events_stream(spark, "files", path=f"{root}/raw")
+    return _closed_with_exact(spark, sf, _stream_to_parquet(kpi_stream(stream_positions(src)), root, "kpi"))
+
 
+def q_kpi_stream_late(spark, sf):
+    """The feed in event order over several micro-batches, then its first days once more: these rows are
+    behind the watermark and change no window (X1)."""
+    root = shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex)
+    b, t = bronze(spark, sf).drop("insert_time"), F.col("timestamp")
+    files = 4
+    for lo, hi in [*zip(SLICES, SLICES[1:], strict=False), (SLICES[0], SLICES[1])]:
+        (b.filter((t >= lit_ntz(lo)) & (t < lit_ntz(hi))).repartitionByRange(files, "offset")
+         .write.mode("append").option("maxRecordsPerFile", 0).parquet(f"{root}/raw"))
+    src = read_events_stream(spark, "files", path=f"{root}/raw", max_files_per_trigger=files)
+    return _closed_with_exact(spark, sf, _stream_to_parquet(kpi_stream(stream_positions(src)), root, "kpi"))
+
+
+def q_metrics_stream(spark, sf):
+    """The metrics table as the two live queries write it (K11): gauges of every closed window."""
     root = _raw_feed(spark, sf)
     src = read_events_stream(spark, "files", path=f"{root}/raw")
-    q = (kpi_stream(stream_positions(src)).writeStream.outputMode("append").format("parquet")
-         .option("path", f"{root}/kpi").option("checkpointLocation", f"{root}/chk")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/kpi").select(
-        "window_start", "window_end", "events", "avg_speed", "on_time_ratio_1", "on_time_ratio_2", "on_time_ratio_3")
+    for q in start_metrics(stream_positions(src), f"{root}/m", f"{root}/chk_m", available_now=True, history=False, min_events=2):
+        q.awaitTermination()
+    # the vehicle gauge is a sketch on streams; kpi_stream compares it with the exact count
+    return read_metrics(spark, f"{root}/m").filter(F.col("metric") != "total_active_vehicles")
 
 
 def _stream_to_parquet(df, root: str, name: str) -> str:
@@ -395,9 +505,6 @@ def _stream_to_parquet(df, root: str, name: str) -> str:
 
 def q_route_delay_stream(spark, sf):
     """Per-route sliding delays on the stream (A4 streaming form), closed windows only."""
-    from fleetlake.sources.kafka import read_events_stream
-    from fleetlake.streaming.kpi_stream import route_delay_stream, stream_positions
-
     root = _raw_feed(spark, sf)
     src = read_events_stream(spark, "files", path=f"{root}/raw")
     return spark.read.parquet(_stream_to_parquet(route_delay_stream(stream_positions(src)), root, "route_delay"))
@@ -405,9 +512,6 @@ def q_route_delay_stream(spark, sf):
 
 def q_kpi_stream_dedupe(spark, sf):
     """KPI stream with re-sent reports dropped inside the watermark (X7); copy-independent columns."""
-    from fleetlake.sources.kafka import read_events_stream
-    from fleetlake.streaming.kpi_stream import kpi_stream, stream_positions
-
     root = _raw_feed(spark, sf)
     src = read_events_stream(spark, "files", path=f"{root}/raw")
     out = _stream_to_parquet(kpi_stream(stream_positions(src), dedupe=True), root, "kpi")
@@ -416,17 +520,12 @@ def q_kpi_stream_dedupe(spark, sf):
 
 def q_replay_window(spark, sf):
     """Deterministic replay of one week of the immutable raw feed."""
-    from fleetlake.sources.kafka import replay
-
     root = _raw_feed(spark, sf)
     return replay(spark, f"{root}/raw", REPLAY[0], REPLAY[1]).select("key", "partition", "offset", "timestamp")
 
 
 def q_stream_landing(spark, sf):
     """Land the raw feed through the idempotent foreachBatch sink, read bronze back."""
-    from fleetlake.sources.kafka import read_events_stream
-    from fleetlake.streaming.landing import start_landing
-
     root = _raw_feed(spark, sf)
     src = read_events_stream(spark, "files", path=f"{root}/raw", max_files_per_trigger=2)
     start_landing(src, f"{root}/bronze", f"{root}/chk", available_now=True).awaitTermination()
@@ -436,61 +535,89 @@ def q_stream_landing(spark, sf):
 # ---------------------------------------------------------------- chains
 def q_events_chain(spark, sf):
     """Two incremental runs and a rerun of bronze -> silver -> gold; the fact as finally stored."""
-    import uuid
-
-    from fleetlake.plans.chains import run_events
-    from fleetlake.session import shared_dir
-    from fleetlake.sinks import TableStore
-
-    store = TableStore(spark, shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex))
+    store = _store(spark)
     b = bronze(spark, sf)
-    run_events(spark, store, b.filter(F.col("insert_time") < lit_ntz(FIRST_UNTIL)), now=LOAD2, rundate=LOAD2[:10])
-    run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
-    run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
+    C.run_events(spark, store, b.filter(F.col("insert_time") < lit_ntz(FIRST_UNTIL)), now=LOAD2, rundate=LOAD2[:10])
+    C.run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
+    C.run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
     return store.read("fact_vehicle_position").select("oday", "vehicle_number", "tst", "dl", "insert_time")
 
 
 def q_routes_chain(spark, sf):
     """Two dimension files through landing, staging and SCD2; the dimension as finally stored."""
-    import uuid
-
-    from fleetlake.plans.chains import run_routes
-    from fleetlake.session import shared_dir
-    from fleetlake.sinks import TableStore
-
-    store = TableStore(spark, shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex))
+    store = _store(spark)
     part = X.table(spark, sf, "part")
-    run_routes(spark, store, X.landed(X.routes_file(part, 1), LOAD1, LOAD1[:10]), now=LOAD1, rundate=LOAD1[:10])
-    run_routes(spark, store, X.landed(X.routes_file(part, 2), LOAD2, LOAD2[:10]), now=LOAD2, rundate=LOAD2[:10])
+    C.run_routes(spark, store, X.landed(X.routes_file(part, 1), LOAD1, LOAD1[:10]), now=LOAD1, rundate=LOAD1[:10])
+    C.run_routes(spark, store, X.landed(X.routes_file(part, 2), LOAD2, LOAD2[:10]), now=LOAD2, rundate=LOAD2[:10])
     return store.read("dim_routes").select(*_DIM_OUT)
 
 
-# ---------------------------------------------------------------- SQL surface
-def _sql_views(spark, sf):
-    from fleetlake.plans.sql import register_star_schema
+def q_stops_chain(spark, sf):
+    """The stops file, its wheelchair codes mapped to the allowed set, through landing, staging and SCD2."""
+    store, part = _store(spark), X.table(spark, sf, "part")
+    landed = X.landed(X.stops_file(part), LOAD1, LOAD1[:10])
+    code = (F.col("wheelchair_boarding").cast("int") % 3).cast("string")
+    C.run_stops(spark, store, landed.withColumn("wheelchair_boarding", code), now=LOAD1, rundate=LOAD1[:10])
+    return store.read("dim_stops")
 
-    register_star_schema(spark, fact=fact(spark, sf), dim_routes=dim_routes(spark, sf), bronze=bronze(spark, sf))
 
+class _FailOnce(TableStore):
+    """A store whose first write of one table fails."""
 
-def q_sql_route_delay_top(spark, sf):
-    from fleetlake.plans import sql as S
+    def __init__(self, store: TableStore, table: str):
+        super().__init__(store.spark, store.root)
+        self.table = table
 
-    _sql_views(spark, sf)
-    return S.run(spark, S.ROUTE_DELAY_TOP, day=DAY, n=10)
+    def write_append(self, name, df, partition_by=None):
+        if name == self.table:
+            raise OSError("planned failure")
+        super().write_append(name, df, partition_by)
 
 
-def q_sql_route_density(spark, sf):
-    from fleetlake.plans import sql as S
+def q_events_chain_recovery(spark, sf):
+    """A run whose fact write fails, then the same chain again: nothing is lost, nothing doubled."""
+    store, b = _store(spark), bronze(spark, sf)
+    first = b.filter(F.col("insert_time") < lit_ntz(FIRST_UNTIL))
+    try:
+        C.run_events(spark, _FailOnce(store, "fact_vehicle_position"), first, now=LOAD2, rundate=LOAD2[:10])
+    except OSError:
+        pass
+    C.run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
+    C.run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
+    return store.read("fact_vehicle_position").select("oday", "vehicle_number", "tst", "dl", "insert_time")
 
-    _sql_views(spark, sf)
-    return S.run(spark, S.ROUTE_DENSITY, day=DAY, n=10)
 
+def q_events_chain_malformed(spark, sf):
+    """Some reports without time, with a malformed one, or without vehicle: diverted with a reason, the rest
+    loads; clearing the log and running again adds nothing."""
+    store, b = _store(spark), bronze(spark, sf)
+    n = F.col("offset") % 50
+    b = b.withColumn("json_str", F.when(n == 1, F.regexp_replace("json_str", '"tst":"[^"]*"', '"tst":"not a time"'))
+                     .when(n == 2, F.regexp_replace("json_str", '"tst":"[^"]*",', ""))
+                     .when(n == 3, F.regexp_replace("json_str", '"vehicle_number":"[^"]*"', '"vehicle_number":""'))
+                     .otherwise(F.col("json_str")))
+    C.run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
+    C.truncate_logged(store)
+    C.run_events(spark, store, b, now=FACT_NOW, rundate=FACT_NOW[:10])
+    kept = store.read("fact_vehicle_position").groupBy(F.lit("kept").alias("outcome")).agg(F.count("*").alias("reports"))
+    lost = store.read("events_rejects").groupBy(F.col("reject_reason").alias("outcome")).agg(F.count("*").alias("reports"))
+    return kept.unionByName(lost)
 
-def q_sql_partition_distribution(spark, sf):
-    from fleetlake.plans import sql as S
 
-    _sql_views(spark, sf)
-    return S.run(spark, S.PARTITION_DISTRIBUTION)
+# ---------------------------------------------------------------- SQL surface
+def q_sql_route_delay_top(spark, sf):
+    S.register_views(spark, fact=fact(spark, sf), dim_routes=dim_routes(spark, sf))
+    return S.run(spark, S.DELAY_REPORT, day=datetime.date.fromisoformat(DAY), n=10)
+
+
+def q_sql_route_density(spark, sf):
+    S.register_views(spark, fact=fact(spark, sf), dim_routes=dim_routes(spark, sf))
+    return S.run(spark, S.DENSITY_REPORT, day=datetime.date.fromisoformat(DAY), n=10)
+
+
+def q_sql_partition_distribution(spark, sf):
+    S.register_views(spark, bronze=bronze(spark, sf))
+    return S.run(spark, S.PARTITION_REPORT)
 
 
 QUERIES: dict[str, Query] = {
@@ -555,6 +682,16 @@ QUERIES: dict[str, Query] = {
     "replay_window": q_replay_window,
     "events_chain": q_events_chain,
     "routes_chain": q_routes_chain,
+    "stops_chain": q_stops_chain,
+    "events_chain_recovery": q_events_chain_recovery,
+    "events_chain_malformed": q_events_chain_malformed,
+    "kpi_stream_late": q_kpi_stream_late,
+    "metrics_stream": q_metrics_stream,
+    "metric_bottomk": q_metric_bottomk,
+    "metric_topk_worst": q_metric_topk_worst,
+    "metric_bottomk_best": q_metric_bottomk_best,
+    "metric_last_over_worst": q_metric_last_over_worst,
+    "route_extremes_none": q_route_extremes_none,
     "sql_route_delay_top": q_sql_route_delay_top,
     "sql_route_density": q_sql_route_density,
     "sql_partition_distribution": q_sql_partition_distribution,

@@ -9,7 +9,6 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
-    TimestampType,
 )
 
 
@@ -58,16 +57,6 @@ ENVELOPE_SCHEMA = StructType([
     StructField("payload", StructType([StructField("VP", VP_SCHEMA)])),
 ])
 
-# Kafka source record as delivered by the connector.
-KAFKA_RECORD_SCHEMA = StructType([
-    StructField("key", StringType()),
-    StructField("value", StringType()),
-    StructField("topic", StringType()),
-    StructField("partition", IntegerType()),
-    StructField("offset", LongType()),
-    StructField("timestamp", TimestampType()),
-])
-
 # Bronze events: Kafka record, decoded, plus landing time (UTC wall clock).
 BRONZE_EVENTS_SCHEMA = StructType([
     StructField("json_str", StringType()),
@@ -99,8 +88,7 @@ STOPS_RAW_COLUMNS = [
 ]
 STOPS_RAW_SCHEMA = StructType(_strings(*STOPS_RAW_COLUMNS) + [StructField("_corrupt_record", StringType())])
 
-SCD2_COLUMNS = ["effective_start_dt", "effective_end_dt", "active_flg", "insert_dt", "update_dt", "row_wid"]
-
+# The columns and types of the two dimension tables.
 DIM_ROUTES_SCHEMA = StructType([
     StructField("route_id", StringType()),
     StructField("agency_id", StringType()),
@@ -148,11 +136,3 @@ JOB_LOG_SCHEMA = StructType([
     StructField("rundate", StringType()),
     StructField("insert_dt", TimestampNTZType()),
 ])
-
-METRICS_SCHEMA = StructType([
-    StructField("metric", StringType()),
-    StructField("type", StringType()),
-    StructField("route_id", StringType()),
-    StructField("ts", TimestampNTZType()),
-    StructField("value", DoubleType()),
-])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -12,23 +12,24 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Streaming state is partitioned by this value; it must stay fixed for the
-    # life of a checkpoint, so it is set explicitly rather than left to AQE.
-    "spark.sql.shuffle.partitions": "16",
-    "spark.sql.parquet.mergeSchema": "true",
     "spark.ui.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Streaming state is partitioned by the shuffle width of the first run; it stays fixed for the life of a
+# checkpoint, so streams name it.  Batch jobs size theirs from their input (``size_batch``).
+STREAM_SHUFFLE = 16
+
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def get_spark(app: str = "fleetlake", master: str | None = None, *, state_store: str = "default",
-              **conf: str) -> SparkSession:
-    """Build or reuse a session with UTC, AQE and fixed shuffle width.
+              stream: bool = False, **conf: str) -> SparkSession:
+    """Build or reuse a session with UTC and AQE.
 
-    ``state_store="rocksdb"`` keeps streaming state off the JVM heap, for
+    ``stream=True`` fixes the shuffle width that a stream's checkpoint is tied
+    to.  ``state_store="rocksdb"`` keeps streaming state off the JVM heap, for
     windows over many vehicles or long watermarks.  Extra settings are passed
     as keywords with ``__`` for dots.
     """
@@ -36,6 +37,8 @@ def get_spark(app: str = "fleetlake", master: str | None = None, *, state_store:
     if master:
         builder = builder.master(master)
     merged = {**DEFAULT_CONF, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
+    if stream:
+        merged.setdefault("spark.sql.shuffle.partitions", str(STREAM_SHUFFLE))
     if state_store == "rocksdb":
         merged["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     for key, value in merged.items():
@@ -43,35 +46,35 @@ def get_spark(app: str = "fleetlake", master: str | None = None, *, state_store:
     return builder.getOrCreate()
 
 
-def batch_conf(input_bytes: int, cores: int, target_bytes: int = 256 << 20, cap: int = 100_000) -> dict[str, str]:
-    """Shuffle settings for a batch job over ``input_bytes`` on ``cores`` task slots.
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system as Hadoop resolves them (default file system included)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    The initial shuffle width gives ~``target_bytes`` per partition (at least
-    two waves of tasks, at most ``cap``); AQE then coalesces small partitions
-    toward the same advisory size and splits skewed ones.  Streaming jobs keep
-    the fixed width of their checkpoint instead.
-    """
-    width = min(cap, max(2 * cores, -(-input_bytes // target_bytes)))
-    return {
-        "spark.sql.shuffle.partitions": str(width),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-        "spark.sql.files.maxPartitionBytes": str(min(target_bytes, 512 << 20)),
-    }
+
+def size_batch(spark: SparkSession, *paths: str, target_bytes: int = 128 << 20) -> int:
+    """Set the shuffle width of a batch job from the bytes of its inputs: one partition per
+    ``target_bytes``, two per core at least; AQE merges what turns out small.  Returns the width."""
+    total = 0
+    for path in paths:
+        p, fs = hadoop_path(spark, path)
+        total += fs.getContentSummary(p).getLength()
+    width = max(2 * spark.sparkContext.defaultParallelism, -(-total // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    return width
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The cluster names that folder; only when it is unset (local runs, tests)
-    do we create one, and we register it so later calls agree.
+    Only a local master may run without that setting: it then gets a
+    temporary folder, registered so that later calls agree.  On a cluster each
+    executor would write to its own disk, so a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="fleetlake-")
         spark.sparkContext.setCheckpointDir(base)
-        try:
-            spark.conf.set("spark.checkpoint.dir", base)
-        except Exception:  # noqa: BLE001 - sessions that reject core confs still have the context setting
-            pass
-    path = os.path.join(base, *parts) if parts else base
-    return path
+    return "/".join([base.rstrip("/"), *parts])

@@ -9,12 +9,12 @@ half-written snapshot is never visible.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
+from fleetlake.session import hadoop_path
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -24,14 +24,9 @@ class TableStore:
         return f"{self.root}/{name}"
 
     def _exists(self, p: str) -> bool:
-        # local paths are probed directly; cluster paths (hdfs://, s3a://, ...) by resolving a read
-        if "://" not in p or p.startswith("file:"):
-            return os.path.exists(p.replace("file://", "").replace("file:", ""))
-        try:
-            self.spark.read.parquet(p).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001 - missing path
-            return False
+        """Asked of the path's own file system; an error is an error, not a missing table."""
+        path, fs = hadoop_path(self.spark, p)
+        return fs.exists(path)
 
     def exists(self, name: str) -> bool:
         return self._exists(self.path(name))
@@ -82,15 +77,6 @@ class TableStore:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(name))
 
-    def overwrite_partitions(self, name: str, df: DataFrame, partition_by: list[str]) -> None:
-        """Replace only the partitions present in ``df`` (dynamic overwrite): rerun-safe."""
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(self.path(name)))
-
-    def overwrite(self, name: str, df: DataFrame) -> None:
-        """Replace a small table that is not read by ``df`` itself (job log delete/truncate)."""
-        df.write.mode("overwrite").parquet(self.path(name))
-
 
 def observed_write(df: DataFrame, write, name: str = "write", **metrics) -> dict:
     """Run ``write(df_observed)`` and return its counters and elapsed ms.
@@ -114,18 +100,15 @@ def init_tables(store: TableStore, reset: bool = False) -> list[str]:
     """Create the job log and both dimensions as empty typed tables (K8).
 
     Existing tables are left alone unless ``reset``; a reset writes an empty
-    new snapshot (dimensions) or an empty log, never drop-then-create.
+    new snapshot, never drop-then-create.
     Returns the names created or reset.
     """
     from fleetlake.schemas import DIM_ROUTES_SCHEMA, DIM_STOPS_SCHEMA, JOB_LOG_SCHEMA
 
-    spark, done = store.spark, []
-    for name, schema, refresh in (("job_control", JOB_LOG_SCHEMA, False),
-                                  ("dim_routes", DIM_ROUTES_SCHEMA, True),
-                                  ("dim_stops", DIM_STOPS_SCHEMA, True)):
+    done = []
+    for name, schema in (("job_control", JOB_LOG_SCHEMA), ("dim_routes", DIM_ROUTES_SCHEMA), ("dim_stops", DIM_STOPS_SCHEMA)):
         if store.exists(name) and not reset:
             continue
-        empty = spark.createDataFrame([], schema)
-        store.write_refresh(name, empty) if refresh else store.overwrite(name, empty)
+        store.write_refresh(name, store.spark.createDataFrame([], schema))
         done.append(name)
     return done

@@ -1,4 +1,4 @@
-"""Dimension-file and table sources."""
+"""Dimension-file sources."""
 
 from __future__ import annotations
 
@@ -25,10 +25,3 @@ def read_csv_typed(spark: SparkSession, path: str, schema: StructType, *,
             .option("multiLine", False).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", corrupt_col)
             .schema(schema).csv(path))
-
-
-def read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
-    """Catalog table name or a path."""
-    if "/" in location:
-        return spark.read.format(fmt).load(location)
-    return spark.read.table(location)

@@ -19,26 +19,10 @@ from fleetlake.functions.exprs import epoch_seconds, lit_ntz
 N_ROUTES = 30           # vehicle -> route "R<user_id % 30>"
 N_STOPS = 200           # report -> stop "S<event_id % 200>"
 N_KAFKA_PARTITIONS = 6  # report -> partition event_id % 6, offset event_id div 6
-KAFKA_TOPIC = "hsl_stream"
+KAFKA_TOPIC = "vehicle_positions"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-split input over the cluster's cores.
-
-    A small table stored as one row group reads as one task, and everything
-    up to the first shuffle (JSON encoding and parsing here) would then run
-    single-threaded.  Inputs already split at least ``defaultParallelism``
-    ways (every large table) are returned untouched, so they pay no shuffle.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect) keep the input as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -103,7 +87,8 @@ def _vp_columns(e: DataFrame, resent: Column) -> DataFrame:
         topic.alias("topic"), F.struct(vp.alias("VP")).alias("payload"))
 
 
-def bronze_events(events: DataFrame, *, resend_every: int | None = 20, lose_every: int | None = None) -> DataFrame:
+def bronze_events(events: DataFrame, *, resend_every: int | None = 20, lose_every: int | None = None,
+                  topic: str = KAFKA_TOPIC) -> DataFrame:
     """Bronze landing rows (Kafka record decoded + ``insert_time``) built from ``events``.
 
     * every report is one record on partition ``event_id % 6`` at offset
@@ -126,7 +111,7 @@ def bronze_events(events: DataFrame, *, resend_every: int | None = 20, lose_ever
     return rows.select(
         F.to_json(F.struct("topic", "payload")).alias("json_str"),
         F.col("topic.vehicle_number").alias("key"),
-        F.lit(KAFKA_TOPIC).alias("topic"),
+        F.lit(topic).alias("topic"),
         (F.col("event_id") % N_KAFKA_PARTITIONS).cast("int").alias("partition"),
         F.expr(f"event_id div {N_KAFKA_PARTITIONS}").cast("bigint").alias("offset"),
         (F.col("ts") + second).alias("timestamp"),
@@ -164,7 +149,7 @@ def routes_file(part: DataFrame, version: int = 1) -> DataFrame:
         long_name = F.when(key % 7 == 1, F.lit(None).cast("string")).otherwise(long_name)
     return p.select(
         F.concat(F.lit("R"), key.cast("string")).alias("route_id"),
-        F.lit("HSL").alias("agency_id"),
+        F.lit("CITY").alias("agency_id"),
         F.when(key % 9 == 4, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("route_short_name"),
         long_name.alias("route_long_name"),
         F.col("p_type").alias("route_desc"),

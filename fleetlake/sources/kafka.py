@@ -27,9 +27,10 @@ def read_events_stream(
     *,
     path: str | None = None,
     bootstrap: str | None = None,
-    topic: str = "hsl_stream",
+    topic: str = "vehicle_positions",
     starting_offsets: str = "earliest",
     min_partitions: int | None = None,
+    max_offsets_per_trigger: int | None = None,
     max_files_per_trigger: int | None = None,
     file_format: str = "parquet",
 ) -> DataFrame:
@@ -46,6 +47,8 @@ def read_events_stream(
                   .option("startingOffsets", starting_offsets))
         if min_partitions:
             reader = reader.option("minPartitions", str(min_partitions))
+        if max_offsets_per_trigger:  # else the first micro-batch takes the whole backlog
+            reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         return decode_kafka(reader.load())
     if source == "files":
         schema = BRONZE_EVENTS_SCHEMA

@@ -7,17 +7,19 @@ times are emitted as UTC ``timestamp_ntz`` to match the batch tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlake.functions.exprs import utc_ntz
 from fleetlake.operators import kpi as K
+from fleetlake.operators import metrics as M
 
 
 def stream_positions(bronze: DataFrame, max_abs: int = 1800) -> DataFrame:
     """route, vehicle, event time (instant), speed, delay; delay outliers removed."""
     v = F.col("json_str")
+    # The places of the five fields in the message.
     return (bronze.select(
         F.get_json_object(v, "$.topic.route_id").alias("route_id"),
         F.get_json_object(v, "$.topic.vehicle_number").alias("vehicle_number"),
@@ -44,8 +46,8 @@ def kpi_stream(positions: DataFrame, watermark: str = "1 minute", window_s: int
 
 
 def route_delay_stream(positions: DataFrame, watermark: str = "1 minute", window_s: int = 300,
-                       slide_s: int = 30) -> DataFrame:
-    wm = positions.withWatermark("event_time", watermark)
+                       slide_s: int = 30, dedupe: bool = False) -> DataFrame:
+    wm = dedupe_stream(positions, watermark=watermark) if dedupe else positions.withWatermark("event_time", watermark)
     return _ntz_windows(K.route_delay_windows(wm, ts="event_time", window_s=window_s, slide_s=slide_s,
                                               method="window"))
 
@@ -56,31 +58,43 @@ def dedupe_stream(positions: DataFrame, keys=("vehicle_number", "event_time"), w
 
 
 def publish_latest(batch_df: DataFrame, batch_id: int, target: str) -> None:
-    """Per micro-batch, keep only the freshest window and overwrite the small 'current' table."""
-    K.latest_window(batch_df).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(target)
+    """Per micro-batch, keep only the freshest window and overwrite the small 'current' table (X5).  A
+    batch that closes no window leaves the published row as it is."""
+    if not batch_df.isEmpty():
+        K.latest_window(batch_df).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(target)
 
 
 def publish_extremes(batch_df: DataFrame, batch_id: int, target: str, min_events: int = 5) -> None:
-    """Clear-then-set of best/worst route of the freshest window: a snapshot overwrite."""
-    (K.route_extremes(batch_df, min_events=min_events, latest_only=True)
-     .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(target))
+    """Clear-then-set of best/worst route of the freshest window: a snapshot overwrite (X6).  Cleared only
+    when a window closed and none of its routes has enough reports."""
+    if not batch_df.isEmpty():
+        (K.route_extremes(batch_df, min_events=min_events, latest_only=True)
+         .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(target))
+
+
+def _append(df: DataFrame, batch_id: int, day: str, target: str) -> None:
+    """Idempotent append of a micro-batch's rows, by day and batch id."""
+    (df.withColumn("day", F.col(day).cast("date")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(target))
 
 
 def start_metrics(positions: DataFrame, out_dir: str, checkpoint_dir: str, *, trigger: str = "15 seconds",
-                  available_now: bool = False, history: bool = True) -> tuple[StreamingQuery, StreamingQuery]:
+                  available_now: bool = False, history: bool = True, watermark: str = "1 minute", approx: bool = True,
+                  dedupe: bool = False, min_events: int = 5) -> tuple[StreamingQuery, StreamingQuery]:
     """Both stateful KPI queries of one application, each with its own checkpoint.
 
-    ``history=True`` appends every closed window to ``kpi``/``route_delay``
-    tables; otherwise only the 'current' snapshots are kept.
+    Every closed window is appended to the metrics table in long form
+    (``metrics/query=kpi`` and ``metrics/query=route_delay``; K11), which the
+    gauge-series queries read; ``history=True`` also keeps the wide ``kpi`` and
+    ``route_delay`` tables.  The 'current' snapshots hold the freshest window.
     """
-    def sink(df: DataFrame, name: str, publish):
+    def sink(df: DataFrame, name: str, publish, to_long):
         def each(batch_df: DataFrame, batch_id: int) -> None:
             batch_df.persist()
             try:
                 if history:
-                    (batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                     .partitionBy("batch_id").parquet(f"{out_dir}/{name}"))
+                    _append(batch_df, batch_id, "window_end", f"{out_dir}/{name}")
+                _append(to_long(batch_df), batch_id, "ts", f"{out_dir}/metrics/query={name}")
                 publish(batch_df, batch_id, f"{out_dir}/{name}_current")
             finally:
                 batch_df.unpersist()
@@ -90,6 +104,14 @@ def start_metrics(positions: DataFrame, out_dir: str, checkpoint_dir: str, *, tr
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
         return w.start()
 
-    totals = sink(kpi_stream(positions), "kpi", publish_latest)
-    extremes = sink(route_delay_stream(positions), "route_delay", publish_extremes)
+    totals = sink(kpi_stream(positions, watermark, approx=approx, dedupe=dedupe), "kpi", publish_latest, M.metrics_to_long)
+    extremes = sink(
+        route_delay_stream(positions, watermark, dedupe=dedupe), "route_delay",
+        lambda df, bid, to: publish_extremes(df, bid, to, min_events),
+        lambda df: M.extremes_to_long(K.route_extremes(df, min_events=min_events, latest_only=False)))
     return totals, extremes
+
+
+def read_metrics(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The metrics table that ``start_metrics`` writes."""
+    return spark.read.parquet(f"{out_dir}/metrics").select(*M.SERIES, "ts", "value")

@@ -78,8 +78,41 @@ def test_hot_route_gives_the_same_windows(spark):
     assert "partial_sum" in plan
 
 
-def test_batch_conf_bounds():
-    from fleetlake.session import batch_conf
-    assert batch_conf(10 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
-    assert batch_conf(100 * 10**12, 8000)["spark.sql.shuffle.partitions"] == "100000"
-    assert batch_conf(1 << 40, 1000)["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))
+def test_extremes_name_no_older_window(spark):
+    rw = spark.createDataFrame(
+        [(T(2024, 1, 1, 0, 0), T(2024, 1, 1, 0, 5), "A", 10.0, 9), (T(2024, 1, 1, 0, 1), T(2024, 1, 1, 0, 6), "B", 4.0, 4)],
+        "window_start timestamp_ntz, window_end timestamp_ntz, route_id string, avg_delay_sec double, events_cnt long")
+    assert K.route_extremes(rw, min_events=5).count() == 0
+    assert K.route_extremes(rw, min_events=4).count() == 2
+
+
+def test_newest_window_needs_only_the_newest_reports(spark):
+    df = _positions(spark)
+    assert _rows(K.latest_window(K.kpi_windows(K.newest(df)))) == _rows(K.latest_window(K.kpi_windows(df)))
+    assert K.newest(df).count() < 10
+
+
+def test_gauge_queries_with_labels(spark):
+    rows = [("g", "worst", "A", T(2024, 1, 1, 0, 1), 60.0), ("g", "worst", "A", T(2024, 1, 1, 0, 2), 120.0),
+            ("g", "worst", "B", T(2024, 1, 1, 0, 2), 180.0), ("g", "best", "C", T(2024, 1, 1, 0, 2), -60.0),
+            ("g", "worst", "D", T(2024, 1, 1, 0, 0), 900.0)]
+    m = spark.createDataFrame(rows, "metric string, type string, route_id string, ts timestamp_ntz, value double")
+    one = lambda df: [(r["route_id"], r["value"]) for r in df.collect()]
+    assert one(M.metric_topk_over(m, "g", 1, 90, labels={"type": "worst"}, scale=60.0)) == [("B", 3.0)]
+    assert one(M.metric_topk_over(m, "g", 1, 90, ascending=True, labels={"type": "worst"}, scale=60.0)) == [("A", 2.0)]
+    assert one(M.metric_topk_over(m, "g", 1, 90, "2024-01-01 00:01:00", labels={"type": "worst"})) == [("D", 900.0)]
+    assert sorted(one(M.metric_last_over(m, "g", 90, labels={"type": "best"}))) == [("C", -60.0)]
+    assert one(M.metric_latest(m, "g", labels={"type": "best"})) == [("C", -60.0)]
+
+
+def test_batch_width_follows_the_input(spark, tmp_path):
+    from fleetlake.session import size_batch
+    spark.range(100000).write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        small = size_batch(spark, str(tmp_path / "t"))
+        assert small == 2 * spark.sparkContext.defaultParallelism
+        wide = size_batch(spark, str(tmp_path / "t"), target_bytes=1000)
+        assert wide > 100 and spark.conf.get("spark.sql.shuffle.partitions") == str(wide)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -9,11 +9,11 @@ from fleetlake.functions.exprs import parse_utc_ts, safe_cast
 from fleetlake.operators import analytics as A
 from fleetlake.operators import dq
 from fleetlake.operators.envelope import filter_journey, journey_rejects, parse_topic_path, record_key, to_envelope
-from fleetlake.operators.gold import dim_as_of, fact_new_rows, join_as_of, sized_broadcast
+from fleetlake.operators.gold import dim_as_of, fact_new_rows, join_as_of
 from fleetlake.operators.joblog import (
     DEFAULT_LOW, delete_job_log, last_loaded_value, latest_job_log, log_row, normalize_rundate, truncate_job_log,
 )
-from fleetlake.operators.scd2 import scd2_apply
+from fleetlake.operators.scd2 import new_or_changed_keys, scd2_apply
 from fleetlake.operators.silver import all_to_string, clean_dim, dedupe_latest, filter_delay_outliers
 
 T = dt.datetime
@@ -156,8 +156,11 @@ def test_fact_new_rows_is_idempotent(spark):
 
 def test_offset_gaps_bucket_edges_match_plain_lead(spark):
     offs = [0, 1, 2, 5, 6, 7, 8, 9, 15, 16, 16, 17, 31, 32]
-    df = spark.createDataFrame([(0, o) for o in offs] + [(1, o) for o in (3, 4, 9)], "partition int, offset long")
-    expect = sorted([(0, 3, 4, 2), (0, 10, 14, 5), (0, 18, 30, 13), (1, 5, 8, 4)])
+    # topic b fills the gaps of topic a, and the other way round
+    df = spark.createDataFrame([("a", 0, o) for o in offs] + [("a", 1, o) for o in (3, 4, 9)]
+                               + [("b", 0, o) for o in range(33) if o not in offs], "topic string, partition int, offset long")
+    expect = sorted([("a", 0, 3, 4, 2), ("a", 0, 10, 14, 5), ("a", 0, 18, 30, 13), ("a", 1, 5, 8, 4),
+                     ("b", 0, 5, 9, 5), ("b", 0, 15, 17, 3)])
     for b in (1, 2, 4, 1 << 20):
         got = sorted(tuple(r) for r in A.offset_gaps(df, bucket_size=b).collect())
         assert got == expect, b
@@ -177,16 +180,58 @@ def test_job_log_helpers(spark):
     assert truncate_job_log(log).count() == 0
 
 
-def test_sized_broadcast_checks_size(spark):
-    small = spark.range(10)
-    assert "BroadcastExchange" in _plan(spark.range(100).join(sized_broadcast(small, 100), "id"))
-    big = spark.range(500)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = _plan(spark.range(1000).join(sized_broadcast(big, 100), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastExchange" not in plan
+def test_dim_as_of_shows_the_state_of_that_day(spark):
+    d = scd2_apply(None, _dim_rows(spark, [("A", "a", 1, T(2024, 1, 1))]), "route_id", ["rtype"], "2024-01-01 00:00:00")
+    d = scd2_apply(d, _dim_rows(spark, [("A", "a", 2, T(2024, 2, 1))]), "route_id", ["rtype"], "2024-02-01 00:00:00")
+    r = dim_as_of(d, "route_id", "2024-01-15 00:00:00").first()
+    assert (r["rtype"], r["active_flg"], r["effective_end_dt"], r["update_dt"]) == (1, 1, T(9999, 12, 31), T(2024, 1, 1))
+
+
+def test_keys_to_open_are_new_or_just_closed(spark):
+    d = scd2_apply(None, _dim_rows(spark, [("A", "a", 1, T(2024, 1, 1)), ("B", "b", 1, T(2024, 1, 1))]), "route_id", ["rtype"],
+                   "2024-01-01 00:00:00")
+    stg = _dim_rows(spark, [("A", "a", 2, T(2024, 2, 1)), ("B", "b", 1, T(2024, 2, 1)), ("C", "c", 1, T(2024, 2, 1))])
+    keys = new_or_changed_keys(stg, d, "route_id", ["rtype"], "2024-02-01 00:00:00")
+    assert sorted(r["route_id"] for r in keys.collect()) == ["A", "C"]
+
+
+def test_fact_keys_match_null_safely(spark):
+    schema = "oday date, vehicle_number string, tst timestamp_ntz"
+    rows = spark.createDataFrame([(None, "v", T(2024, 1, 1)), (dt.date(2024, 1, 1), None, None)], schema)
+    assert fact_new_rows(rows, rows).count() == 0
+
+
+def test_malformed_times_are_typed_before_dedupe(spark):
+    from fleetlake.operators.silver import silver_events, silver_rejects
+    flat = spark.createDataFrame(
+        [("v", "bad", "x"), ("v", "worse", "x"), ("v", "2024-01-01T00:00:00Z", "2024-01-01"),
+         ("v", "2024-01-01T02:00:00+02:00", "2024-01-01"), ("", "2024-01-01T00:00:00Z", "2024-01-01"), ("w", None, None)],
+        "vehicle_number string, tst string, oday string").withColumns({
+            "insert_time": F.lit("2024-01-01").cast("timestamp_ntz"), "kafka_partition": F.lit(0), "kafka_offset": F.lit(1)})
+    assert silver_events(flat, "2024-01-01 00:00:00").count() == 1
+    assert sorted(r["reject_reason"] for r in silver_rejects(flat, "2024-01-01 00:00:00").collect()) == ["no_tst"] * 3 + ["no_vehicle"]
+
+
+def test_dimension_ties_are_decided_by_value(spark):
+    from fleetlake.operators.silver import stage_dim
+    rows = [("A", "x", 1, T(2024, 1, 1)), ("A", "y", 0, T(2024, 1, 1)), ("A", None, 9, T(2024, 1, 1))]
+    for order in (rows, rows[::-1]):
+        assert stage_dim(_dim_rows(spark, order), "route_id", {}).first()["name"] == "y"
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from fleetlake.session import shared_dir
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:1"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Fake())
 
 
 def _plan(df):

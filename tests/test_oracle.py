@@ -9,9 +9,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
+from fleetlake.plans.oracle import ORACLE_SQL as SQL  # noqa: E402
+from fleetlake.plans.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SQL = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +24,9 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_approximate():
-    assert set(E.queries()) - set(SQL) == {"kpi_windows_approx"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -35,7 +37,7 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     cur = duck.execute(SQL[name])
     ocols = [d[0] for d in cur.description]

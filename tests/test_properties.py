@@ -36,8 +36,8 @@ def test_offset_gaps_equal_brute_force(spark, rows, bucket):
         for a, b in zip(offs, offs[1:]):
             if b > a + 1:
                 expect.append((p, a + 1, b - 1, b - a - 1))
-    df = spark.createDataFrame(rows, "partition int, offset long")
-    got = sorted(tuple(r) for r in A.offset_gaps(df, bucket_size=bucket).collect())
+    df = spark.createDataFrame([("t", *r) for r in rows], "topic string, partition int, offset long")
+    got = sorted(tuple(r)[1:] for r in A.offset_gaps(df, bucket_size=bucket).collect())
     assert got == sorted(expect)
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.schemas import STOPS_RAW_SCHEMA
@@ -61,9 +62,21 @@ def test_table_store_snapshots_and_partitions(spark, tmp_path):
     # rebuild from the table itself: the new snapshot never overwrites what it reads
     st.write_refresh("dim", st.read("dim").filter("id > 0"))
     assert st.current_snapshot("dim") == 1 and st.read("dim").count() == 2
-    df = spark.range(4).select((F.col("id") % 2).alias("p"), "id")
-    st.overwrite_partitions("fact", df, ["p"])
-    st.overwrite_partitions("fact", df.filter("p = 1"), ["p"])   # rerun of one partition replaces it
-    assert st.read("fact").count() == 4
     stats = observed_write(spark.range(7), lambda d: st.write_append("log", d))
     assert stats["rows_written"] == 7
+
+
+def test_a_listing_error_is_not_a_missing_table(spark, tmp_path, monkeypatch):
+    import fleetlake.sinks as sinks
+    st = TableStore(spark, str(tmp_path / "lake"))
+    st.write_refresh("dim", spark.range(3))
+
+    def broken(*a):
+        raise OSError("listing failed")
+
+    monkeypatch.setattr(sinks, "hadoop_path", broken)
+    with pytest.raises(OSError, match="listing failed"):
+        st.write_refresh("dim", spark.range(1))
+    monkeypatch.undo()
+    assert st.read("dim").count() == 3 and not st.exists("other")
+    assert TableStore(spark, f"file://{tmp_path}/lake").read("dim").count() == 3

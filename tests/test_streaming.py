@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from fleetlake.operators import kpi as K
 from fleetlake.sources.fixtures import bronze_events
 from fleetlake.sources.kafka import read_events_stream
-from fleetlake.streaming.kpi_stream import dedupe_stream, kpi_stream, start_metrics, stream_positions
+from fleetlake.streaming.kpi_stream import (
+    dedupe_stream, kpi_stream, publish_extremes, publish_latest, read_metrics, start_metrics, stream_positions,
+)
 from fleetlake.streaming.landing import append_batch, start_landing
 
 SF = "/root/testdata/sf0.001"
@@ -108,3 +110,40 @@ def test_landing_with_processing_time_trigger(spark, tmp_path):
     landed = spark.read.parquet(out)
     assert landed.count() == b.count()
     assert landed.filter(F.col("insert_time").isNull()).count() == 0
+
+
+def test_an_empty_batch_keeps_the_published_window(spark, tmp_path):
+    rows = [(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 5), "A", 1.0, 9)]
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, route_id string, avg_delay_sec double, events_cnt long"
+    df = spark.createDataFrame(rows, schema)
+    publish_extremes(df, 0, str(tmp_path / "x"))
+    publish_latest(df, 0, str(tmp_path / "l"))
+    publish_extremes(df.limit(0), 1, str(tmp_path / "x"))
+    publish_latest(df.limit(0), 1, str(tmp_path / "l"))
+    assert spark.read.parquet(str(tmp_path / "x")).count() == 2 and spark.read.parquet(str(tmp_path / "l")).count() == 1
+    publish_extremes(df.withColumn("events_cnt", F.lit(1)), 2, str(tmp_path / "x"))   # closed, but nobody qualifies: cleared
+    assert spark.read.schema(schema).parquet(str(tmp_path / "x")).count() == 0
+
+
+def test_metrics_table_feeds_the_gauge_queries(spark, tmp_path):
+    from fleetlake.operators import metrics as M
+    raw = str(tmp_path / "raw")
+    bronze_events(spark.read.parquet(f"{SF}/events.parquet")).drop("insert_time").write.parquet(raw)
+    pos = stream_positions(read_events_stream(spark, "files", path=raw))
+    for q in start_metrics(pos, str(tmp_path / "m"), str(tmp_path / "c"), available_now=True, history=False, min_events=1, dedupe=True):
+        q.awaitTermination()
+    m = read_metrics(spark, str(tmp_path / "m"))
+    assert {r["metric"] for r in M.metric_latest(m).select("metric").distinct().collect()} == {*M.GAUGES, M.EXTREME_GAUGE}
+    assert M.metric_topk_over(m, M.EXTREME_GAUGE, 1, 120, labels={"type": "worst"}, scale=60.0).count() == 1
+
+
+def test_landing_with_the_ingest_filter(spark, tmp_path):
+    from fleetlake.operators.envelope import filter_journey, flatten_envelope
+    b = bronze_events(spark.read.parquet(f"{SF}/events.parquet"), resend_every=None)
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    b.drop("insert_time").write.parquet(raw)
+    start_landing(read_events_stream(spark, "files", path=raw), out, str(tmp_path / "chk"), available_now=True,
+                  modes=["bus"]).awaitTermination()
+    kept, lost = spark.read.parquet(out), spark.read.parquet(f"{out}_rejected")
+    assert kept.count() == filter_journey(flatten_envelope(b)).count() and kept.count() + lost.count() == b.count()
+    assert {r[0] for r in lost.select("reject_reason").distinct().collect()} >= {"mode", "not_journey", "not_ongoing"}

@@ -40,7 +40,7 @@ class Powers:
 class WordHasher:
     """Word and window hashes; ``blob`` bounds the bytes of one kernel call."""
 
-    def __init__(self, blob: int = 2 << 20):
+    def __init__(self, blob: int = 1 << 19):
         rng = np.random.default_rng(20240229)
         self.blob, self.byte = blob, rng.integers(0, 1 << 64, 256, dtype=U) | U(1)
         self.space = np.zeros(256, np.int8)

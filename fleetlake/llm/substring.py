@@ -42,7 +42,8 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 from .common import blobs, width, written
 from .rolling import WordHasher, mix
 
-UNIT_BYTES = 12 << 20
+#: bytes of text hashed, and packed for moving, at a time
+UNIT_BYTES, PACK_BYTES = 4 << 20, 12 << 20
 FLAG_REPEAT, FLAG_SOURCE = 0, 1
 
 
@@ -91,12 +92,14 @@ def _units(batches, limit: int) -> Iterator[list[tuple[int, bytes]]]:
     """Documents of a task in units of about ``limit`` bytes, each sorted by doc_id."""
     unit, size = [], 0
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), blobs(batch.column(1)), strict=True):
-            unit.append((doc, text or b""))
-            size += len(text or b"") + 64
-            if size >= limit:
-                yield sorted(unit)
-                unit, size = [], 0
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            for doc, text in zip(part.column(0).to_pylist(), blobs(part.column(1)), strict=True):
+                unit.append((doc, text or b""))
+                size += len(text or b"") + 64
+                if size >= limit:
+                    yield sorted(unit)
+                    unit, size = [], 0
     if unit:
         yield sorted(unit)
 
@@ -220,7 +223,7 @@ def _texts(docs: DataFrame, groups: int) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 waiting.append(batch.slice(at, 500))
                 size += sum(len(t or b"") + 64 for t in blobs(waiting[-1].column(1)))
-                if size >= UNIT_BYTES:
+                if size >= PACK_BYTES:
                     yield from _rows(list(packed()))
                     waiting, size = [], 0
         if waiting:
@@ -265,12 +268,12 @@ def ladders(hasher, text: bytes, repeated, length: int, winnow: int) -> list[lis
 
 
 def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, winnow: int,
-           keep_text: bool) -> DataFrame:
+           keep_text: bool, prefix: str) -> DataFrame:
     """Marks and rows (``row``: doc_id, text, more) meet by document group; marks come first."""
     schema = StructType([f for f in row.fields if keep_text or f.name == "doc_id"])
     for name, kind in (("n_words", LongType()), ("n_removed", LongType()), ("kept_sha256", StringType()),
                        ("ladders", ArrayType(ArrayType(LongType())))):
-        schema = schema.add(name, kind)
+        schema = schema.add(prefix + name, kind)
 
     def run(batches):
         from hashlib import sha256
@@ -348,11 +351,11 @@ def _own(docs: DataFrame, *more: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
-def _found(rows: DataFrame, length: int, winnow: int, keep_text: bool) -> DataFrame:
+def _found(rows: DataFrame, length: int, winnow: int, keep_text: bool, prefix: str = "") -> DataFrame:
     shuffles = width(rows.sparkSession)
     buckets, groups = 16 * shuffles, 4 * shuffles
     marks = _marks(_first_level(rows.select("doc_id", "text"), length, buckets, groups), groups)
-    return _apply(marks, _texts(rows, groups), rows.schema, length, winnow, keep_text)
+    return _apply(marks, _texts(rows, groups), rows.schema, length, winnow, keep_text, prefix)
 
 
 def remove_repeats(docs: DataFrame, length: int = 13, winnow: int = 32) -> DataFrame:
@@ -363,9 +366,10 @@ def remove_repeats(docs: DataFrame, length: int = 13, winnow: int = 32) -> DataF
                                                      .otherwise(0).cast("long"))))
 
 
-def cleaned(docs: DataFrame, length: int = 13) -> DataFrame:
+def cleaned(docs: DataFrame, length: int = 13, prefix: str = "") -> DataFrame:
     """All columns of ``docs``, ``text`` without its repeated words and the white space before them, and
-    n_words, n_removed, kept_sha256 (the first level alone decides what goes).  A text that loses
-    nothing stays as it is; columns of ``docs`` with these names are replaced."""
-    more = [c for c in docs.columns if c not in ("doc_id", "text", "n_words", "n_removed", "kept_sha256", "ladders")]
-    return _found(_own(docs, *more), length, 0, True).drop("ladders")
+    n_words, n_removed, kept_sha256 (the first level alone decides what goes), with ``prefix`` before these
+    names.  A text that loses nothing stays as it is; columns of ``docs`` with these names are replaced."""
+    added = [prefix + c for c in ("n_words", "n_removed", "kept_sha256", "ladders")]
+    more = [c for c in docs.columns if c not in ("doc_id", "text", *added)]
+    return _found(_own(docs, *more), length, 0, True, prefix).drop(added[-1])

@@ -30,6 +30,8 @@ from urllib.parse import quote, unquote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_batches
+
 Turns = list[tuple[str, str]]
 # The template's control strings.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -117,8 +119,7 @@ def format_turns(conversations: DataFrame, render: Callable[[Turns], str] = chat
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
         .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"))
-    return turns.select("conv_id", "role", "text").mapInArrow(
-        run, "conv_id long, place long, piece string, offset long, loss_start int, loss_end int, rewrites boolean")
+    return turns.select("conv_id", "role", "text").transform(in_batches, run, "conv_id long, place long, piece string, offset long, loss_start int, loss_end int, rewrites boolean")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -158,6 +159,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if now:
             yield row([(conv, now)])
 
-    return formatted.select("conv_id", "piece", "loss_start", "loss_end", "rewrites").mapInArrow(
-        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+    return formatted.select("conv_id", "piece", "loss_start", "loss_end", "rewrites").transform(in_batches, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
              "formatted_chars long, n_rewrites long")

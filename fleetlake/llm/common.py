@@ -27,6 +27,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: rows of a text table in one Arrow batch; Spark's default of 10,000 can be a gigabyte of long texts
+BATCH_ROWS = 1000
+
+
+def in_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with batches of at most ``BATCH_ROWS`` rows, which bounds what a task
+    holds on both sides of the pipe.  The setting is the session's: it stays, and only ever gets smaller."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    now = int(conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def blobs(column) -> list:
     """UTF-8 bytes (or None) of an Arrow string column."""
     import pyarrow as pa

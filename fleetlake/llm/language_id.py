@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
+from .common import in_batches
+
 UNKNOWN = "und"
 
 
@@ -140,7 +142,7 @@ def _document_frequencies(texts: DataFrame, bits: int, orders: int) -> DataFrame
         yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()),
                                           pa.array([total, *df[at].tolist()], pa.int64())], ["column", "n"])
 
-    return (texts.select("text").mapInArrow(run, "column int, n long").groupBy("column").agg(F.sum("n").alias("n")))
+    return (texts.select("text").transform(in_batches, run, "column int, n long").groupBy("column").agg(F.sum("n").alias("n")))
 
 
 def _sample(rows: DataFrame, sizes: dict[str, int], per_class: int) -> DataFrame:
@@ -195,7 +197,7 @@ def fit(rows: DataFrame, bits: int = 14, orders: int = 3, per_class: int = 1000,
              pa.array([calibrate(logits, labels)]), pa.array([right])], ["w", "bias", "temperature", "accuracy"])
 
     sample = _sample(rows, sizes, per_class).select("text", "lang", "place")
-    found = sample.repartition(1).mapInArrow(train, "w binary, bias binary, temperature double, accuracy double").first()
+    found = sample.repartition(1).transform(in_batches, train, "w binary, bias binary, temperature double, accuracy double").first()
     weights = np.frombuffer(found["w"], "<f8").reshape(size, len(classes))
     return Model(classes, idf, weights, np.frombuffer(found["bias"], "<f8"), found["temperature"], orders,
                  {"accuracy": found["accuracy"], "nonzero": float((weights != 0).mean())})
@@ -227,4 +229,4 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), keep_text
                 [*batch.columns[:len(kept)], pa.array([lang for lang, _ in found], pa.string()),
                  pa.array([score for _, score in found], pa.float64())], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.transform(in_batches, run, schema)

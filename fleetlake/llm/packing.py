@@ -27,6 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_batches
 from .token_counts import PieceTable
 
 
@@ -122,7 +123,7 @@ def segments(docs: DataFrame, tokenizer_path: str, length: int, cache_pieces: in
                                                         strict=True)], ["doc_id", "part", "ids"])
 
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, part int, ids binary"))
+            .transform(in_batches, run, "doc_id long, part int, ids binary"))
 
 
 def packed(docs: DataFrame, tokenizer_path: str, length: int = 2048, pad: int = 0,
@@ -168,7 +169,7 @@ def packed(docs: DataFrame, tokenizer_path: str, length: int = 2048, pad: int =
 
     return (dealt.select("shard", "doc_id", "part", "ids").repartition("shard")
             .sortWithinPartitions("shard", "doc_id", "part", "ids")
-            .mapInArrow(run, "shard int, row int, n_tokens int, ids binary, cu_seqlens array<int>, "
+            .transform(in_batches, run, "shard int, row int, n_tokens int, ids binary, cu_seqlens array<int>, "
                              "position_resets array<int>, doc_ids array<long>, parts array<int>"))
 
 
@@ -209,4 +210,4 @@ def write_matrices(rows: DataFrame, folder: str) -> DataFrame:
             yield ended()
 
     return (rows.select("shard", "row", "ids", "cu_seqlens", "doc_ids", "parts").repartition("shard")
-            .sortWithinPartitions("shard", "row").mapInArrow(run, "shard int, name string, rows int"))
+            .sortWithinPartitions("shard", "row").transform(in_batches, run, "shard int, name string, rows int"))

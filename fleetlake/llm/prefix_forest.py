@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import in_batches, written
 
 
 class Forest:
@@ -141,7 +141,7 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec
             yield from answers()
 
     found = (members.union(asked).repartition("shard", "dim").sortWithinPartitions("shard", "dim", "kind")
-             .mapInArrow(run, "query_id long, vec_id long, score double"))
+             .transform(in_batches, run, "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -20,6 +20,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_batches
+
 # The characters that the tokenizers' pattern counts as white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
@@ -89,5 +91,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, batch_
                  pa.array([sum(table.values(t)) for t in texts], pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+            .transform(in_batches, run, "doc_id long, n_bytes long, n_tokens long")
             .withColumn("over_limit", F.col("n_tokens") > limit))

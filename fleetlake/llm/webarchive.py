@@ -38,7 +38,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import run_folder, written
+from .common import in_batches, run_folder, written
 
 # Member names, record names and signatures of the formats.
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -250,7 +250,7 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0, package_bytes:
         if waiting:
             yield put()
 
-    return written(roles(pages, least).select("page_id", "url", "payload", "keeper").mapInArrow(run, "path string"),
+    return written(roles(pages, least).select("page_id", "url", "payload", "keeper").transform(in_batches, run, "path string"),
                    "packages")
 
 
@@ -297,8 +297,8 @@ def read_packages(paths: DataFrame, with_payload: bool = False) -> DataFrame:
                 keep = 7 if with_payload else 6
                 yield pa.RecordBatch.from_arrays(columns[:keep], names[:keep])
 
-    found = paths.repartition("path").mapInArrow(locate, "path string, at long, length long, sizes array<int>")
-    return found.repartition("path", "at").mapInArrow(fetch, schema)
+    found = paths.repartition("path").transform(in_batches, locate, "path string, at long, length long, sizes array<int>")
+    return found.repartition("path", "at").transform(in_batches, fetch, schema)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:

@@ -39,11 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from .common import blobs, width, written
+from .common import blobs, in_batches, width, written
 from .rolling import WordHasher, mix
 
 #: bytes of text hashed, and packed for moving, at a time
-UNIT_BYTES, PACK_BYTES = 4 << 20, 12 << 20
+UNIT_BYTES, PACK_BYTES = 3 << 20, 8 << 20
+MARKS_AT_ONCE = 1 << 20
 FLAG_REPEAT, FLAG_SOURCE = 0, 1
 
 
@@ -154,7 +155,7 @@ def _first_level(docs: DataFrame, length: int, buckets: int, groups: int) -> Dat
             rows += [(k, WINDOWS, b) for k, b in pack_by(bucket, doc[at], pos[at], low)]
             yield from _rows(rows)
 
-    return docs.mapInArrow(run, ROW)
+    return docs.transform(in_batches, run, ROW)
 
 
 def _marks(packed: DataFrame, groups: int) -> DataFrame:
@@ -163,9 +164,10 @@ def _marks(packed: DataFrame, groups: int) -> DataFrame:
     def run(batches):
         import numpy as np
 
-        bucket, parts = None, []
+        bucket, parts, found, waiting = None, [], [], 0
 
         def settle():
+            """Marks of the bucket's windows that several documents share."""
             doc, pos, low = (np.concatenate(x) for x in zip(*parts, strict=True))
             value = np.zeros((len(low), 8), np.uint8)
             value[:, :7] = low.view(np.uint8).reshape(-1, 7)
@@ -177,7 +179,11 @@ def _marks(packed: DataFrame, groups: int) -> DataFrame:
             least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
             later = np.add.reduceat(doc != least, np.flatnonzero(new))
             at = np.flatnonzero((later > 0)[np.cumsum(new) - 1])
-            doc, pos, flag = doc[at], pos[at], (doc[at] == least[at]).astype(np.uint8)
+            return doc[at], pos[at], (doc[at] == least[at]).astype(np.uint8)
+
+        def sent():
+            """The marks of many buckets, by document group."""
+            doc, pos, flag = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.lexsort((pos, doc))
             doc, pos, flag = doc[order], pos[order], flag[order]
             yield from _rows([(k, MARKS, b) for k, b in pack_by(group_of(doc, groups), doc, pos, flag)])
@@ -188,14 +194,19 @@ def _marks(packed: DataFrame, groups: int) -> DataFrame:
                     yield from _rows([(key, MARKS, blob)])
                     continue
                 if key != bucket and parts:
-                    yield from settle()
-                    parts = []
+                    found.append(settle())
+                    waiting, parts = waiting + len(found[-1][0]), []
+                    if waiting >= MARKS_AT_ONCE:
+                        yield from sent()
+                        found, waiting = [], 0
                 bucket = key
                 parts.append(unpack(blob, "V7"))
         if parts:
-            yield from settle()
+            found.append(settle())
+        if found:
+            yield from sent()
 
-    return packed.repartition("key").sortWithinPartitions("kind", "key").mapInArrow(run, ROW)
+    return packed.repartition("key").sortWithinPartitions("kind", "key").transform(in_batches, run, ROW)
 
 
 def _texts(docs: DataFrame, groups: int) -> DataFrame:
@@ -229,7 +240,7 @@ def _texts(docs: DataFrame, groups: int) -> DataFrame:
         if waiting:
             yield from _rows(list(packed()))
 
-    return docs.mapInArrow(run, ROW)
+    return docs.transform(in_batches, run, ROW)
 
 
 def without(text: bytes, keep: list[bool]) -> bytes:
@@ -247,7 +258,7 @@ def ladders(hasher, text: bytes, repeated, length: int, winnow: int) -> list[lis
 
     words, _ = hasher.words([text])
     prefix = hasher.prefix(words)
-    out = []
+    out = set()  # a line that a document repeats gives its hashes once
     for run in np.split(repeated, np.flatnonzero(np.diff(repeated) != 1) + 1):
         if len(run) <= length:  # no window of twice the length
             continue
@@ -263,8 +274,8 @@ def ladders(hasher, text: bytes, repeated, length: int, winnow: int) -> list[lis
                 ladder.append(int(hasher.window(prefix, run[i:i + 1], size).view(np.int64)[0]))
                 size *= 2
             if ladder:
-                out.append(ladder)
-    return out
+                out.add(tuple(ladder))
+    return [list(x) for x in out]
 
 
 def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, winnow: int,
@@ -324,7 +335,7 @@ def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, win
                     kept = [rows.column(0), found[4], *rows.columns[2:]] if keep_text else [rows.column(0)]
                     yield pa.RecordBatch.from_arrays([*kept, *found[:4]], schema.names)
 
-    return (marks.union(texts).repartition("key").sortWithinPartitions("key", "kind").mapInArrow(run, schema))
+    return (marks.union(texts).repartition("key").sortWithinPartitions("key", "kind").transform(in_batches, run, schema))
 
 
 def _longest(found: DataFrame, length: int) -> DataFrame:
@@ -353,7 +364,7 @@ def _own(docs: DataFrame, *more: str) -> DataFrame:
 
 def _found(rows: DataFrame, length: int, winnow: int, keep_text: bool, prefix: str = "") -> DataFrame:
     shuffles = width(rows.sparkSession)
-    buckets, groups = 16 * shuffles, 4 * shuffles
+    buckets, groups = 4 * shuffles, 2 * shuffles
     marks = _marks(_first_level(rows.select("doc_id", "text"), length, buckets, groups), groups)
     return _apply(marks, _texts(rows, groups), rows.schema, length, winnow, keep_text, prefix)
 

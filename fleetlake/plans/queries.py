@@ -63,7 +63,8 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return X.bronze_events(events(spark, sf), **kw)
+    # the feed stands for many landed files: its rows are dealt out before they are made into JSON
+    return X.bronze_events(events(spark, sf).repartition("event_id"), **kw)
 
 
 def flat(spark: SparkSession, sf: str) -> DataFrame:

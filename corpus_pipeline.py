@@ -55,13 +55,11 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Sampled pieces of every text, and whether they decode to it."""
     import public_tokenizers
 
-    from fleetlake.llm.sentencepieces import decoded, sampled_pieces
+    from fleetlake.llm.sentencepieces import sampled_pieces
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    back = decoded(sampled_pieces(docs, model, seed=42), model)
     kept = [c for c in docs.columns if c not in ("pieces", "n_pieces", "lossless")]
-    return back.select(*kept, "pieces", F.size("pieces").cast("long").alias("n_pieces"),
-                       F.col("decoded").eqNullSafe(F.col("text").cast("binary")).alias("lossless"))
+    done = sampled_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), seed=42)
+    return done.select(*kept, "pieces", F.size("pieces").cast("long").alias("n_pieces"), "lossless")
 
 
 STAGES = [("language_id", language_id), ("simhash_near_dedup", near_dedup), ("substring_dedup", substring_dedup),

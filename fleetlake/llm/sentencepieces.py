@@ -16,7 +16,7 @@ numpy, then all their occurrences are sampled side by side.
 
 The draws depend on ``seed``, the row's key and the word's place alone: the same
 row gets the same segmentation on any partitioning, in any run.  A null key is
-a key like any other; a null text gives null pieces and is decoded to null, an
+a key like any other; a null text gives null pieces (lossless) and is decoded to null, an
 empty text no pieces.  Every input row gives one row.  A column that has the name of an
 output is replaced.
 """
@@ -28,8 +28,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StructType
 
+from .common import in_batches
 from .rolling import mix
 
 MARK = "▁"
@@ -238,10 +239,11 @@ def by_size(texts: list, limit: int = 1 << 19) -> Iterator[slice]:
 
 
 def sampled_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", seed: int = 0,
-                   theta: float = 1.0, out: str = "pieces") -> DataFrame:
-    """All columns of ``docs`` and ``out`` (array of int): one sampled segmentation of each text."""
-    rows = docs.drop(out).withColumn("__state", F.xxhash64(F.lit(seed), F.col(key).cast("string")))
-    schema = StructType([*rows.schema.fields]).add(out, ArrayType(IntegerType()))
+                   theta: float = 1.0, out: str = "pieces", lossless: str = "lossless") -> DataFrame:
+    """All columns of ``docs``, ``out`` (array of int): one sampled segmentation of each text, and
+    ``lossless``: whether it decodes to every byte of the text, as each task checks."""
+    rows = docs.drop(out, lossless).withColumn("__state", F.xxhash64(F.lit(seed), F.col(key).cast("string")))
+    schema = StructType([*rows.schema.fields]).add(out, ArrayType(IntegerType())).add(lossless, BooleanType())
     where, state = rows.columns.index(text), len(rows.columns) - 1
 
     def run(batches) -> Iterator:
@@ -253,11 +255,12 @@ def sampled_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text:
             for part in by_size(texts):
                 found = pieces.encode([t or "" for t in texts[part]], [x & FULL for x in states[part]])
                 ids = [None if t is None else x for t, x in zip(texts[part], found, strict=True)]
+                same = [t is None or pieces.decode(x) == t.encode() for t, x in zip(texts[part], ids, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(part.start, part.stop - part.start).columns, pa.array(ids, pa.list_(pa.int32()))],
-                    names=schema.names)
+                    [*batch.slice(part.start, part.stop - part.start).columns, pa.array(ids, pa.list_(pa.int32())),
+                     pa.array(same, pa.bool_())], names=schema.names)
 
-    return rows.mapInArrow(run, schema).drop("__state")
+    return rows.transform(in_batches, run, schema).drop("__state")
 
 
 def decoded(rows: DataFrame, model_path: str, ids: str = "pieces", out: str = "decoded") -> DataFrame:
@@ -277,4 +280,4 @@ def decoded(rows: DataFrame, model_path: str, ids: str = "pieces", out: str = "d
                 raw = [pieces.decode(x.values.to_numpy()) if x.is_valid else None for x in column]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.transform(in_batches, run, schema)

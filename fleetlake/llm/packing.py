@@ -21,6 +21,8 @@ ignored.
 
 from __future__ import annotations
 
+import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,19 +90,37 @@ def best_fit_decreasing(sizes: list[int], length: int) -> list[list[int]]:
     return rows
 
 
-def load_ids(path: str):
-    """Ids of a batch under a ``tokenizers`` file, as little-endian bytes of two or four each."""
-    from tokenizers import Tokenizer
+def load_ids(path: str, pattern: str | None = None):
+    """Number type and encoder of a batch to little-endian binary ids: a ``tokenizers`` file, or with its
+    splitting ``pattern`` a ``tiktoken`` file of ranks (no special tokens)."""
+    if path.endswith(".tiktoken"):
+        import tiktoken
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        size = max(ranks.values()) + 1
+    else:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        size = tokenizer.get_vocab_size()
+    code = "H" if size <= 1 << 16 else "I"
+
+    def packed_ids(texts):
+        if path.endswith(".tiktoken"):
+            found = map(encode, texts)
+        else:
+            found = (e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        return [array(code, ids).tobytes() for ids in found]
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-    return kind, lambda texts: [np.array(e.ids, kind).tobytes()
-                                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return np.dtype("<u2" if code == "H" else "<u4"), packed_ids
 
 
-def segments(docs: DataFrame, tokenizer_path: str, length: int, cache_pieces: int = 150_000) -> DataFrame:
+def segments(docs: DataFrame, tokenizer_path: str, length: int, pattern: str | None = None,
+             cache_pieces: int = 600_000) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, part, ids)``: binary ids of at most ``length`` tokens each."""
 
     def run(batches) -> Iterator:
@@ -109,7 +129,7 @@ def segments(docs: DataFrame, tokenizer_path: str, length: int, cache_pieces: in
         import pyarrow as pa
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        kind, encode = load_ids(tokenizer_path)
+        kind, encode = load_ids(tokenizer_path, pattern)
         table, step = PieceTable(encode, 1 << 20, cache_pieces), length * kind.itemsize
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -127,17 +147,17 @@ def segments(docs: DataFrame, tokenizer_path: str, length: int, cache_pieces: in
 
 
 def packed(docs: DataFrame, tokenizer_path: str, length: int = 2048, pad: int = 0,
-           shard_bytes: int = 16 << 20) -> DataFrame:
+           shard_bytes: int = 16 << 20, pattern: str | None = None) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(shard, row, n_tokens, ids, cu_seqlens, position_resets, doc_ids, parts)``."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    dealt = segments(docs, tokenizer_path, length).withColumn(
+    dealt = segments(docs, tokenizer_path, length, pattern).withColumn(
         "shard", F.pmod(F.xxhash64("doc_id", "part", F.crc32("ids")), F.lit(shards)).cast("int"))
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        kind, _ = load_ids(tokenizer_path)
+        kind, _ = load_ids(tokenizer_path, pattern)
         names = ["shard", "row", "n_tokens", "ids", "cu_seqlens", "position_resets", "doc_ids", "parts"]
         types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()),
                  pa.list_(pa.int64()), pa.list_(pa.int32())]

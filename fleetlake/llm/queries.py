@@ -43,7 +43,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .packing import packed
 
-    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, pad=50256)
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), length=2048,
+                  pad=50256, pattern=public_tokenizers.PATTERN)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

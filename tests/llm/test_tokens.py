@@ -72,6 +72,21 @@ def test_packing_is_lossless(docs, corpus, tokenizer, clashing, tmp_path):
         assert len((tmp_path / "out" / f"{n['name']}.json").read_text().splitlines()) == n["rows"]
 
 
+def test_ranks_give_the_same_ids(docs, corpus):
+    import tiktoken
+    from fleetlake.llm.packing import load_ids
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    kind, encode = load_ids(path, public_tokenizers.PATTERN)
+    table = PieceTable(encode, 1000, 500)
+    tokenizer = Tokenizer.from_file(BPE)
+    tokenizer.encode_special_tokens = True
+    for text in [*HOSTILE, *[r[1] or "" for r in corpus]]:
+        ids = np.frombuffer(b"".join(table.values(text)), kind).tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, text[:80]
+    assert tiktoken and packed(docs, path, length=128, pattern=public_tokenizers.PATTERN).count() > 0
+
+
 def test_pieces_round_trip(docs, corpus, clashing):
     rows = sampled_pieces(clashing(docs), MODEL, seed=1)
     back = {r["doc_id"]: r for r in decoded(rows, MODEL).collect()}

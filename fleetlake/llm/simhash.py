@@ -27,10 +27,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, written
+from .common import blobs, in_batches, written
 from .components import components
 
 SEED = 42
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     return (docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, fp long"))
+            .transform(in_batches, run, "doc_id long, fp long"))
 
 
 class BKTree:
@@ -101,29 +101,36 @@ class BKTree:
             stack += [node for edge, node in self.edges[at].items() if d - radius <= edge <= d + radius]
 
 
-def tree_links(members: dict[int, int], probes: dict[int, int], radius: int) -> list[tuple[int, int]]:
-    """Spanning links (doc_id, doc_id) between ``probes`` and the tree of ``members`` (value -> doc_id)."""
-    if not members:
-        return []
-    values = iter(members)
-    tree = BKTree(next(values))
-    for v in values:
-        tree.add(v)
-    parent: dict[int, int] = {}
+class ShardTree:
+    """The tree of one shard (value -> doc_id) and the links found so far; holds its members only."""
 
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = x = parent.get(up, up)
+    def __init__(self, members: dict[int, int], radius: int):
+        self.members, self.radius, self.parent = members, radius, {}
+        values = iter(members)
+        self.tree = BKTree(next(values))
+        for v in values:
+            self.tree.add(v)
+
+    def _root(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = x = self.parent.get(up, up)
         return x
 
-    links = []
-    for x, doc in probes.items():
-        for y in tree.near(x, radius):
-            a, b = root(x), root(y)
-            if a != b:
-                parent[a] = b
-                links.append((doc, members[y]))
-    return links
+    def links(self, x: int, doc: int) -> list[tuple[int, int]]:
+        """Links (doc_id, doc_id) from ``x`` that join what is not yet joined: a spanning forest in all."""
+        out, known = [], {self._root(x)} if x in self.members else set()
+        for y in self.tree.near(x, self.radius):
+            root = self._root(y)
+            if root not in known:
+                if known:
+                    self.parent[root] = next(iter(known))
+                else:
+                    known = {root}
+                out.append((doc, self.members[y]))
+        return out
+
+    def own_links(self) -> list[tuple[int, int]]:
+        return [pair for x, doc in self.members.items() for pair in self.links(x, doc)]
 
 
 def _blocks(n: int) -> list[tuple[int, int]]:
@@ -139,38 +146,44 @@ def near_links(distinct: DataFrame, radius: int = 3, tree_size: int = 2048) -> D
                               part[i].bitwiseOR(F.shiftleft(part[j], 32)).alias("key"))
                      for n, (i, j) in enumerate(combinations(range(radius + 2), 2))])
     shards = distinct.select("fp", "rep", F.explode(keys).alias("k")).select("k.pair", "k.key", "fp", "rep")
-    shared = (shards.withColumn("n", F.count("*").over(Window.partitionBy("pair", "key"))).where("n > 1")
+    # counted by aggregate and join, so that no shard, however hot, has to pass through one task whole
+    sizes = shards.groupBy("pair", "key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = (shards.join(sizes, ["pair", "key"])
               .withColumn("trees", F.ceil(F.col("n") / tree_size).cast("int"))
               .withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
               .select("pair", "key", "tree", "fp", "rep",
                       (F.pmod(F.xxhash64("fp"), "trees") == F.col("tree")).alias("member")))
 
     def run(batches) -> Iterator:
+        """A tree's members come before the other fingerprints of its shard, which pass one by one."""
         import pyarrow as pa
 
-        key, members, probes = None, {}, {}
-
-        def out(links):
-            a, b = zip(*links, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
+        key, members, shard = None, {}, None
         for batch in batches:
             links = []
             for pair, k, tree, fp, rep, member in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (pair, k, tree) != key:
-                    links += tree_links(members, probes, radius)
-                    key, members, probes = (pair, k, tree), {}, {}
+                    if members and shard is None:
+                        links += ShardTree(members, radius).own_links()
+                    key, members, shard = (pair, k, tree), {}, None
                 fp &= (1 << 64) - 1
-                probes[fp] = rep
                 if member:
                     members[fp] = rep
+                elif members:
+                    if shard is None:
+                        shard = ShardTree(members, radius)
+                        links += shard.own_links()
+                    links += shard.links(fp, rep)
             if links:
-                yield out(links)
-        if links := tree_links(members, probes, radius):
-            yield out(links)
+                a, b = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        if members and shard is None and (links := ShardTree(members, radius).own_links()):
+            a, b = zip(*links, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return (shared.repartition("pair", "key", "tree").sortWithinPartitions("pair", "key", "tree")
-            .mapInArrow(run, "a long, b long"))
+    return (shared.repartition("pair", "key", "tree")
+            .sortWithinPartitions("pair", "key", "tree", F.desc("member"))
+            .transform(in_batches, run, "a long, b long"))
 
 
 def near_components(docs: DataFrame, words: int = 3, radius: int = 3, tree_size: int = 2048) -> DataFrame:

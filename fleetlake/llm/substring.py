@@ -4,25 +4,29 @@ A window is ``length`` consecutive words of one document.  A word goes when a
 window that covers it also starts in a document with a smaller doc_id; windows
 are judged on the input.
 
-First level, every window of every text:
-
-1. each task hashes the windows of its documents, keeps per distinct window
-   only its smallest document, and notes the others as repeats at once: a
-   passage found in a third of all documents leaves a task once;
-2. what is left goes to hash buckets as packed byte planes (about nine bytes a
-   window).  A bucket sees all documents of its windows and marks the repeats;
-3. the marks and the texts meet by document group, where the words are removed.
-
-A window is known by 56 bits of one polynomial hash and, in its bucket number,
-log2(buckets) bits of a second: 61 bits and more, growing with the width.
-
-Further levels: runs of repeated windows are extended to twice the length, then
-twice that, until no candidate survives.  Each level joins only what was
-repeated at the one before, at winnowed places (the least hash among any
-``winnow`` neighbours), which both copies choose alike: a passage repeated over
-2^k * length + winnow words is sure to be found at level k.  This gives
-``longest_repeat`` and removes nothing more: a long repeat is made of
-repeated windows of the first level.
+Level-wise doubling over packed entries (document, place, hash), at every start:
+
+1. the first level has windows of ``(length + 1) // 2`` words of every text.
+   Each task hashes them, keeps per distinct window only its smallest document,
+   and notes the others as repeated at once: a passage found in a third of all
+   documents leaves a task once;
+2. what is left goes to hash buckets as packed byte planes (about seven bytes a
+   window).  A bucket sees all documents of its windows; those that several
+   documents hold are marked, and the marks go to their document's group;
+3. a group makes the next level from its marks alone: a window of the greater
+   length is looked at where its first and its last part (which may overlap)
+   were both marked, and its hash comes from theirs.  Every repeat is made of
+   repeated parts, so none is lost.  These windows go through 1 and 2 again.
+
+The level of ``length`` words decides what goes: its marks and the texts meet by
+document group, where the words are removed.  ``remove_repeats`` doubles on, to
+twice the length, four times, and so on, until no window is left; the last level
+that holds a mark of a document gives its ``longest_repeat`` (0: none), exactly.
+
+A first-level window is known by 40 bits of one polynomial hash and, in its
+bucket number, log2(buckets) bits of a second, growing with the width; a chance
+match there only makes a longer window to look at.  A longer window is known by
+56 bits and the bucket's (64 at most) of a hash of its two parts' hashes.
 
 Null and empty texts have no words and keep the hash of the empty string.  Rows
 with a null doc_id are left out.  A doc_id names one text: rows that repeat it
@@ -37,7 +41,7 @@ from itertools import compress
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from .common import blobs, in_batches, width, written
 from .rolling import WordHasher, mix
@@ -46,6 +50,11 @@ from .rolling import WordHasher, mix
 UNIT_BYTES, PACK_BYTES = 3 << 20, 8 << 20
 MARKS_AT_ONCE = 1 << 20
 FLAG_REPEAT, FLAG_SOURCE = 0, 1
+#: what a mark says of its window: the flag, and its hash where a further level follows
+FLAG, HASHED = [("flag", "u1")], [("flag", "u1"), ("value", "<u8")]
+#: bytes of a window's hash that go to its bucket, at the first level and beyond
+FIRST_BYTES, NEXT_BYTES = 5, 7
+SPREAD = 0x9E3779B97F4A7C15
 
 
 def pack(doc, pos, extra) -> bytes:
@@ -57,7 +66,7 @@ def pack(doc, pos, extra) -> bytes:
     return len(doc).to_bytes(4, "little") + b"".join(planes)
 
 
-def unpack(blob: bytes, kind: str):
+def unpack(blob: bytes, kind):
     import numpy as np
 
     n, at, out = int.from_bytes(blob[:4], "little"), 4, []
@@ -119,6 +128,54 @@ LOCAL, WINDOWS = 0, 1
 MARKS, TEXTS = 0, 1
 
 
+def _identity(value, bucket, size: int):
+    """The hash that a window is known by from its bucket on: ``size`` bytes of ``value``, and the bucket."""
+    import numpy as np
+
+    return mix((value & np.uint64((1 << 8 * size) - 1)) + np.asarray(bucket).astype(np.uint64) * np.uint64(SPREAD))
+
+
+def _bucket(value, buckets: int):
+    import numpy as np
+
+    return (((value >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _mark(flag, value, kind):
+    import numpy as np
+
+    out = np.zeros(len(flag), kind)
+    out["flag"] = flag
+    if kind == HASHED:
+        out["value"] = value
+    return out
+
+
+def _dealt(doc, pos, value, bucket, groups: int, kind, size: int) -> list[tuple[int, int, bytes]]:
+    """Rows of a task's windows, which come in (doc, pos) order: each distinct one with its smallest document
+    for the buckets, and marks of those that several documents here hold."""
+    import numpy as np
+
+    if not len(doc):
+        return []
+    order = np.argsort(value, kind="stable")  # equal windows stay in doc_id order
+    new = np.ones(len(order), bool)
+    new[1:] = value[order][1:] != value[order][:-1]
+    least = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    is_first = np.empty(len(order), bool)
+    is_first[order] = doc[order] == least
+    many = np.empty(len(order), bool)
+    later = np.add.reduceat(doc[order] != least, np.flatnonzero(new))
+    many[order] = (later > 0)[np.cumsum(new) - 1]
+    at = np.flatnonzero(many)
+    flag = np.where(is_first[at], FLAG_SOURCE, FLAG_REPEAT)
+    mark = _mark(flag, _identity(value[at], bucket[at], size), kind)
+    rows = [(k, LOCAL, b) for k, b in pack_by(group_of(doc[at], groups), doc[at], pos[at], mark)]
+    at = np.flatnonzero(is_first)
+    low = value[at].view(np.uint8).reshape(-1, 8)[:, :size].copy().reshape(-1).view(f"V{size}")
+    return rows + [(k, WINDOWS, b) for k, b in pack_by(bucket[at], doc[at], pos[at], low)]
+
+
 def _first_level(docs: DataFrame, length: int, buckets: int, groups: int) -> DataFrame:
     """Rows of packed windows for the hash buckets, and of marks already certain inside a task."""
 
@@ -136,29 +193,46 @@ def _first_level(docs: DataFrame, length: int, buckets: int, groups: int) -> Dat
             first = np.searchsorted(owner, np.arange(len(ids)))
             value = hasher.window(hasher.prefix(words), start, length)
             other = hasher.window(hasher.prefix(words, 1), start, length, 1)
-            doc, pos = ids[owner[start]], start - first[owner[start]]
-            order = np.argsort(value, kind="stable")  # equal windows stay in doc_id order
-            new = np.ones(len(order), bool)
-            new[1:] = value[order][1:] != value[order][:-1]
-            least = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-            is_first = np.empty(len(order), bool)
-            is_first[order] = doc[order] == least
-            many = np.empty(len(order), bool)
-            later = np.add.reduceat(doc[order] != least, np.flatnonzero(new)) if len(order) else np.zeros(0)
-            many[order] = (later > 0)[np.cumsum(new) - 1]
-            flag = np.where(is_first, FLAG_SOURCE, FLAG_REPEAT).astype(np.uint8)
-            at = np.flatnonzero(many)
-            rows = [(k, LOCAL, b) for k, b in pack_by(group_of(doc[at], groups), doc[at], pos[at], flag[at])]
-            at = np.flatnonzero(is_first)
-            bucket = (((other[at] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-            low = value[at].view(np.uint8).reshape(-1, 8)[:, :7].copy().reshape(-1).view("V7")
-            rows += [(k, WINDOWS, b) for k, b in pack_by(bucket, doc[at], pos[at], low)]
-            yield from _rows(rows)
+            yield from _rows(_dealt(ids[owner[start]], start - first[owner[start]], value, _bucket(other, buckets),
+                                    groups, HASHED, FIRST_BYTES))
 
     return docs.transform(in_batches, run, ROW)
 
 
-def _marks(packed: DataFrame, groups: int) -> DataFrame:
+def _next_level(marks: DataFrame, step: int, buckets: int, groups: int, kind) -> DataFrame:
+    """Like ``_first_level``, of the windows made of two marked ones ``step`` words apart."""
+
+    def run(batches):
+        import numpy as np
+
+        def dealt(parts):
+            doc, pos, mark = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((pos, doc))
+            doc, pos, value = doc[order], pos[order].astype(np.int64), mark["value"][order]
+            place = (np.cumsum(np.diff(doc, prepend=doc[:1]) != 0) << 32) + pos
+            once = np.flatnonzero(np.diff(place, prepend=np.int64(-1)))
+            doc, pos, value, place = doc[once], pos[once], value[once], place[once]
+            last = np.minimum(np.searchsorted(place, place + step), len(place) - 1)
+            at = np.flatnonzero(place[last] == place + step)
+            value = mix(value[at] + mix(value[last[at]]) * np.uint64(SPREAD))
+            yield from _rows(_dealt(doc[at], pos[at], value, _bucket(value, buckets), groups, kind, NEXT_BYTES))
+
+        group, parts = None, []
+        for batch in batches:
+            for key, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != group and parts:
+                    yield from dealt(parts)
+                    parts = []
+                group = key
+                parts.append(unpack(blob, HASHED))
+        if parts:
+            yield from dealt(parts)
+
+    return (marks.select("key", "blob").repartition("key").sortWithinPartitions("key")
+            .transform(in_batches, run, ROW))
+
+
+def _marks(packed: DataFrame, groups: int, kind, size: int = NEXT_BYTES) -> DataFrame:
     """Marks of the windows that several documents share, packed by document group."""
 
     def run(batches):
@@ -170,7 +244,7 @@ def _marks(packed: DataFrame, groups: int) -> DataFrame:
             """Marks of the bucket's windows that several documents share."""
             doc, pos, low = (np.concatenate(x) for x in zip(*parts, strict=True))
             value = np.zeros((len(low), 8), np.uint8)
-            value[:, :7] = low.view(np.uint8).reshape(-1, 7)
+            value[:, :size] = low.view(np.uint8).reshape(-1, size)
             value = value.reshape(-1).view(np.uint64)
             order = np.lexsort((doc, value))
             doc, pos, value = doc[order], pos[order], value[order]
@@ -179,18 +253,19 @@ def _marks(packed: DataFrame, groups: int) -> DataFrame:
             least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
             later = np.add.reduceat(doc != least, np.flatnonzero(new))
             at = np.flatnonzero((later > 0)[np.cumsum(new) - 1])
-            return doc[at], pos[at], (doc[at] == least[at]).astype(np.uint8)
+            flag = np.where(doc[at] == least[at], FLAG_SOURCE, FLAG_REPEAT)
+            return doc[at], pos[at], _mark(flag, _identity(value[at], bucket, size), kind)
 
         def sent():
             """The marks of many buckets, by document group."""
-            doc, pos, flag = (np.concatenate(x) for x in zip(*found, strict=True))
+            doc, pos, mark = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.lexsort((pos, doc))
-            doc, pos, flag = doc[order], pos[order], flag[order]
-            yield from _rows([(k, MARKS, b) for k, b in pack_by(group_of(doc, groups), doc, pos, flag)])
+            doc, pos, mark = doc[order], pos[order], mark[order]
+            yield from _rows([(k, MARKS, b) for k, b in pack_by(group_of(doc, groups), doc, pos, mark)])
 
         for batch in batches:
-            for key, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if kind == LOCAL:
+            for key, own, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own == LOCAL:
                     yield from _rows([(key, MARKS, blob)])
                     continue
                 if key != bucket and parts:
@@ -200,7 +275,7 @@ def _marks(packed: DataFrame, groups: int) -> DataFrame:
                         yield from sent()
                         found, waiting = [], 0
                 bucket = key
-                parts.append(unpack(blob, "V7"))
+                parts.append(unpack(blob, f"V{size}"))
         if parts:
             found.append(settle())
         if found:
@@ -251,39 +326,10 @@ def without(text: bytes, keep: list[bool]) -> bytes:
     return (left if keep[0] else left.lstrip()) + end
 
 
-def ladders(hasher, text: bytes, repeated, length: int, winnow: int) -> list[list[int]]:
-    """For each winnowed place of the runs of ``repeated`` window starts: hashes of its windows of
-    twice the length, four times, and so on, as far as the run goes."""
-    import numpy as np
-
-    words, _ = hasher.words([text])
-    prefix = hasher.prefix(words)
-    out = set()  # a line that a document repeats gives its hashes once
-    for run in np.split(repeated, np.flatnonzero(np.diff(repeated) != 1) + 1):
-        if len(run) <= length:  # no window of twice the length
-            continue
-        value = hasher.window(prefix, run, length)
-        if len(value) > winnow:
-            near = np.lib.stride_tricks.sliding_window_view(value, winnow)
-            places = np.unique(np.argmin(near, axis=1) + np.arange(len(near)))
-        else:
-            places = [int(np.argmin(value))]
-        for i in places:
-            ladder, size = [], 2 * length
-            while i + size - length < len(run):
-                ladder.append(int(hasher.window(prefix, run[i:i + 1], size).view(np.int64)[0]))
-                size *= 2
-            if ladder:
-                out.add(tuple(ladder))
-    return [list(x) for x in out]
-
-
-def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, winnow: int,
-           keep_text: bool, prefix: str) -> DataFrame:
+def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, keep_text: bool, prefix: str) -> DataFrame:
     """Marks and rows (``row``: doc_id, text, more) meet by document group; marks come first."""
     schema = StructType([f for f in row.fields if keep_text or f.name == "doc_id"])
-    for name, kind in (("n_words", LongType()), ("n_removed", LongType()), ("kept_sha256", StringType()),
-                       ("ladders", ArrayType(ArrayType(LongType())))):
+    for name, kind in (("n_words", LongType()), ("n_removed", LongType()), ("kept_sha256", StringType())):
         schema = schema.add(prefix + name, kind)
 
     def run(batches):
@@ -293,11 +339,11 @@ def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, win
         import pyarrow as pa
         import zstandard
 
-        hasher, group, parts, marked = WordHasher(), None, [], None
-        types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.string()]
+        group, parts, marked = None, [], None
+        types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
 
         def one(doc: int, text: bytes) -> tuple:
-            words, rungs, n_removed = text.split(), [], 0
+            words, n_removed = text.split(), 0
             total = len(words)
             kept = text
             lo, hi = np.searchsorted(marked[0], [doc, doc + 1]) if marked else (0, 0)
@@ -315,45 +361,64 @@ def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, win
                     keep = keep.tolist()
                     words = list(compress(words, keep))
                     kept = without(text, keep) if keep_text else b""
-                rungs = ladders(hasher, text, np.unique(pos), length, winnow) if winnow else []
-            return total, n_removed, sha256(b" ".join(words)).hexdigest(), rungs, kept.decode() if keep_text else None
+            return total, n_removed, sha256(b" ".join(words)).hexdigest(), kept.decode() if keep_text else None
 
         for batch in batches:
             for key, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != group:
                     group, parts, marked = key, [], None
                 if kind == MARKS:
-                    parts.append(unpack(blob, "u1"))
+                    parts.append(unpack(blob, FLAG))
                     continue
                 if parts:
                     doc, pos, flag = (np.concatenate(x) for x in zip(*parts, strict=True))
                     order = np.argsort(doc, kind="stable")
-                    marked, parts = (doc[order], pos[order], flag[order]), []
+                    marked, parts = (doc[order], pos[order], flag["flag"][order]), []
                 for rows in pa.ipc.open_stream(zstandard.ZstdDecompressor().decompressobj().decompress(blob)):
                     done = [one(d, t or b"") for d, t in zip(rows.column(0).to_pylist(), blobs(rows.column(1)), strict=True)]
                     found = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)]
-                    kept = [rows.column(0), found[4], *rows.columns[2:]] if keep_text else [rows.column(0)]
-                    yield pa.RecordBatch.from_arrays([*kept, *found[:4]], schema.names)
+                    kept = [rows.column(0), found[3], *rows.columns[2:]] if keep_text else [rows.column(0)]
+                    yield pa.RecordBatch.from_arrays([*kept, *found[:3]], schema.names)
 
     return (marks.union(texts).repartition("key").sortWithinPartitions("key", "kind").transform(in_batches, run, schema))
 
 
-def _longest(found: DataFrame, length: int) -> DataFrame:
-    """``(doc_id, longest_repeat)``: the greatest doubled length at which a document repeats another."""
-    rungs = found.select("doc_id", F.explode("ladders").alias("ladder"))
-    level, reached = 0, None
-    while True:
-        here = rungs.where(F.size("ladder") > level).withColumn("value", F.get("ladder", F.lit(level)))
-        shared = (here.groupBy("value").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                  .where("lo < hi").select("value"))
-        rungs = written(here.join(shared, "value", "left_semi").select("doc_id", "ladder"), f"level{level}")
-        if rungs.isEmpty():
-            break
-        level += 1
-        docs = rungs.groupBy("doc_id").agg(F.lit(length << level).cast("long").alias("longest_repeat"))
+def _flags(marks: DataFrame) -> DataFrame:
+    """``HASHED`` marks without their hashes."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for key, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                doc, pos, mark = unpack(blob, HASHED)
+                rows.append((key, MARKS, pack(doc, pos, _mark(mark["flag"], None, FLAG))))
+            yield from _rows(rows)
+
+    return marks.select("key", "blob").transform(in_batches, run, ROW)
+
+
+def _marked(marks: DataFrame) -> DataFrame:
+    """``(doc_id)`` of ``HASHED`` marks, once a row of marks."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(unpack(blob, HASHED)[0]))], ["doc_id"])
+
+    return marks.select("blob").transform(in_batches, run, "doc_id long")
+
+
+def _longest(marks: DataFrame, length: int, buckets: int, groups: int) -> DataFrame:
+    """``(doc_id, longest_repeat)``: the greatest doubled length at which a document shares a window."""
+    size, reached = length, None
+    while reached is None or not marks.isEmpty():
+        docs = _marked(marks).groupBy("doc_id").agg(F.lit(size).cast("long").alias("longest_repeat"))
         reached = docs if reached is None else reached.union(docs)
-    if reached is None:
-        return found.select("doc_id", F.lit(0).cast("long").alias("longest_repeat")).limit(0)
+        marks = written(_marks(_next_level(marks, size, buckets, groups, HASHED), groups, HASHED), f"windows{2 * size}")
+        size *= 2
     return reached.groupBy("doc_id").agg(F.max("longest_repeat").alias("longest_repeat"))
 
 
@@ -362,25 +427,35 @@ def _own(docs: DataFrame, *more: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
-def _found(rows: DataFrame, length: int, winnow: int, keep_text: bool, prefix: str = "") -> DataFrame:
-    shuffles = width(rows.sparkSession)
-    buckets, groups = 4 * shuffles, 2 * shuffles
-    marks = _marks(_first_level(rows.select("doc_id", "text"), length, buckets, groups), groups)
-    return _apply(marks, _texts(rows, groups), rows.schema, length, winnow, keep_text, prefix)
+def _sizes(spark) -> tuple[int, int]:
+    """Hash buckets and document groups."""
+    return 4 * width(spark), 2 * width(spark)
+
+
+def _repeated(rows: DataFrame, length: int, kind) -> DataFrame:
+    """Marks of the repeated windows of ``length`` words, by way of those of half the length."""
+    buckets, groups = _sizes(rows.sparkSession)
+    half = (length + 1) // 2
+    marks = _marks(_first_level(rows.select("doc_id", "text"), half, buckets, groups), groups, HASHED,
+                   FIRST_BYTES)
+    return _marks(_next_level(marks, length - half, buckets, groups, kind), groups, kind)
 
 
-def remove_repeats(docs: DataFrame, length: int = 13, winnow: int = 32) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, n_words, n_removed, kept_sha256, longest_repeat)``."""
-    found = written(_found(_own(docs), length, winnow, False), "repeats")
-    return (found.drop("ladders").join(_longest(found, length), "doc_id", "left")
-            .withColumn("longest_repeat", F.coalesce("longest_repeat", F.when(F.col("n_removed") > 0, length)
-                                                     .otherwise(0).cast("long"))))
+    rows = _own(docs)
+    buckets, groups = _sizes(rows.sparkSession)
+    marks = written(_repeated(rows, length, HASHED), f"windows{length}")
+    found = _apply(_flags(marks), _texts(rows, groups), rows.schema, length, False, "")
+    return (found.join(_longest(marks, length, buckets, groups), "doc_id", "left")
+            .withColumn("longest_repeat", F.coalesce("longest_repeat", F.lit(0).cast("long"))))
 
 
 def cleaned(docs: DataFrame, length: int = 13, prefix: str = "") -> DataFrame:
     """All columns of ``docs``, ``text`` without its repeated words and the white space before them, and
-    n_words, n_removed, kept_sha256 (the first level alone decides what goes), with ``prefix`` before these
-    names.  A text that loses nothing stays as it is; columns of ``docs`` with these names are replaced."""
-    added = [prefix + c for c in ("n_words", "n_removed", "kept_sha256", "ladders")]
-    more = [c for c in docs.columns if c not in ("doc_id", "text", *added)]
-    return _found(_own(docs, *more), length, 0, True, prefix).drop(added[-1])
+    n_words, n_removed, kept_sha256 (the level of ``length`` words decides what goes), with ``prefix`` before
+    these names.  A text that loses nothing stays as it is; columns of ``docs`` with these names are replaced."""
+    added = [prefix + c for c in ("n_words", "n_removed", "kept_sha256")]
+    rows = _own(docs, *(c for c in docs.columns if c not in ("doc_id", "text", *added)))
+    groups = _sizes(rows.sparkSession)[1]
+    return _apply(_repeated(rows, length, FLAG), _texts(rows, groups), rows.schema, length, True, prefix)

@@ -53,6 +53,40 @@ def test_repeats_equal_brute_force(docs, corpus, clashing):
         assert r["longest_repeat"] * 2 >= longest.get(d, 0) - 32
 
 
+def test_longest_repeat_is_exact(spark, docs, corpus):
+    """Passages hardly longer than a doubled length, and documents that only lend their passage, count too."""
+    import random
+
+    rng = random.Random(12)
+
+    def fresh(n):
+        return [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    rows = [(r[0], r[1]) for r in corpus]
+    for k, n in enumerate([12, 13, 14, 25, 26, 27, 30, 40, 51, 52, 53, 60] * 4):
+        passage = fresh(n)
+        for d in (0, 1):
+            rows.append((10_000 + 2 * k + d, " ".join(fresh(rng.randrange(20)) + passage + fresh(rng.randrange(20)))))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    longest = brute_longest(rows, 13)
+    assert {r["doc_id"]: r["longest_repeat"] for r in remove_repeats(frame).collect()} == {
+        d: longest.get(d, 0) for d, _ in rows}
+
+
+def test_pipeline_stage_removes_what_the_doubled_level_finds(docs, monkeypatch):
+    from fleetlake.llm import substring
+
+    levels = []
+    for name in ("_first_level", "_next_level"):
+        def spy(frame, size, *rest, name=name, real=getattr(substring, name)):
+            levels.append((name, size))
+            return real(frame, size, *rest)
+
+        monkeypatch.setattr(substring, name, spy)
+    cleaned(docs, length=13)
+    assert levels == [("_first_level", 7), ("_next_level", 6)]
+
+
 def test_other_lengths_and_repeated_rows(spark):
     rows = [(1, "a b c d e"), (2, "x a b c y"), (2, "x a b c y"), (3, "a b c"), (4, "a b"), (None, "a b c"), (5, None), (6, "")]
     got = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in

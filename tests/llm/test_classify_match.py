@@ -74,6 +74,31 @@ def test_contaminated_equals_brute_force(spark, clashing):
     assert contaminated(frame, test.limit(0)).count() == 0
 
 
+def test_short_items_equal_brute_force(spark):
+    """Items of 1 to 13 tokens with every pattern of substitutions, whole and cut by the document's ends."""
+    from itertools import combinations
+
+    items = [(n, " ".join(f"q{n}x{k}" for k in range(n))) for n in range(1, 14)]
+    docs = []
+    for n, item in items:
+        w = item.split()
+        for r in range(n - ceil(0.8 * n) + 2):
+            for bad in combinations(range(n), r):
+                body = ["other" if k in bad else t for k, t in enumerate(w)]
+                docs.append((len(docs), " ".join(["before", *body, "after"])))
+        docs += [(len(docs) + k, " ".join(w[lo:n - hi])) for k, (lo, hi) in enumerate([(0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (0, 2)])]
+    docs.append((len(docs), " ".join([items[0][1]] * 50 + [items[2][1]] * 2)))
+    # brute_matches leaves items of under 7 tokens out: these count where all their tokens follow each other
+    want = {k: v[0] for k, v in brute_matches(docs, items).items()}
+    want |= {(d, i): i for d, text in docs for i, item in items if i < 7 and f" {item} " in f" {text} "}
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    test = spark.createDataFrame(items, "item_id long, text string")
+    for rows in (2_000_000, 0):
+        got = {(r["doc_id"], r["item_id"]): r["best_window"] for r in contaminated(frame, test, broadcast_rows=rows).collect()}
+        assert got == want
+    assert {i for _, i in want} == set(range(1, 14))
+
+
 def test_native_plan(spark, docs):
     from pyspark.sql import functions as F
 

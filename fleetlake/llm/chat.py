@@ -8,10 +8,11 @@ rewritten what it had already said; the turn is marked ``rewrites`` and its
 part begins where the two outputs part.  Where a turn's text stands inside its
 part is found by rendering it once more with a probe character as its text.
 
-``context`` bounds the prefix to that many turns before the turn, so the
-work is linear in the conversation and a task holds a few turns at a time;
-``None`` renders whole prefixes.  A template that looks further back than
-``context`` turns needs the larger value.
+The prefix is the whole conversation before the turn, as a template may look back
+as far as it likes; a conversation costs the square of its length.  ``context``
+bounds the prefix to that many turns before the turn, so the work is linear.  It
+is for templates that look no further back: the pieces joined are compared with
+one rendering of the whole conversation, and a difference is an error.
 
 ``chatml`` marks turns with control strings and escapes these in texts and roles,
 reversibly; ``read_back`` parses its output.
@@ -88,7 +89,7 @@ def turn_part(render: Callable[[Turns], str], before: Turns, role: str, text: st
     return longer[cut:], start, min(end, len(longer) - cut), rewrites
 
 
-def format_turns(conversations: DataFrame, render: Callable[[Turns], str] = chatml, context: int | None = 2,
+def format_turns(conversations: DataFrame, render: Callable[[Turns], str] = chatml, context: int | None = None,
                  loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """``conversations(conv_id, turn, role, text)`` -> a row per turn in the conversation's order: conv_id,
     place, piece (the turn's part of the output; the pieces joined are the output), offset of the piece,
@@ -100,20 +101,32 @@ def format_turns(conversations: DataFrame, render: Callable[[Turns], str] = chat
         names = ["conv_id", "place", "piece", "offset", "loss_start", "loss_end", "rewrites"]
         types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
         conv, before, place, offset = None, [], 0, 0
+        every, said = [], []  # of a bounded prefix: the conversation's turns and pieces
+
+        def settle():
+            if context is not None and every and "".join(said) != render(every):
+                raise ValueError(f"conversation {conv}: the template looks back further than context={context}, "
+                                 "or rewrites; use context=None")
+
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = []
                 for key, role, text in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
                     if key != conv:
-                        conv, before, place, offset = key, [], 0, 0
+                        settle()
+                        conv, before, place, offset, every, said = key, [], 0, 0, [], []
                     piece, start, end, rewrites = turn_part(render, before, role, text)
                     loss = (start, end) if role in loss_roles else (None, None)
                     rows.append((conv, place, piece, offset, *loss, rewrites))
                     before = [*before, (role, text)]
-                    before = before if context is None else before[max(0, len(before) - context):]
+                    if context is not None:
+                        before = before[max(0, len(before) - context):]
+                        every.append((role, text))
+                        said.append(piece)
                     place, offset = place + 1, offset + len(piece)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                                                  names)
+        settle()
 
     turns = (conversations.where("conv_id is not null").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),

@@ -134,6 +134,35 @@ def test_rewritten_history_is_detected(spark):
     assert not any(r["rewrites"] for r in format_turns(frame, chatml).collect())
 
 
+def test_pieces_of_a_template_that_looks_far_back(spark):
+    def rounds(turns):
+        """Begins with the system turn or a default one, wants a user turn first, numbers the rounds."""
+        system = [t for r, t in turns if r == "system"]
+        rest = [x for x in turns if x[0] != "system"]
+        if rest and rest[0][0] != "user":
+            raise ValueError("a user turn must come first")
+        head = f"[{system[0] if system else 'default'}]"
+        return head + "".join(f"{i // 2 + 1}{r}:{t}({len(head)});" for i, (r, t) in enumerate(rest))
+
+    talk = {1: ["system"] + ["user", "assistant"] * 3, 2: ["user", "assistant"] * 4}
+    rows = [(c, i, r, f"text {i}") for c, roles in talk.items() for i, r in enumerate(roles)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = format_turns(frame, rounds).orderBy("conv_id", "place").collect()
+    for c in talk:
+        assert "".join(r["piece"] for r in got if r["conv_id"] == c) == rounds([(r, t) for k, _, r, t in rows if k == c])
+    assert all(r["piece"][r["loss_start"]:r["loss_end"]] == f"text {r['place']}" for r in got if r["loss_start"] is not None)
+    assert not any(r["rewrites"] for r in got)
+
+    def counted(turns):
+        return "".join(f"{i}{r}:{t};" for i, (r, t) in enumerate(turns))
+
+    # the bounded form is for templates that look no further back
+    with pytest.raises(Exception, match="looks back further than context=2"):
+        format_turns(frame, counted, context=2).collect()
+    assert "".join(r["piece"] for r in format_turns(frame.where("conv_id = 2"), context=2).orderBy("place").collect()) == chatml(
+        [(r, t) for k, _, r, t in rows if k == 2])
+
+
 def test_digests_equal_brute_force(spark, clashing):
     rng = random.Random(2)
     rows = [(c, t, rng.choice(["user", "assistant", "system", None, "a\nb<|"]), rng.choice(["hi", "", None, HOSTILE, "é漢\n" * 50]))

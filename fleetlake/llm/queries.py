@@ -87,6 +87,52 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import judged
+
+    return judged(table(spark, sf_dir, "documents")).drop("failed")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whitened
+
+    done = whitened(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=8, scale=1024, offset=100_000)
+    return done.withColumnRenamed("id", "vec_id")
+
+
+def _with_planted_run(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the documents, by a hash of their id, end in repeats of a stretch of their own words."""
+    from .quality_rules import let, word_list
+
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.expr("h div 10")
+
+    def planted(w):
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        at = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(at, lambda i: F.get(w, i.cast("int"))), " ")).otherwise(F.lit(""))
+
+    text = F.when(F.col("h") % 10 == 0, let(word_list(F.col("text")), planted)).otherwise(F.col("text"))
+    return docs.select("doc_id", h.alias("h"), F.col("text").cast("string").alias("text")).select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .runs import periodic_runs
+
+    found = periodic_runs(_with_planted_run(table(spark, sf_dir, "documents")), least=12)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(listed, 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+    length, period = F.col("best.length"), -F.col("best.short")
+    return rows.select("doc_id", "n_runs", (-F.col("best.back")).alias("start"), length.alias("length"), period.alias("period"),
+                       F.expr("1000 * best.length div -best.short").alias("exponent_milli"), "runs_sha256", "collapsed_sha256", "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_prefix_forest": op2_prefix_forest,
@@ -98,6 +144,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _WARC_SQL = """
@@ -143,8 +192,8 @@ tests AS (
   FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
 ),
 d AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS at FROM words),
-i AS (SELECT item_id, len(w) AS n, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS at FROM tests WHERE len(w) >= 13),
--- equal tokens on a diagonal, and how many of them end in each stretch of 13
+i AS (SELECT item_id, len(w) AS n, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS at FROM tests),
+-- equal tokens on a diagonal, and how many of them end in each stretch of 13; a shorter item is one stretch
 same AS (
   SELECT doc_id, item_id, n, d.at - i.at AS start,
          count(*) OVER (PARTITION BY doc_id, item_id, d.at - i.at ORDER BY i.at RANGE BETWEEN 12 PRECEDING AND CURRENT ROW) AS c
@@ -152,16 +201,69 @@ same AS (
 ),
 best AS (
   SELECT doc_id, item_id, start, n AS n_item, count(*) AS n_equal, max(c) AS best_window
-  FROM same GROUP BY ALL HAVING max(c) >= 11
+  FROM same GROUP BY ALL HAVING max(c) >= CASE WHEN n < 7 THEN n ELSE (4 * least(n, 13) + 4) // 5 END
 )
 SELECT doc_id, item_id, CAST(start AS BIGINT) AS start, CAST(n_item AS BIGINT) AS n_item, n_equal, best_window,
        CAST(n_equal AS DOUBLE) / n_item AS overlap
 FROM best
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY best_window DESC, n_equal DESC, start) = 1"""
 
+_SPACES = r"[\x20\x09-\x0D]"
+
+
+def _quality_sql() -> str:
+    """Measures by unnested words, five-word windows and lines; the table of rules as conditions."""
+    from .quality_rules import BASE, BULLETS, RATIOS, STOP_WORDS, SYMBOLS
+
+    def broken(r) -> str:
+        value, scale = (r.measure, "1") if r.per is None else (f"100 * {r.measure}", r.per)
+        sides = [f"{value} < {r.least} * {scale}"] if r.least is not None else []
+        sides += [f"{value} > {r.greatest} * {scale}"] if r.greatest is not None else []
+        return f"(({' OR '.join(sides)}) AND n_words >= {r.over})"
+
+    stop = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+-- five words in a row, joined by a character that no word holds
+fives AS (
+  SELECT r, pos, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS five,
+         lead(pos, 4) OVER o AS last
+  FROM words WINDOW o AS (PARTITION BY r ORDER BY pos)
+),
+twice AS (SELECT r, pos, count(*) OVER (PARTITION BY r, five) AS c FROM fives WHERE last IS NOT NULL),
+covered AS (SELECT r, count(DISTINCT pos + k) AS n FROM twice CROSS JOIN range(5) AS s(k) WHERE c > 1 GROUP BY r),
+counted AS (
+  SELECT r, sum(length(word)) AS chars, count(*) FILTER (WHERE regexp_matches(word, '\p{{L}}')) AS letters,
+         count(*) FILTER (WHERE lower(word) IN ({stop})) AS stops
+  FROM words GROUP BY r
+),
+lines AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+lined AS (
+  SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup,
+         count(*) FILTER (WHERE regexp_matches(line, '^{_SPACES}*[{BULLETS}]')) AS bullets,
+         count(*) FILTER (WHERE regexp_matches(line, '(\.\.\.|…){_SPACES}*$')) AS dots
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(stops, 0) AS BIGINT) AS n_stop_words,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lined.n, 0) AS BIGINT) AS n_lines,
+         CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(bullets, 0) AS BIGINT) AS n_bullet_lines,
+         CAST(coalesce(dots, 0) AS BIGINT) AS n_ellipsis_lines, CAST(coalesce(chars, 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(letters, 0) AS BIGINT) AS n_letter_words
+  FROM d LEFT JOIN covered USING (r) LEFT JOIN counted USING (r) LEFT JOIN lined USING (r)
+)
+SELECT *, ({" OR ".join(map(broken, BASE))}) AS base_failed, NOT ({" OR ".join(map(broken, BASE + RATIOS))}) AS kept FROM m"""
+
+
 #: the others rest on hashes, models or tokenizers that SQL does not have: tests/llm has brute force for them
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": _WARC_SQL,
     "op8_chat_formatting": _CHAT_SQL,
     "op10_benchmark_decontamination": _LEAK_SQL,
+    "op11_quality_rules": _quality_sql(),
 }

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.functions.exprs import lit_ntz
+from fleetlake.functions.exprs import epoch_seconds, lit_ntz
 
 # Gauge names and the KPI column behind each.
 GAUGES = {
@@ -93,3 +93,52 @@ def metric_range(metrics: DataFrame, name: str, start: str | _dt.datetime, end:
     """Samples of one gauge over ``[start, end]``, in time order."""
     return (metrics.filter((F.col("metric") == name) & (F.col("ts") >= lit_ntz(start)) & (F.col("ts") <= lit_ntz(end)))
             .orderBy("ts", "type", "route_id"))
+
+
+DAY_S = 86400
+
+
+def _floor_div(a, b: int):
+    """``floor(a / b)`` of whole numbers, also below zero."""
+    return F.expr(f"({a} - pmod({a}, {b}L)) div {b}L")
+
+
+def metric_range_steps(metrics: DataFrame, name: str, start: str | _dt.datetime, end: str | _dt.datetime, step_s: int,
+                       lookback_s: int = 300, scale: float = 1.0, labels: dict[str, str] | None = None,
+                       slice_s: int = DAY_S) -> DataFrame:
+    """A range query: ``last_over_time(name{labels}[lookback]) / scale`` at ``start``, ``start + step`` ... ``end``.
+
+    A sample holds from its time until the next one of its series, for
+    ``lookback`` at most (then the series is stale and has no value); the steps
+    inside that interval are counted out from its ends.  So each sample is read
+    once and yields the steps it answers: no join with the steps, and a
+    lookback of many steps multiplies nothing.  The next sample is looked up
+    within time slices of at least the lookback, each ended by a copy of the
+    next slice's first sample time, so a series of any length is dealt to many
+    tasks.  Samples of a series at one time: the greatest value counts.
+    """
+    m = _series(metrics, name, labels, end).filter(F.col("ts") > F.timestamp_add("SECOND", F.lit(-lookback_s), lit_ntz(start)))
+    width = max(slice_s, lookback_s)
+    m = m.select(*SERIES, "ts", "value", F.floor(epoch_seconds("ts") / width).alias("slice"), F.lit(False).alias("mark"))
+    marks = m.groupBy(*SERIES, "slice").agg(F.min("ts").alias("ts")).select(
+        *SERIES, "ts", F.lit(None).cast("double").alias("value"), (F.col("slice") - 1).alias("slice"), F.lit(True).alias("mark"))
+    following = Window.partitionBy(*SERIES, "slice").orderBy("ts", "value", "mark")
+    stale = F.timestamp_add("SECOND", F.lit(lookback_s), F.col("ts"))
+    held = (m.unionByName(marks).withColumn("until", F.least(stale, F.coalesce(F.lead("ts").over(following), stale)))
+            .filter(~F.col("mark")))
+    since = lambda c: F.timestamp_diff("MICROSECOND", lit_ntz(start), c)
+    step = step_s * 1_000_000
+    # first step at or after the sample, and the last one before the end of its interval and of the range
+    counted = (held.withColumns({"a": since(F.col("ts")), "b": since(F.col("until"))})
+               .withColumns({"lo": F.greatest(F.lit(0).cast("long"), -_floor_div("(-a)", step)),
+                             "hi": F.least(_floor_div("(b - 1)", step), F.floor(since(lit_ntz(end)) / step))}))
+    return (counted.filter(F.col("lo") <= F.col("hi")).withColumn("k", F.explode(F.sequence("lo", "hi")))
+            .select(*SERIES, F.timestamp_add("MICROSECOND", F.col("k") * step, lit_ntz(start)).alias("ts"),
+                    (F.col("value") / scale).alias("value")))
+
+
+def topk_steps(steps: DataFrame, k: int = 1, ascending: bool = False) -> DataFrame:
+    """``topk``/``bottomk`` at every step of a range query; ties go to the smaller labels."""
+    order = F.col("value").asc() if ascending else F.col("value").desc()
+    w = Window.partitionBy("ts").orderBy(order, "type", "route_id")
+    return steps.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")

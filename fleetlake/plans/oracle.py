@@ -8,7 +8,7 @@ plans.  Spark's ``round(double, 2)`` rounds the shortest decimal form half-up;
 
 from __future__ import annotations
 
-from fleetlake.plans.queries import AS_OF, DAY, FACT_NOW, FIRST_UNTIL, LOAD1, LOAD2, RANGE, REPLAY, SECOND_FROM
+from fleetlake.plans.queries import AS_OF, DAY, FACT_NOW, FIRST_UNTIL, HISTORY, LOAD1, LOAD2, RANGE, REPLAY, SECOND_FROM
 
 
 def R2(x: str) -> str:
@@ -272,6 +272,14 @@ metrics AS (
 EXTREME = "route_delay_extreme_seconds"
 
 
+def _steps(which: str, start: str, end: str, step_s: int, lookback_s: int, scale: str = "1.0") -> str:
+    """Every step joined with the samples of its lookback; the newest one counts."""
+    return f"""SELECT metric, type, route_id, t AS ts, arg_max(value, ts) / {scale} AS value
+FROM metrics JOIN (SELECT unnest(generate_series(TIMESTAMP '{start}', TIMESTAMP '{end}', INTERVAL {step_s} SECOND)) AS t) steps
+  ON metrics.ts <= steps.t AND metrics.ts > steps.t - INTERVAL {lookback_s} SECOND
+WHERE {which} GROUP BY metric, type, route_id, t"""
+
+
 def _sql() -> dict[str, str]:
     b = base()
     return {
@@ -398,6 +406,25 @@ versions AS (
 SELECT f.tst, f.vehicle_number, f.route_id, v.route_long_name, v.route_type, v.row_wid
 FROM fact f JOIN versions v
   ON f.route_id = v.route_id AND f.tst >= v.effective_start_dt AND (v.valid_to IS NULL OR f.tst < v.valid_to)""",
+        "fact_join_as_of_left": b + """,
+versions AS (
+  SELECT *, lead(effective_start_dt) OVER (PARTITION BY route_id ORDER BY effective_start_dt) AS valid_to FROM dim2
+),
+f AS (SELECT tst, vehicle_number, CASE WHEN vehicle_number > '00005' THEN route_id END AS route_id FROM fact)
+SELECT f.tst, f.vehicle_number, f.route_id, v.route_long_name, v.row_wid
+FROM f LEFT JOIN versions v
+  ON f.route_id = v.route_id AND f.tst >= v.effective_start_dt AND (v.valid_to IS NULL OR f.tst < v.valid_to)""",
+        "replay_offsets": b + """,
+span AS (SELECT kafka_partition, min(kafka_offset) AS lo, max(kafka_offset) AS hi FROM flat GROUP BY 1)
+SELECT vehicle_number AS "key", kafka_partition AS "partition", kafka_offset AS "offset",
+       strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') + INTERVAL 1 SECOND AS "timestamp"
+FROM flat JOIN span USING (kafka_partition)
+WHERE kafka_offset BETWEEN lo + (hi - lo) // 3 AND hi - (hi - lo) // 3""",
+        "metric_range_steps": b + METRICS + _steps("metric = 'total_active_vehicles'", *RANGE, 30, 120),
+        "metric_range_steps_worst": b + METRICS + _steps(f"metric = '{EXTREME}' AND type = 'worst'", *HISTORY, 30, 120, "60.0"),
+        "metric_topk_steps": b + METRICS + f"""
+SELECT * FROM ({_steps(f"metric = '{EXTREME}'", *RANGE, 45, 600, "60.0")})
+QUALIFY row_number() OVER (PARTITION BY ts ORDER BY value DESC, type NULLS FIRST, route_id NULLS FIRST) = 1""",
         "dq_report": b + """
 SELECT 'dim_stops' AS table_name, rule, target, violations, violations = 0 AS passed,
        CASE WHEN rule = 'columns_exist' THEN 'missing: stop_url' ELSE '' END AS detail FROM (
@@ -589,5 +616,11 @@ for _k in ("route_delay_top", "route_density", "partition_distribution"):
     ORACLE_SQL[f"sql_{_k}"] = ORACLE_SQL[_k]
 # both batch forms of the sliding KPIs answer the same question
 ORACLE_SQL["kpi_windows_native"] = ORACLE_SQL["kpi_windows"]
+# other plans for the same rows: carried versions, buckets, stored bitmaps and intervals, the zone map
+for _k, _same in {"fact_join_as_of_carried": "fact_join_as_of", "scd2_buckets": "scd2_incremental",
+                  "route_density_bitmaps": "route_density", "route_bus_count_bitmaps": "route_bus_count",
+                  "route_stop_coverage_bitmaps": "route_stop_coverage", "offset_gaps_incremental": "offset_gaps",
+                  "replay_indexed": "replay_window"}.items():
+    ORACLE_SQL[_k] = ORACLE_SQL[_same]
 # rows behind the watermark change no window
 ORACLE_SQL["kpi_stream_late"] = ORACLE_SQL["kpi_stream"]

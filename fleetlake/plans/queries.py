@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.operators import analytics as A
+from fleetlake.operators import bitmaps as B
+from fleetlake.operators import coverage as V
 from fleetlake.operators import dq
 from fleetlake.operators import kpi as K
 from fleetlake.operators import metrics as M
@@ -23,8 +25,10 @@ from fleetlake.operators.joblog import last_loaded, last_loaded_value, latest_jo
 from fleetlake.operators.envelope import (
     filter_journey, flatten_envelope, journey_rejects, parse_topic_path, record_key,
 )
-from fleetlake.operators.gold import dim_as_of, fact_new_rows, join_active_dim, join_as_of, to_fact
-from fleetlake.operators.scd2 import ROUTE_ATTRS, STOP_ATTRS, new_or_changed_keys, scd2_apply, scd2_close
+from fleetlake.operators.gold import dim_as_of, fact_new_rows, join_active_dim, join_as_of, join_as_of_carried, to_fact
+from fleetlake.operators.scd2 import (
+    ROUTE_ATTRS, STOP_ATTRS, new_or_changed_keys, scd2_apply, scd2_close, scd2_dimension, scd2_load,
+)
 from fleetlake.operators.silver import (
     ROUTES_CLEAN, STOPS_CLEAN, all_to_string, filter_delay_outliers, incremental, silver_events, stage_dim,
 )
@@ -35,6 +39,7 @@ from fleetlake.schemas import FACT_COLUMNS
 from fleetlake.session import shared_dir
 from fleetlake.sinks import TableStore
 from fleetlake.sources import fixtures as X
+from fleetlake.sources import replay_index as R
 from fleetlake.sources.kafka import read_events_stream, replay
 from fleetlake.streaming.kpi_stream import (
     kpi_stream, read_metrics, route_delay_stream, start_metrics, stream_positions,
@@ -52,6 +57,7 @@ SECOND_FROM = "2024-01-14 00:00:00"   # second run re-reads two overlapping days
 RANGE = ("2024-01-10 00:00:00", "2024-01-10 06:00:00")
 SLICES = ("2024-01-01 00:00:00", "2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00", "2024-03-01 00:00:00")
 HALF_DAY = 12 * 3600
+HISTORY = ("2024-01-01 00:00:10", "2024-02-01 00:00:00")
 REPLAY = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,6 +294,89 @@ def q_fact_join_as_of(spark, sf):
                       ["route_long_name", "route_type", "row_wid"])
 
 
+def q_fact_join_as_of_carried(spark, sf):
+    """The point-in-time join by carrying versions forward through (route, day) slices."""
+    f = fact(spark, sf).select("tst", "vehicle_number", "route_id")
+    return join_as_of_carried(f, dim_routes(spark, sf), "route_id", "route_id", "tst",
+                              ["route_long_name", "route_type", "row_wid"])
+
+
+def q_fact_join_as_of_left(spark, sf):
+    """Every report, those of no route or of a route without version too (their columns are NULL)."""
+    f = fact(spark, sf).select("tst", "vehicle_number", F.when(F.col("vehicle_number") > "00005", F.col("route_id")).alias("route_id"))
+    return join_as_of_carried(f, dim_routes(spark, sf), "route_id", "route_id", "tst", ["route_long_name", "row_wid"], how="left")
+
+
+def q_scd2_buckets(spark, sf):
+    """The routes dimension kept in hash buckets: two loads, then the second file once more (which rewrites none)."""
+    store = _store(spark)
+    scd2_load(store, "dim_routes", routes_staged(spark, sf, 1), "route_id", ROUTE_ATTRS, LOAD1)
+    for _ in range(2):
+        scd2_load(store, "dim_routes", routes_staged(spark, sf, 2), "route_id", ROUTE_ATTRS, LOAD2)
+    return scd2_dimension(store, "dim_routes").select(*_DIM_OUT)
+
+
+# ---------------------------------------------------------------- stored bitmaps, covered offsets, replay index
+def _bitmaps(spark, sf) -> TableStore:
+    """Bitmaps per day and route brought up to date by two loads: the days before DAY, then the others; once
+    per application, like the gold layer."""
+    key = (spark.sparkContext.applicationId, sf, "bitmaps")
+    if key not in _STORED:
+        store, f = _store(spark), fact(spark, sf)
+        days = sorted(r[0] for r in f.select("oday").distinct().collect())
+        B.refresh_bitmaps(store, f, [d for d in days if str(d) < DAY])
+        B.refresh_bitmaps(store, f, [d for d in days if str(d) >= DAY])
+        _STORED[key] = store
+    return _STORED[key]
+
+
+def q_route_density_bitmaps(spark, sf):
+    return B.route_density(B.day_bitmaps(_bitmaps(spark, sf), [DAY]), dim_routes(spark, sf), n=10)
+
+
+def q_route_bus_count_bitmaps(spark, sf):
+    return B.route_bus_count(B.day_bitmaps(_bitmaps(spark, sf)), n=10)
+
+
+def q_route_stop_coverage_bitmaps(spark, sf):
+    return B.route_stop_coverage(B.day_bitmaps(_bitmaps(spark, sf)), n=10)
+
+
+def q_offset_gaps_incremental(spark, sf):
+    """Missing offsets after three loads: the first half of January, the rest without every seventh record, and
+    the late ones, which fill holes that the second load left."""
+    two = bronze(spark, sf, lose_every=97).unionByName(bronze(spark, sf, lose_every=89, topic="vehicle_positions_b"))
+    first, late = F.col("insert_time") < lit_ntz(FIRST_UNTIL), F.col("offset") % 7 == 3
+    store, found = _store(spark), None
+    for load in (two.filter(first), two.filter(~first & ~late), two.filter(~first & late)):
+        found = V.audit_load(store, load, bucket_size=64)
+    return found
+
+
+def _indexed_feed(spark, sf) -> TableStore:
+    """Raw files by Kafka time, landed and indexed in two steps."""
+    store = _store(spark)
+    b, half = bronze(spark, sf).drop("insert_time"), F.col("timestamp") < lit_ntz(FIRST_UNTIL)
+    for part in (b.filter(half), b.filter(~half)):
+        part.repartitionByRange(8, "timestamp").write.mode("append").parquet(store.path("raw"))
+        R.index_landed(store, store.path("raw"))
+    return store
+
+
+def q_replay_indexed(spark, sf):
+    """The replay of ``replay_window`` from the files that the zone map names."""
+    return R.replay_between(_indexed_feed(spark, sf), *REPLAY).select("key", "partition", "offset", "timestamp")
+
+
+def q_replay_offsets(spark, sf):
+    """Replay by offsets: of each Kafka partition the middle third, found in the data."""
+    store = _indexed_feed(spark, sf)
+    spans = store.read(R.INDEX).groupBy("topic", "partition").agg(F.min("min_offset").alias("lo"), F.max("max_offset").alias("hi"))
+    third = F.expr("(hi - lo) div 3")
+    ranges = spans.select("topic", "partition", (F.col("lo") + third).alias("from_offset"), (F.col("hi") - third).alias("to_offset"))
+    return R.replay_offsets(store, ranges).select("key", "partition", "offset", "timestamp")
+
+
 # ---------------------------------------------------------------- data quality, job control
 STOPS_RULES = [
     dq.not_empty(),
@@ -448,6 +537,22 @@ def q_metric_range(spark, sf):
     return M.metric_range(metrics(spark, sf), "avg_speed_all", *RANGE)
 
 
+def q_metric_range_steps(spark, sf):
+    """The dashboard's range panel ``total_active_vehicles``, every 30 s, with a lookback of two minutes."""
+    return M.metric_range_steps(metrics(spark, sf), "total_active_vehicles", *RANGE, step_s=30, lookback_s=120)
+
+
+def q_metric_range_steps_worst(spark, sf):
+    """``last_over_time(route_delay_extreme_seconds{type="worst"}[2m]) / 60`` over the whole history, every 30 s."""
+    return M.metric_range_steps(metrics(spark, sf), M.EXTREME_GAUGE, *HISTORY, step_s=30, lookback_s=120, scale=60.0,
+                                labels={"type": "worst"}, slice_s=3600)
+
+
+def q_metric_topk_steps(spark, sf):
+    """``topk(1, last_over_time(route_delay_extreme_seconds[10m]) / 60)`` over six hours, every 45 s."""
+    return M.topk_steps(M.metric_range_steps(metrics(spark, sf), M.EXTREME_GAUGE, *RANGE, step_s=45, lookback_s=600, scale=60.0))
+
+
 # ---------------------------------------------------------------- streaming
 def _raw_feed(spark, sf) -> str:
     """Bronze records of ``events`` written once as immutable raw files (the replayable feed)."""
@@ -656,6 +761,18 @@ QUERIES: dict[str, Query] = {
     "dim_stops": q_dim_stops,
     "dim_as_of": q_dim_as_of,
     "fact_join_as_of": q_fact_join_as_of,
+    "fact_join_as_of_carried": q_fact_join_as_of_carried,
+    "fact_join_as_of_left": q_fact_join_as_of_left,
+    "scd2_buckets": q_scd2_buckets,
+    "route_density_bitmaps": q_route_density_bitmaps,
+    "route_bus_count_bitmaps": q_route_bus_count_bitmaps,
+    "route_stop_coverage_bitmaps": q_route_stop_coverage_bitmaps,
+    "offset_gaps_incremental": q_offset_gaps_incremental,
+    "replay_indexed": q_replay_indexed,
+    "replay_offsets": q_replay_offsets,
+    "metric_range_steps": q_metric_range_steps,
+    "metric_range_steps_worst": q_metric_range_steps_worst,
+    "metric_topk_steps": q_metric_topk_steps,
     "dq_report": q_dq_report,
     "dq_duplicates": q_dq_duplicates,
     "joblog_last": q_joblog_last,

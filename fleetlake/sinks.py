@@ -4,11 +4,14 @@ Tables are Parquet directories under a root (the cluster's shared folder).
 A *refreshed* table is written as a new ``snapshot=<n>`` partition and a
 one-row entry in its ``_snapshots`` manifest; readers take the newest
 manifest entry, so a rebuild never overwrites the files it is reading and a
-half-written snapshot is never visible.
+half-written snapshot is never visible.  A table kept *in parts* does the same
+per part (a hash bucket, a day, an hour): a load rewrites the parts it touches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
@@ -69,6 +72,58 @@ class TableStore:
          .write.mode("append").parquet(self._manifest(name)))
         return snap
 
+    # ------------------------------------------------------------ tables replaced part by part
+    def _parts(self, name: str) -> str:
+        return f"{self.path(name)}/_parts"
+
+    def parts(self, name: str) -> dict[str, tuple[int, int]]:
+        """Current ``{part: (load, rows)}`` of a table kept in parts; one entry a part, however long the history."""
+        if not self._exists(self._parts(name)):
+            return {}
+        newest = (self.spark.read.parquet(self._parts(name)).groupBy("part")
+                  .agg(F.max(F.struct("load", "rows")).alias("now")).select("part", "now.*"))
+        return {r["part"]: (r["load"], r["rows"]) for r in newest.collect()}
+
+    def read_parts(self, name: str, only: Iterable[str] | None = None) -> DataFrame | None:
+        """The current rows of all parts, or of ``only`` these; NULL if none of them was ever written.
+
+        Only the directories of the wanted parts are listed and read.
+        """
+        current = self.parts(name)
+        wanted = current if only is None else {p: current[p] for p in only if p in current}
+        paths = [f"{self.path(name)}/load={load}/part={part}" for part, (load, rows) in sorted(wanted.items()) if rows]
+        if paths:
+            schema = self.spark.read.parquet(paths[0]).schema
+            return self.spark.read.schema(schema).parquet(*paths)
+        if not current:
+            return None
+        first, (load, _) = max(current.items(), key=lambda x: x[1][1])
+        return self.spark.read.parquet(f"{self.path(name)}/load={load}/part={first}").limit(0)
+
+    def replace_parts(self, name: str, df: DataFrame, part, touched: Iterable[str] = ()) -> list[str]:
+        """Write the rows of ``df`` as the new contents of their parts (column ``part``, as a string).
+
+        The files go to a new ``load=<n>`` directory; one manifest row per part,
+        appended when all of them are written, makes them current.  Other
+        parts are neither read nor written, a reader sees the old parts until
+        then, and a failed load leaves them as they were.  Parts of ``touched``
+        that ``df`` has no row of become empty.  Returns the parts replaced.
+        """
+        current = self.parts(name)
+        load = 1 + max((n for n, _ in current.values()), default=0)
+        path = f"{self.path(name)}/load={load}"
+        (df.withColumn("part", F.coalesce(part.cast("string"), F.lit("none")))
+         .write.mode("overwrite").partitionBy("part").parquet(path))
+        # counted from the file footers: no column is read
+        counts = self.spark.read.schema("part string").parquet(path).groupBy("part").count()
+        written = {r["part"]: r["count"] for r in counts.collect()}
+        rows = {**{str(p): 0 for p in touched}, **written}
+        if rows:
+            entries = [(p, load, n) for p, n in sorted(rows.items())]
+            (self.spark.createDataFrame(entries, "part string, load long, rows long")
+             .withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self._parts(name)))
+        return sorted(rows)
+
     # ------------------------------------------------------------ append tables
     def write_append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
         """Plain append (K4)."""

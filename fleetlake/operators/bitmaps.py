@@ -27,7 +27,7 @@ _SPREAD = 64
 
 
 def dense_ids(values: DataFrame, column: str, known: DataFrame | None = None) -> DataFrame:
-    """``(value, id)`` of the values of ``column`` that ``known(value, id)`` lacks: the next whole numbers.
+    """``(value, id)`` of the values of ``column`` that ``known(value, id)`` lacks: the next whole numbers, from 1.
 
     Numbers are given per hash bucket, each bucket starting where the ones
     before it end, so no task sees all values; gaps never arise.
@@ -36,13 +36,13 @@ def dense_ids(values: DataFrame, column: str, known: DataFrame | None = None) ->
     start = F.lit(0).cast("long")
     if known is not None:
         new = new.join(known, "value", "left_anti")
-        start = F.coalesce(known.select(F.max("id")).scalar() + 1, start)
+        start = F.coalesce(known.select(F.max("id")).scalar(), start)
     new = new.withColumn("b", F.pmod(F.xxhash64("value"), F.lit(_SPREAD)))
     # one row a bucket: the only window without a partition
     before = F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
     offsets = new.groupBy("b").agg(F.count(F.lit(1)).alias("n")).select("b", F.coalesce(before, F.lit(0)).alias("o"))
     ranked = new.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("value")))
-    return ranked.join(F.broadcast(offsets), "b").select("value", (start + F.col("o") + F.col("r") - 1).cast("long").alias("id"))
+    return ranked.join(F.broadcast(offsets), "b").select("value", (start + F.col("o") + F.col("r")).cast("long").alias("id"))
 
 
 def bitmaps_of(fact: DataFrame, ids: dict[str, DataFrame]) -> DataFrame:

@@ -16,14 +16,16 @@ def flatten_envelope(bronze: DataFrame, json_col: str = "json_str") -> DataFrame
 
     Kafka ``partition``/``offset`` are kept as ``kafka_partition``/``kafka_offset``:
     they are the deterministic tie-break of the dedupe and the key of the gap
-    audit.  The whole envelope is parsed whichever fields a later step uses.
+    audit.  The whole envelope is parsed whichever fields a later step uses, and
+    once: the parse stands in a one-element generator, below which no later
+    filter or projection is pushed, so none of them brings a copy of it along.
     """
     data = F.from_json(F.col(json_col), ENVELOPE_SCHEMA)
     parsed = bronze.select(
         "insert_time",
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-        data.alias("data"),
+        F.explode(F.array(data)).alias("data"),
     )
     return parsed.select(
         "insert_time", "kafka_partition", "kafka_offset",

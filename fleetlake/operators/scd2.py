@@ -131,8 +131,7 @@ def scd2_load(store: TableStore, name: str, stg: DataFrame, key: str, attrs: Seq
     current = store.read_parts(name)
     if current is None:
         first = scd2_apply(None, stg, key, attrs, now, null_safe)
-        spread = first.repartition(buckets, bucket_of(key, buckets))
-        return sorted(int(p) for p in store.replace_parts(name, spread, bucket_of(key, buckets), map(str, range(buckets))))
+        return sorted(int(p) for p in store.replace_parts(name, first, bucket_of(key, buckets), map(str, range(buckets))))
     buckets = len(store.parts(name))
     hit = scd2_touched(stg, current.filter(F.col("active_flg") == 1), key, attrs, null_safe)
     touched = sorted(r["b"] for r in hit.select(bucket_of(key, buckets).alias("b")).distinct().collect())
@@ -140,8 +139,7 @@ def scd2_load(store: TableStore, name: str, stg: DataFrame, key: str, attrs: Seq
         return []
     ours = bucket_of(key, buckets).isin(touched)
     nxt = scd2_apply(store.read_parts(name, map(str, touched)), stg.filter(ours), key, attrs, now, null_safe)
-    spread = nxt.repartition(len(touched), bucket_of(key, buckets))
-    store.replace_parts(name, spread, bucket_of(key, buckets), map(str, touched))
+    store.replace_parts(name, nxt, bucket_of(key, buckets), map(str, touched))
     return touched
 
 

@@ -69,27 +69,39 @@ def _metrics(store: TableStore, table: str, stats: dict, now) -> None:
 def run_events(spark: SparkSession, store: TableStore, bronze: DataFrame, *, now, rundate) -> dict:
     """Landing rows newer than the last completed load -> silver snapshot -> idempotent fact append.
 
-    Silver is computed once: written, audited on the written files, then
-    published; the fact step reads the published snapshot.  Reports without
-    vehicle or time go to ``events_rejects``.  Both loads are logged after the
-    fact is committed: a run that fails anywhere is repeated from its start by
-    the next one, and the anti-joins keep what was already appended single.
+    The increment is read and parsed once, into a typed copy that marks what
+    can't be keyed; silver and ``events_rejects`` (reports without vehicle or
+    time) both come from that copy.  Silver is written, audited on the written
+    files, then published; the fact step reads the published snapshot.  Both
+    loads are logged after the fact is committed: a run that fails anywhere is
+    repeated from its start by the next one, and the anti-joins keep what was
+    already appended single.  Superseded snapshots are removed at the end.
     """
     last = last_loaded_value(job_log(store), "hdw_stg", "events_stg")
     read = Observation("typed")
-    typed = type_events(flatten_envelope(incremental(bronze, last)), now)
+    typed = type_events(flatten_envelope(incremental(bronze, last)), now).withColumn("reject_reason", reject_reason())
     seen = typed.observe(read, F.max("insert_time").alias("max_read"),
-                         F.count_if(reject_reason().isNotNull()).alias("rejected"))
+                         F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
     rules = [dq.no_nulls("vehicle_number"), dq.no_nulls("tst"), dq.no_duplicates(["vehicle_number", "tst"])]
 
-    def audit(written: DataFrame) -> None:
+    def new_rows(written: DataFrame) -> None:
         if written.isEmpty():
             raise _NothingNew
+
+    try:
+        store.write_refresh("events_typed", seen, new_rows)
+    except _NothingNew:
+        return {"silver_rows": 0, "fact_rows": 0}
+    typed, max_read = store.read("events_typed"), read.get["max_read"]
+
+    def audit(written: DataFrame) -> None:
+        new_rows(written)
         dq.check(written, rules, "events_stg")
 
     stats, tables = {}, []
     try:
-        stats["silver"] = observed_write(dedupe_events(seen), lambda d: store.write_refresh("events_stg", d, audit))
+        good = dedupe_events(typed.filter(F.col("reject_reason").isNull()).drop("reject_reason"))
+        stats["silver"] = observed_write(good, lambda d: store.write_refresh("events_stg", d, audit))
         fact = to_fact(store.read("events_stg"), now)
         if store.exists("fact_vehicle_position"):
             fact = fact_new_rows(fact, store.read("fact_vehicle_position"))
@@ -98,24 +110,23 @@ def run_events(spark: SparkSession, store: TableStore, bronze: DataFrame, *, now
     except _NothingNew:
         pass
     if read.get["rejected"]:
-        bad = typed.withColumn("reject_reason", reject_reason()).filter(F.col("reject_reason").isNotNull())
+        bad = typed.filter(F.col("reject_reason").isNotNull())
         if store.exists("events_rejects"):
             bad = fact_new_rows(bad, store.read("events_rejects"), ("kafka_partition", "kafka_offset", "insert_time"),
                                 "reject_reason")
         stats["rejects"] = observed_write(bad, lambda d: store.write_append("events_rejects", d, ["reject_reason"]))
         tables.append(("events_rejects", "rejects"))
-    if not tables:
-        return {"silver_rows": 0, "fact_rows": 0}
-    max_read = read.get["max_read"]
     _log(store, "hdw", "fact_vehicle_position", max_read, rundate, now)
     _log(store, "hdw_stg", "events_stg", max_read, rundate, now)
     for table, key in tables:
         _metrics(store, table, stats[key], now)
+    for table in ("events_typed", "events_stg", JOB_LOG):
+        store.vacuum(table)
     return stats
 
 
 class _NothingNew(Exception):
-    """No landing rows newer than the last load: the snapshot is not published."""
+    """Nothing to load: the snapshot is not published."""
 
 
 def _run_dim(store: TableStore, landed: DataFrame, *, name: str, key: str, spec: dict, attrs, expected,
@@ -143,6 +154,8 @@ def _run_dim(store: TableStore, landed: DataFrame, *, name: str, key: str, spec:
         rows_updated=F.count_if((F.col("active_flg") == 0) & (F.col("update_dt") == t)))
     _log(store, "hdw", f"dim_{name}", max_read, rundate, now)
     _log(store, "hdw_stg", f"{name}_stg", max_read, rundate, now)
+    for table in (f"{name}_stg", f"dim_{name}", JOB_LOG):
+        store.vacuum(table)
     for table, k in ((land, "landing"), (f"{name}_stg", "staging"), (f"dim_{name}", "dim")):
         _metrics(store, table, stats[k], now)
     return stats

@@ -8,7 +8,7 @@ plans.  Spark's ``round(double, 2)`` rounds the shortest decimal form half-up;
 
 from __future__ import annotations
 
-from fleetlake.plans.queries import AS_OF, DAY, FACT_NOW, FIRST_UNTIL, HISTORY, LOAD1, LOAD2, RANGE, REPLAY, SECOND_FROM
+from fleetlake.plans.queries import AS_OF, DAY, FACT_NOW, FIRST_UNTIL, HISTORY, HORIZON, LOAD1, LOAD2, RANGE, REPLAY, SECOND_FROM
 
 
 def R2(x: str) -> str:
@@ -425,6 +425,41 @@ WHERE kafka_offset BETWEEN lo + (hi - lo) // 3 AND hi - (hi - lo) // 3""",
         "metric_topk_steps": b + METRICS + f"""
 SELECT * FROM ({_steps(f"metric = '{EXTREME}'", *RANGE, 45, 600, "60.0")})
 QUALIFY row_number() OVER (PARTITION BY ts ORDER BY value DESC, type NULLS FIRST, route_id NULLS FIRST) = 1""",
+        "kpi_horizon": b + KPI + f"""
+SELECT count(*) AS events, avg(spd) AS avg_speed, avg(CAST(dl AS DOUBLE)) AS avg_delay_sec, true AS vehicles_near, {_HITS}
+FROM kin WHERE tst >= TIMESTAMP '{HORIZON[0]}' AND tst < TIMESTAMP '{HORIZON[1]}'""",
+        "peak_hours_stored": b + """
+SELECT CAST(hour(tst) AS INTEGER) AS hour_of_day, count(*) AS events, avg(dl) AS avg_delay_sec, true AS vehicles_near
+FROM fact GROUP BY 1""",
+        "stream_late_rows": b + """,
+sent AS (
+  SELECT strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, abs(dl) <= 1800 AS used FROM flat
+),
+late AS (
+  SELECT event_time FROM sent
+  WHERE used AND epoch_us(event_time) < (SELECT min(epoch_us(event_time)) + (max(epoch_us(event_time)) - min(epoch_us(event_time))) // 4 FROM sent)
+)
+SELECT CAST(event_time AS DATE) AS day, count(*) AS late_reports, count(*) AS lost_reports FROM late GROUP BY 1
+UNION ALL
+SELECT NULL, count(*), count(*) FROM late""",
+        "current_tables": b + f""",
+sin AS (
+  SELECT strptime(tst, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, route_id, spd, CAST(dl AS DOUBLE) AS dl
+  FROM flat WHERE dl IS NOT NULL AND abs(dl) <= 1800
+),
+sexp AS (
+  SELECT time_bucket(INTERVAL 30 SECOND, event_time) - INTERVAL 30 SECOND * k + INTERVAL 300 SECOND AS window_end, sin.*
+  FROM sin CROSS JOIN range(10) AS r(k)
+),
+fresh AS (
+  SELECT * FROM sexp QUALIFY window_end = max(window_end) FILTER
+    (WHERE window_end <= (SELECT max(event_time) FROM sin) - INTERVAL 1 MINUTE) OVER ()
+),
+route AS (SELECT window_end AS window_start, window_end, route_id, avg(dl) AS avg_delay_sec FROM fresh GROUP BY window_end, route_id)
+SELECT window_end, 'all' AS type, count(*) AS events, avg(spd) AS avg_speed, CAST(NULL AS VARCHAR) AS route_id,
+       CAST(NULL AS DOUBLE) AS avg_delay_sec FROM fresh GROUP BY window_end
+UNION ALL
+SELECT window_end, type, NULL, NULL, route_id, avg_delay_sec FROM ({_extremes("route")})""",
         "dq_report": b + """
 SELECT 'dim_stops' AS table_name, rule, target, violations, violations = 0 AS passed,
        CASE WHEN rule = 'columns_exist' THEN 'missing: stop_url' ELSE '' END AS detail FROM (
@@ -620,7 +655,7 @@ ORACLE_SQL["kpi_windows_native"] = ORACLE_SQL["kpi_windows"]
 for _k, _same in {"fact_join_as_of_carried": "fact_join_as_of", "scd2_buckets": "scd2_incremental",
                   "route_density_bitmaps": "route_density", "route_bus_count_bitmaps": "route_bus_count",
                   "route_stop_coverage_bitmaps": "route_stop_coverage", "offset_gaps_incremental": "offset_gaps",
-                  "replay_indexed": "replay_window"}.items():
+                  "replay_indexed": "replay_window", "kpi_windows_stored": "kpi_windows_approx"}.items():
     ORACLE_SQL[_k] = ORACLE_SQL[_same]
 # rows behind the watermark change no window
 ORACLE_SQL["kpi_stream_late"] = ORACLE_SQL["kpi_stream"]

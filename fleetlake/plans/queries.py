@@ -21,6 +21,7 @@ from fleetlake.operators import coverage as V
 from fleetlake.operators import dq
 from fleetlake.operators import kpi as K
 from fleetlake.operators import metrics as M
+from fleetlake.operators import panes as N
 from fleetlake.operators.joblog import last_loaded, last_loaded_value, latest_job_log
 from fleetlake.operators.envelope import (
     filter_journey, flatten_envelope, journey_rejects, parse_topic_path, record_key,
@@ -42,9 +43,10 @@ from fleetlake.sources import fixtures as X
 from fleetlake.sources import replay_index as R
 from fleetlake.sources.kafka import read_events_stream, replay
 from fleetlake.streaming.kpi_stream import (
-    kpi_stream, read_metrics, route_delay_stream, start_metrics, stream_positions,
+    kpi_stream, read_current, read_metrics, route_delay_stream, start_metrics, stream_positions,
 )
 from fleetlake.streaming.landing import start_landing
+from fleetlake.streaming.late import late_counts, start_late_audit
 
 # Fixed parameters of the registered queries.
 DAY = "2024-01-08"                 # a Monday inside the driver's event range
@@ -491,6 +493,49 @@ def q_route_extremes_none(spark, sf):
     return found.agg(F.count("*").alias("named"))
 
 
+HORIZON = ("2024-01-03 10:20:30", "2024-01-20 05:07:00")
+
+
+def _panes(spark, sf) -> TableStore:
+    """Panes, hours and days of the KPI input (``kpi``) and of all reports (``all``), by three loads: the days before
+    DAY, the others, and one day's early hours once more; once per application, like the gold layer."""
+    key = (spark.sparkContext.applicationId, sf, "panes")
+    if key not in _STORED:
+        store = _store(spark)
+        for name, f in (("kpi", K.kpi_input(fact(spark, sf))), ("all", fact(spark, sf))):
+            first, at = F.col("tst") < lit_ntz(f"{DAY} 00:00:00"), F.col("tst")
+            N.refresh(store, name, f.filter(first))
+            N.refresh(store, name, f, f.filter(~first))
+            N.refresh(store, name, f, f.filter((at >= lit_ntz(f"{DAY} 00:00:00")) & (at < lit_ntz(f"{DAY} 03:00:00"))))
+        _STORED[key] = store
+    return _STORED[key]
+
+
+def q_kpi_windows_stored(spark, sf):
+    """The sliding KPIs from stored panes; their sketch counts against the exact ones, within 5 % or not."""
+    exact = K.kpi_windows(kpi_in(spark, sf)).select("window_start", F.col("active_vehicles").alias("exact"))
+    rough = N.windows(_panes(spark, sf).read_parts("kpi_panes"))
+    near = F.abs(F.col("active_vehicles") - F.col("exact")) <= 0.05 * F.col("exact")
+    return rough.join(exact, "window_start").select(
+        "window_start", "window_end", "events", "avg_speed", near.alias("vehicles_within_5_pct"))
+
+
+def q_kpi_horizon(spark, sf):
+    """KPIs of an odd stretch of 17 days from days, hours and panes; the sketch count against the exact one."""
+    exact = kpi_in(spark, sf).filter((F.col("tst") >= lit_ntz(HORIZON[0])) & (F.col("tst") < lit_ntz(HORIZON[1]))).agg(
+        F.count_distinct("vehicle_number").alias("exact"))
+    got = N.horizon(_panes(spark, sf), "kpi", *HORIZON)
+    near = F.abs(F.col("active_vehicles") - F.lit(exact.scalar())) <= 0.05 * F.lit(exact.scalar())
+    return got.withColumn("vehicles_near", near).drop("active_vehicles")
+
+
+def q_peak_hours_stored(spark, sf):
+    exact = A.peak_hours(fact(spark, sf)).select("hour_of_day", F.col("vehicles").alias("exact"))
+    near = F.abs(F.col("vehicles") - F.col("exact")) <= 0.05 * F.col("exact")
+    return N.peak_hours(_panes(spark, sf), "all").join(exact, "hour_of_day").select(
+        "hour_of_day", "events", "avg_delay_sec", near.alias("vehicles_near"))
+
+
 def metrics(spark, sf):
     k = kpi_in(spark, sf)
     ext = K.route_extremes(K.route_delay_windows(k), min_events=2, latest_only=False)
@@ -591,6 +636,33 @@ def q_kpi_stream_late(spark, sf):
     return _closed_with_exact(spark, sf, _stream_to_parquet(kpi_stream(stream_positions(src)), root, "kpi"))
 
 
+def q_stream_late_rows(spark, sf):
+    """The feed in four batches by time, then its first quarter once more: per day the reports that were behind the
+    watermark and those that no open window could take, and (``day`` NULL) the totals of the metrics table."""
+    root = shared_dir(spark, "fleetlake-runs", uuid.uuid4().hex)
+    b, t, files = bronze(spark, sf).drop("insert_time"), F.unix_micros(F.col("timestamp").cast("timestamp")), 4
+    lo, hi = b.agg(F.min(t), F.max(t)).first()
+    edges = [lo + (hi - lo) * k // files for k in range(files)] + [hi + 1]
+    for a, z in [*zip(edges, edges[1:], strict=False), (edges[0], edges[1])]:
+        b.filter((t >= a) & (t < z)).repartitionByRange(files, "offset").write.mode("append").parquet(f"{root}/raw")
+    src = read_events_stream(spark, "files", path=f"{root}/raw", max_files_per_trigger=files)
+    start_late_audit(stream_positions(src), f"{root}/m", f"{root}/chk", available_now=True).awaitTermination()
+    late = spark.read.parquet(f"{root}/m/late").groupBy("day").agg(
+        F.count(F.lit(1)).alias("late_reports"), F.count_if("lost").alias("lost_reports"))
+    return late.unionByName(late_counts(read_metrics(spark, f"{root}/m")), allowMissingColumns=True)
+
+
+def q_current_tables(spark, sf):
+    """The published 'current' tables (X5, X6) as a reader finds them after the live queries have run."""
+    root = _raw_feed(spark, sf)
+    src = read_events_stream(spark, "files", path=f"{root}/raw")
+    for q in start_metrics(stream_positions(src), f"{root}/m", f"{root}/chk_m", available_now=True, history=False, min_events=1):
+        q.awaitTermination()
+    kpi = read_current(spark, f"{root}/m/kpi_current").select("window_end", F.lit("all").alias("type"), "events", "avg_speed")
+    ext = read_current(spark, f"{root}/m/route_delay_current").select("window_end", "type", "route_id", "avg_delay_sec")
+    return kpi.unionByName(ext, allowMissingColumns=True)
+
+
 def q_metrics_stream(spark, sf):
     """The metrics table as the two live queries write it (K11): gauges of every closed window."""
     root = _raw_feed(spark, sf)
@@ -773,6 +845,11 @@ QUERIES: dict[str, Query] = {
     "metric_range_steps": q_metric_range_steps,
     "metric_range_steps_worst": q_metric_range_steps_worst,
     "metric_topk_steps": q_metric_topk_steps,
+    "kpi_windows_stored": q_kpi_windows_stored,
+    "kpi_horizon": q_kpi_horizon,
+    "peak_hours_stored": q_peak_hours_stored,
+    "stream_late_rows": q_stream_late_rows,
+    "current_tables": q_current_tables,
     "dq_report": q_dq_report,
     "dq_duplicates": q_dq_duplicates,
     "joblog_last": q_joblog_last,

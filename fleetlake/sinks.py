@@ -72,6 +72,23 @@ class TableStore:
          .write.mode("append").parquet(self._manifest(name)))
         return snap
 
+    def vacuum(self, name: str, keep: int = 3) -> list[int]:
+        """Remove the snapshots of a refreshed table older than its newest ``keep``; returns their numbers.
+
+        A reader that opened one of the kept snapshots is not disturbed.  Also
+        removes what a failed write left behind below the newest snapshot.
+        """
+        current = self.current_snapshot(name)
+        if current is None:
+            return []
+        root, fs = hadoop_path(self.spark, self.path(name))
+        found = [s.getPath() for s in fs.listStatus(root)]
+        numbered = {int(p.getName().split("=")[1]): p for p in found if p.getName().startswith("snapshot=")}
+        old = sorted(n for n in numbered if n <= current - keep)
+        for n in old:
+            fs.delete(numbered[n], True)
+        return old
+
     # ------------------------------------------------------------ tables replaced part by part
     def _parts(self, name: str) -> str:
         return f"{self.path(name)}/_parts"
@@ -112,7 +129,8 @@ class TableStore:
         current = self.parts(name)
         load = 1 + max((n for n, _ in current.values()), default=0)
         path = f"{self.path(name)}/load={load}"
-        (df.withColumn("part", F.coalesce(part.cast("string"), F.lit("none")))
+        # rebalanced: a small part is one file, a large one as many as its bytes ask for
+        (df.withColumn("part", F.coalesce(part.cast("string"), F.lit("none"))).hint("rebalance", "part")
          .write.mode("overwrite").partitionBy("part").parquet(path))
         # counted from the file footers: no column is read
         counts = self.spark.read.schema("part string").parquet(path).groupBy("part").count()

@@ -14,6 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetlake.functions.exprs import utc_ntz
 from fleetlake.operators import kpi as K
 from fleetlake.operators import metrics as M
+from fleetlake.sinks import TableStore
+
+# Published snapshots that are kept for readers that have just opened one.
+KEEP_PUBLISHED = 5
 
 
 def stream_positions(bronze: DataFrame, max_abs: int = 1800) -> DataFrame:
@@ -57,19 +61,33 @@ def dedupe_stream(positions: DataFrame, keys=("vehicle_number", "event_time"), w
     return positions.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+def _publish(df: DataFrame, batch_id: int, target: str) -> None:
+    """A new snapshot of the small table at ``target``, made current by one manifest row: a reader sees the
+    old one until then and never an empty or missing table.  Superseded snapshots go later."""
+    root, name = target.rstrip("/").rsplit("/", 1)
+    store = TableStore(df.sparkSession, root)
+    store.write_refresh(name, df.withColumn("batch_id", F.lit(batch_id)))
+    store.vacuum(name, keep=KEEP_PUBLISHED)
+
+
+def read_current(spark: SparkSession, target: str) -> DataFrame:
+    """The table last published at ``target`` by ``publish_latest`` or ``publish_extremes``."""
+    root, name = target.rstrip("/").rsplit("/", 1)
+    return TableStore(spark, root).read(name)
+
+
 def publish_latest(batch_df: DataFrame, batch_id: int, target: str) -> None:
-    """Per micro-batch, keep only the freshest window and overwrite the small 'current' table (X5).  A
-    batch that closes no window leaves the published row as it is."""
+    """Per micro-batch, publish the freshest window as the small 'current' table (X5).  A batch that
+    closes no window leaves the published row as it is."""
     if not batch_df.isEmpty():
-        K.latest_window(batch_df).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(target)
+        _publish(K.latest_window(batch_df), batch_id, target)
 
 
 def publish_extremes(batch_df: DataFrame, batch_id: int, target: str, min_events: int = 5) -> None:
-    """Clear-then-set of best/worst route of the freshest window: a snapshot overwrite (X6).  Cleared only
+    """Clear-then-set of best/worst route of the freshest window, as one new snapshot (X6).  Cleared only
     when a window closed and none of its routes has enough reports."""
     if not batch_df.isEmpty():
-        (K.route_extremes(batch_df, min_events=min_events, latest_only=True)
-         .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(target))
+        _publish(K.route_extremes(batch_df, min_events=min_events, latest_only=True), batch_id, target)
 
 
 def _append(df: DataFrame, batch_id: int, day: str, target: str) -> None:

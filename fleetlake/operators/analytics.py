@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.operators.gold import join_active_dim
@@ -109,6 +109,64 @@ def hot_spots(fact: DataFrame, cell_deg: float = 0.01, n: int = 10) -> DataFrame
             .limit(n))
 
 
+LEVELS = 16
+
+
+def _spread_bits(c: Column) -> Column:
+    """The 16 low bits of ``c`` moved apart, one zero between two."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        c = (c.bitwiseOR(F.shiftleft(c, shift))).bitwiseAND(F.lit(mask).cast("long"))
+    return c
+
+
+def z_code(lat: str = "lat", long: str = "long") -> Column:
+    """Z-order code of a position at the finest level: 16 bits of latitude and longitude interleaved.
+
+    A code less its last two bits is the code of the cell that holds it one level up.
+    """
+    side = 1 << LEVELS
+    cell = lambda c, lo, span: F.least(F.floor((F.col(c) - lo) / span * side), F.lit(side - 1)).cast("long")
+    return _spread_bits(cell(long, -180, 360)).bitwiseOR(F.shiftleft(_spread_bits(cell(lat, -90, 180)), 1))
+
+
+def adaptive_hot_spots(fact: DataFrame, split_over: int = 1000, levels: int = LEVELS) -> DataFrame:
+    """Cells of unequal size that partition the reports: dense places in small cells, empty ones in large.
+
+    A quadtree cut without a tree: reports are counted per finest cell, those
+    counts are summed for the cells of all levels (a row per cell and level,
+    however many reports), and a cell stays if it holds at most ``split_over``
+    reports, or is at the last of ``levels``, while its parent holds more.  A
+    parent has at most four children, so the one join has no hot key.  Reports
+    without position are left out.  ``(level, lat_from, lon_from, events)``.
+    """
+    fine = (fact.filter(F.col("lat").isNotNull() & F.col("long").isNotNull()).select(z_code().alias("code"))
+            .groupBy("code").agg(F.count(F.lit(1)).alias("n")))
+    every = fine.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    up = F.expr(f"shiftright(code, cast(2 * ({LEVELS} - level) as int))")
+    cells = every.groupBy("level", up.alias("cell")).agg(F.sum("n").alias("events"))
+    parents = cells.filter(F.col("events") > split_over).select((F.col("level") + 1).alias("level"), F.col("cell").alias("parent"))
+    kept = cells.filter((F.col("events") <= split_over) | (F.col("level") == levels))
+    below = kept.withColumn("parent", F.shiftright("cell", 2)).join(parents, ["level", "parent"], "left_semi").drop("parent")
+    leaves = below.unionByName(kept.filter(F.col("level") == 0).select(*below.columns))
+
+    def from_edge(bit: int, lo: int, span: int) -> Column:
+        own = F.lit(0).cast("long")
+        for i in range(levels):
+            own = own.bitwiseOR(F.shiftleft(F.shiftright("cell", 2 * i + bit).bitwiseAND(F.lit(1).cast("long")), i))
+        return own * span / F.expr("shiftleft(1L, cast(level as int))") + lo
+
+    return leaves.select("level", from_edge(1, -90, 180).alias("lat_from"), from_edge(0, -180, 360).alias("lon_from"), "events")
+
+
+def hot_stops(fact: DataFrame, stops: DataFrame, day: str | None = None, n: int = 10) -> DataFrame:
+    """Stops with the most reports, where they are, and the distinct vehicles and routes that meet there (A14, by stop)."""
+    f = _on_day(fact, day).select("stop", "vehicle_number", "route_id")
+    counted = f.filter(F.col("stop").isNotNull()).groupBy("stop").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("vehicle_number").alias("vehicles"), F.count_distinct("route_id").alias("routes"))
+    j = join_active_dim(counted, stops, "stop", "stop_id", columns=["stop_name", "stop_lat", "stop_lon"])
+    return (j.withColumnRenamed("stop", "stop_id").orderBy(F.col("events").desc(), "stop_id").limit(n))
+
+
 def _on_time(delay: str, thresholds: Sequence[int]):
     return [F.avg(F.when(F.abs(F.col(delay)) <= t, 1).otherwise(0)).alias(f"on_time_ratio_{i}")
             for i, t in enumerate(thresholds, 1)]

@@ -113,3 +113,60 @@ def dq_enforce(report: DataFrame) -> None:
 
 def check(df: DataFrame, rules: Sequence[Rule], table_name: str) -> None:
     dq_enforce(dq_report(df, rules, table_name))
+
+
+# ---------------------------------------------------------------- rules judged inside the write
+#: rules that a row breaks by itself, and rules on keys
+ROW_RULES, KEY_RULES = ("no_nulls", "values_in_set"), ("no_duplicates", "active_unique")
+
+
+def broken_by_row(df: DataFrame, rules: Sequence[Rule]):
+    """``{rule: condition}`` of the rules that a single row can break."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    out = {}
+    for r in rules:
+        if r.kind in ROW_RULES and r.column in df.columns:
+            c = F.col(r.column)
+            bad = ~c.isin(list(r.values)) if r.kind == "values_in_set" else c.isNull() | (c == "") if r.column in text else c.isNull()
+            out[r] = F.coalesce(bad, F.lit(False))
+    return out
+
+
+def violations(df: DataFrame, rules: Sequence[Rule]):
+    """The names of the rules that a row breaks, as an array (``kind:column``)."""
+    bad = [F.when(c, F.lit(f"{r.kind}:{r.target}")) for r, c in broken_by_row(df, rules).items()]
+    return F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+
+
+def write_checked(store, name: str, df: DataFrame, rules: Sequence[Rule], load: str) -> DataFrame:
+    """Write a load of ``name``, rows that break a rule apart from the others, and return its ``dq_report``, all
+    from one pass over ``df`` (D1-D6).
+
+    One write deals the rows by ``quarantined``; the counters of all row rules
+    ride on it (``observe``).  Key rules then read the key columns of the
+    written rows, good and bad, aggregated to (key, count).  ``load`` names the
+    write's directory, so writing the same load again replaces it.
+    """
+    from pyspark.sql.observation import Observation
+
+    bad, seen = broken_by_row(df, rules), Observation(f"dq-{name}-{load}")
+    counters = [F.count_if(c).alias(f"r{i}") for i, c in enumerate(bad.values())]
+    path = f"{store.path(name + '_checked')}/load={load}"
+    marked = df.withColumn("violations", violations(df, rules)).withColumn("quarantined", F.size("violations") > 0)
+    marked.observe(seen, F.count(F.lit(1)).alias("n"), *counters).write.mode("overwrite").partitionBy("quarantined").parquet(path)
+    found = seen.get
+    written = df.sparkSession.read.schema(marked.schema).parquet(path)
+    counted = {r: found[f"r{i}"] for i, r in enumerate(bad)}
+    rest = [r for r in rules if r not in counted and r.kind != "not_empty"]
+    report = dq_report(written, rest, name) if rest else None
+    known = [(name, r.kind, r.target, int(v), "") for r, v in counted.items()]
+    known += [(name, r.kind, r.target, int(found["n"] == 0), "") for r in rules if r.kind == "not_empty"]
+    own = df.sparkSession.createDataFrame(
+        known, "table_name string, rule string, target string, violations long, detail string").withColumn("passed", F.col("violations") == 0)
+    return own if report is None else own.unionByName(report)
+
+
+def checked_rows(store, name: str, load: str, quarantined: bool = False) -> DataFrame:
+    """The good rows of a load written by ``write_checked``, or the quarantined ones with their ``violations``."""
+    rows = store.spark.read.parquet(f"{store.path(name + '_checked')}/load={load}").filter(F.col("quarantined") == quarantined)
+    return rows.drop("quarantined") if quarantined else rows.drop("quarantined", "violations")

@@ -52,10 +52,12 @@ def _ratios(hits: Sequence[str], n: str) -> list[Column]:
 
 
 def kpi_windows(df: DataFrame, *, ts: str = "tst", vehicle: str = "vehicle_number", speed: str = "spd",
-                delay: str = "dl", window_s: int = 300, slide_s: int = 30,
+                delay: str = "dl", window_s: int = 300, slide_s: int | None = 30,
                 thresholds: Sequence[int] = THRESHOLDS, approx: bool = False,
                 method: str = "panes") -> DataFrame:
-    """Per window: active vehicles, mean speed (m/s and km/h), on-time ratios, event count."""
+    """Per window: active vehicles, mean speed (m/s and km/h), on-time ratios, event count.  ``slide_s=None``:
+    tumbling windows."""
+    slide_s = slide_s or window_s
     hit_cols = [F.when(F.abs(F.col(delay)) <= t, 1).otherwise(0) for t in thresholds]
     hits = [f"h{i}" for i in range(1, len(thresholds) + 1)]
     if method == "window":
@@ -90,8 +92,9 @@ def kpi_windows(df: DataFrame, *, ts: str = "tst", vehicle: str = "vehicle_numbe
 
 
 def route_delay_windows(df: DataFrame, *, ts: str = "tst", route: str = "route_id", delay: str = "dl",
-                        window_s: int = 300, slide_s: int = 30, method: str = "panes") -> DataFrame:
-    """Per window and route: mean delay (s) and report count (A4)."""
+                        window_s: int = 300, slide_s: int | None = 30, method: str = "panes") -> DataFrame:
+    """Per window and route: mean delay (s) and report count (A4).  ``slide_s=None``: tumbling windows."""
+    slide_s = slide_s or window_s
     if method == "window":
         w = F.window(F.col(ts), f"{window_s} seconds", f"{slide_s} seconds")
         return (df.groupBy(w.alias("w"), F.col(route).alias("route_id"))

@@ -326,6 +326,40 @@ FROM fact GROUP BY route_id ORDER BY unique_stops DESC, route_id LIMIT 10""",
 SELECT CAST(floor(lat / 0.01) AS BIGINT) AS lat_cell, CAST(floor("long" / 0.01) AS BIGINT) AS lon_cell,
        count(*) AS events, count(DISTINCT vehicle_number) AS vehicles
 FROM fact GROUP BY 1, 2 ORDER BY events DESC, lat_cell, lon_cell LIMIT 10""",
+        "adaptive_hot_spots": b + """,
+fine AS (
+  SELECT least(CAST(floor((lat - -90) / 180 * 65536) AS BIGINT), 65535) AS y,
+         least(CAST(floor(("long" - -180) / 360 * 65536) AS BIGINT), 65535) AS x, count(*) AS n
+  FROM fact WHERE lat IS NOT NULL AND "long" IS NOT NULL GROUP BY 1, 2
+),
+cells AS (
+  SELECT CAST(l AS INTEGER) AS level, y >> (16 - CAST(l AS INTEGER)) AS cy, x >> (16 - CAST(l AS INTEGER)) AS cx, CAST(sum(n) AS BIGINT) AS events
+  FROM fine CROSS JOIN range(17) AS r(l) GROUP BY 1, 2, 3
+)
+SELECT c.level, CAST(c.cy * 180 AS DOUBLE) / (1 << c.level) - 90 AS lat_from,
+       CAST(c.cx * 360 AS DOUBLE) / (1 << c.level) - 180 AS lon_from, c.events
+FROM cells c LEFT JOIN cells p ON p.level = c.level - 1 AND p.cy = c.cy >> 1 AND p.cx = c.cx >> 1
+WHERE (c.events <= 20 OR c.level = 16) AND (c.level = 0 OR p.events > 20)""",
+        "hot_stops": b + """
+SELECT s.stop_id, s.stop_name, s.stop_lat, s.stop_lon, count(*) AS events, count(DISTINCT f.vehicle_number) AS vehicles,
+       count(DISTINCT f.route_id) AS routes
+FROM fact f JOIN (SELECT * FROM dim_stops WHERE active_flg = 1) s ON f.stop = s.stop_id
+GROUP BY ALL ORDER BY events DESC, s.stop_id LIMIT 10""",
+        "kpi_windows_tumbling": b + KPI + f"""
+SELECT time_bucket(INTERVAL 300 SECOND, tst) AS window_start, time_bucket(INTERVAL 300 SECOND, tst) + INTERVAL 300 SECOND AS window_end,
+       count(DISTINCT vehicle_number) AS active_vehicles, avg(spd) AS avg_speed, {_HITS},
+       count(*) AS events, avg(spd) * 3.6 AS avg_speed_kmh
+FROM kin GROUP BY 1, 2""",
+        "dq_quarantine": b + """,
+judged AS (
+  SELECT stop_id, concat_ws(';', CASE WHEN stop_id IS NULL OR stop_id = '' THEN 'no_nulls:stop_id' END,
+                            CASE WHEN stop_lon IS NULL THEN 'no_nulls:stop_lon' END,
+                            CASE WHEN wheelchair_boarding NOT IN (0, 1, 2) THEN 'values_in_set:wheelchair_boarding' END) AS broken
+  FROM dim_stops
+)
+SELECT stop_id, broken, CAST(1 AS BIGINT) AS "rows" FROM judged WHERE broken <> ''
+UNION ALL
+SELECT NULL, '', count(*) FROM judged WHERE broken = ''""",
         "route_on_time": b + """
 SELECT route_id, count(*) AS events,
        avg(CASE WHEN abs(dl) <= 60 THEN 1 ELSE 0 END) AS on_time_ratio_1,
@@ -517,7 +551,13 @@ half AS (
 ),
 lw AS (SELECT * FROM half WHERE window_end = (SELECT max(window_end) FROM half) AND events_cnt >= 5)
 SELECT * FROM ({_extremes("lw")})""",
-        "route_extremes_none": "SELECT CAST(0 AS BIGINT) AS named",
+        "route_extremes_none": b + KPI + """,
+half AS (
+  SELECT time_bucket(INTERVAL 12 HOUR, tst) AS w, route_id, count(*) AS c FROM kin GROUP BY ALL
+),
+low AS (SELECT max(c) + 1 AS c FROM half WHERE w = (SELECT max(w) FROM half))
+SELECT (SELECT count(*) FROM half WHERE c >= (SELECT c FROM low)) > 0 AS older_reach_it,
+       (SELECT count(*) FROM half WHERE w = (SELECT max(w) FROM half) AND c >= (SELECT c FROM low)) AS named""",
         "kpi_windows_approx": b + KPI + """
 SELECT window_start, window_end, events, avg_speed, true AS vehicles_within_5_pct FROM kpi""",
         "metric_bottomk": b + METRICS + f"""
@@ -655,7 +695,8 @@ ORACLE_SQL["kpi_windows_native"] = ORACLE_SQL["kpi_windows"]
 for _k, _same in {"fact_join_as_of_carried": "fact_join_as_of", "scd2_buckets": "scd2_incremental",
                   "route_density_bitmaps": "route_density", "route_bus_count_bitmaps": "route_bus_count",
                   "route_stop_coverage_bitmaps": "route_stop_coverage", "offset_gaps_incremental": "offset_gaps",
-                  "replay_indexed": "replay_window", "kpi_windows_stored": "kpi_windows_approx"}.items():
+                  "replay_indexed": "replay_window", "kpi_windows_stored": "kpi_windows_approx",
+                  "dq_write_report": "dq_report"}.items():
     ORACLE_SQL[_k] = ORACLE_SQL[_same]
 # rows behind the watermark change no window
 ORACLE_SQL["kpi_stream_late"] = ORACLE_SQL["kpi_stream"]

@@ -37,7 +37,7 @@ def _ntz_windows(df: DataFrame) -> DataFrame:
     return df.withColumn("window_start", utc_ntz("window_start")).withColumn("window_end", utc_ntz("window_end"))
 
 
-def kpi_stream(positions: DataFrame, watermark: str = "1 minute", window_s: int = 300, slide_s: int = 30,
+def kpi_stream(positions: DataFrame, watermark: str = "1 minute", window_s: int = 300, slide_s: int | None = 30,
                approx: bool = True, dedupe: bool = False) -> DataFrame:
     """Sliding KPIs; append mode emits a window once the watermark passes its end.
 
@@ -50,7 +50,7 @@ def kpi_stream(positions: DataFrame, watermark: str = "1 minute", window_s: int
 
 
 def route_delay_stream(positions: DataFrame, watermark: str = "1 minute", window_s: int = 300,
-                       slide_s: int = 30, dedupe: bool = False) -> DataFrame:
+                       slide_s: int | None = 30, dedupe: bool = False) -> DataFrame:
     wm = dedupe_stream(positions, watermark=watermark) if dedupe else positions.withWatermark("event_time", watermark)
     return _ntz_windows(K.route_delay_windows(wm, ts="event_time", window_s=window_s, slide_s=slide_s,
                                               method="window"))

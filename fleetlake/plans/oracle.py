@@ -696,7 +696,7 @@ for _k, _same in {"fact_join_as_of_carried": "fact_join_as_of", "scd2_buckets":
                   "route_density_bitmaps": "route_density", "route_bus_count_bitmaps": "route_bus_count",
                   "route_stop_coverage_bitmaps": "route_stop_coverage", "offset_gaps_incremental": "offset_gaps",
                   "replay_indexed": "replay_window", "kpi_windows_stored": "kpi_windows_approx",
-                  "dq_write_report": "dq_report"}.items():
+                  "dq_write_report": "dq_report", "landing_compacted": "stream_landing"}.items():
     ORACLE_SQL[_k] = ORACLE_SQL[_same]
 # rows behind the watermark change no window
 ORACLE_SQL["kpi_stream_late"] = ORACLE_SQL["kpi_stream"]

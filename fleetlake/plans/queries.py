@@ -45,7 +45,7 @@ from fleetlake.sources.kafka import read_events_stream, replay
 from fleetlake.streaming.kpi_stream import (
     kpi_stream, read_current, read_metrics, route_delay_stream, start_metrics, stream_positions,
 )
-from fleetlake.streaming.landing import start_landing
+from fleetlake.streaming.landing import append_batch, compact_days, read_landed, start_landing
 from fleetlake.streaming.late import late_counts, start_late_audit
 
 # Fixed parameters of the registered queries.
@@ -741,6 +741,15 @@ def q_stream_landing(spark, sf):
     return spark.read.parquet(f"{root}/bronze").select("key", "partition", "offset", "timestamp")
 
 
+def q_landing_compacted(spark, sf):
+    """Landing in many small batches; the days before DAY are put together, the others read as they landed."""
+    store, b = _store(spark), bronze(spark, sf)
+    for i in range(3):
+        append_batch(b.filter(F.col("partition") % 3 == i), i, store.path("raw"))
+    compact_days(store, "landed_days", store.path("raw"), DAY)
+    return read_landed(store, "landed_days", store.path("raw")).select("key", "partition", "offset", "timestamp")
+
+
 # ---------------------------------------------------------------- chains
 def q_events_chain(spark, sf):
     """Two incremental runs and a rerun of bronze -> silver -> gold; the fact as finally stored."""
@@ -842,6 +851,7 @@ QUERIES: dict[str, Query] = {
     "kpi_windows_tumbling": q_kpi_windows_tumbling,
     "dq_write_report": q_dq_write_report,
     "dq_quarantine": q_dq_quarantine,
+    "landing_compacted": q_landing_compacted,
     "route_on_time": q_route_on_time,
     "speed_by_route_vehicle": q_speed_by_route_vehicle,
     "occupancy_trend": q_occupancy_trend,

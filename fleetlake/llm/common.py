@@ -31,13 +31,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
 BATCH_ROWS = 1000
 
 
-def in_batches(df: DataFrame, run, schema) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` with batches of at most ``BATCH_ROWS`` rows, which bounds what a task
-    holds on both sides of the pipe.  The setting is the session's: it stays, and only ever gets smaller."""
-    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    now = int(conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+def in_batches(df: DataFrame, run, schema, batch_bytes: int | None = None) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with batches of at most ``BATCH_ROWS`` rows and, if given, about
+    ``batch_bytes``, which bounds what a task holds on both sides of the pipe.  The settings are the session's: they
+    stay, and only ever get smaller."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", batch_bytes)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(conf.get(key).rstrip("bB")) if most else 0
+        if most and (now <= 0 or now > most):
+            conf.set(key, str(most))
     return df.mapInArrow(run, schema)
 
 
@@ -48,6 +51,14 @@ def blobs(column) -> list:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def free(name: str, *taken: str) -> str:
+    """``name``, with underscores before it until no column of ``taken`` is called so in any case."""
+    names = {t.lower() for t in taken}
+    while name.lower() in names:
+        name = "_" + name
+    return name
+
+
 def width(spark: SparkSession) -> int:
     """The session's shuffle width, which the cluster sizes to its input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

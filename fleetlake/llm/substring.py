@@ -20,13 +20,19 @@ Level-wise doubling over packed entries (document, place, hash), at every start:
 
 The level of ``length`` words decides what goes: its marks and the texts meet by
 document group, where the words are removed.  ``remove_repeats`` doubles on, to
-twice the length, four times, and so on, until no window is left; the last level
-that holds a mark of a document gives its ``longest_repeat`` (0: none), exactly.
+twice the length, four times, and so on, until no window is left.  Each level
+notes its documents in a small table of their own, which meets the texts in the
+same way; the last level that holds a mark of a document gives its
+``longest_repeat`` (0: none), exactly.  A level's marks are removed from the
+shared folder when the next level is written, its shuffle files when it is.
 
-A first-level window is known by 40 bits of one polynomial hash and, in its
-bucket number, log2(buckets) bits of a second, growing with the width; a chance
-match there only makes a longer window to look at.  A longer window is known by
-56 bits and the bucket's (64 at most) of a hash of its two parts' hashes.
+Numbers of buckets and groups follow the bytes of the texts, and of the marks of
+a longer level, within one to four a shuffle partition; so do the rows moved.
+
+A first-level window is known by all 64 bits of one polynomial hash and, in its
+bucket number, log2(buckets) bits of a second; a longer one by 64 bits of a hash
+of its two parts' hashes.  Words are not compared: two different windows whose
+hashes agree at every level would count as equal.
 
 Null and empty texts have no words and keep the hash of the empty string.  Rows
 with a null doc_id are left out.  A doc_id names one text: rows that repeat it
@@ -43,17 +49,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from .common import blobs, in_batches, width, written
+from fleetlake.session import hadoop_path
+
+from .common import blobs, in_batches, run_folder, width
 from .rolling import WordHasher, mix
 
 #: bytes of text hashed, and packed for moving, at a time
 UNIT_BYTES, PACK_BYTES = 3 << 20, 8 << 20
-MARKS_AT_ONCE = 1 << 20
+#: bytes of a batch taken in, and sent on, at a time; bytes of text for a hash bucket and for a document group, and of a level's marks
+BATCH_BYTES, SENT_BYTES = 8 << 20, 4 << 20
+BUCKET_TEXT, GROUP_TEXT, BUCKET_MARKS, GROUP_MARKS = 4 << 20, 8 << 20, 2 << 20, 4 << 20
+MARKS_AT_ONCE = 1 << 19
 FLAG_REPEAT, FLAG_SOURCE = 0, 1
 #: what a mark says of its window: the flag, and its hash where a further level follows
 FLAG, HASHED = [("flag", "u1")], [("flag", "u1"), ("value", "<u8")]
-#: bytes of a window's hash that go to its bucket, at the first level and beyond
-FIRST_BYTES, NEXT_BYTES = 5, 7
+#: bytes of a window's hash that go to its bucket
+HASH_BYTES = 8
 SPREAD = 0x9E3779B97F4A7C15
 
 
@@ -115,17 +126,23 @@ def _units(batches, limit: int) -> Iterator[list[tuple[int, bytes]]]:
 
 
 def _rows(rows: list[tuple[int, int, bytes]]):
+    """Batches of (key, kind, blob) rows, of ``SENT_BYTES`` or little more."""
     import pyarrow as pa
 
-    for at in range(0, len(rows), 256):
-        key, kind, blob = zip(*rows[at:at + 256], strict=True)
+    at, held = 0, 0
+    for i, row in enumerate(rows):
+        held += len(row[2]) + 64
+        if held < SENT_BYTES and i + 1 < len(rows):
+            continue
+        key, kind, blob = zip(*rows[at:i + 1], strict=True)
+        at, held = i + 1, 0
         yield pa.RecordBatch.from_arrays(
             [pa.array(key, pa.int64()), pa.array(kind, pa.int8()), pa.array(blob, pa.binary())], ["key", "kind", "blob"])
 
 
 ROW = "key long, kind byte, blob binary"
 LOCAL, WINDOWS = 0, 1
-MARKS, TEXTS = 0, 1
+MARKS, DOCS, TEXTS = 0, 1, 2
 
 
 def _identity(value, bucket, size: int):
@@ -194,9 +211,9 @@ def _first_level(docs: DataFrame, length: int, buckets: int, groups: int) -> Dat
             value = hasher.window(hasher.prefix(words), start, length)
             other = hasher.window(hasher.prefix(words, 1), start, length, 1)
             yield from _rows(_dealt(ids[owner[start]], start - first[owner[start]], value, _bucket(other, buckets),
-                                    groups, HASHED, FIRST_BYTES))
+                                    groups, HASHED, HASH_BYTES))
 
-    return docs.transform(in_batches, run, ROW)
+    return docs.transform(in_batches, run, ROW, BATCH_BYTES)
 
 
 def _next_level(marks: DataFrame, step: int, buckets: int, groups: int, kind) -> DataFrame:
@@ -215,30 +232,48 @@ def _next_level(marks: DataFrame, step: int, buckets: int, groups: int, kind) ->
             last = np.minimum(np.searchsorted(place, place + step), len(place) - 1)
             at = np.flatnonzero(place[last] == place + step)
             value = mix(value[at] + mix(value[last[at]]) * np.uint64(SPREAD))
-            yield from _rows(_dealt(doc[at], pos[at], value, _bucket(value, buckets), groups, kind, NEXT_BYTES))
+            yield from _rows(_dealt(doc[at], pos[at], value, _bucket(value, buckets), groups, kind, HASH_BYTES))
 
-        group, parts = None, []
+        # whole document groups, many of them while they are small: the rows sent follow the marks, not the groups
+        group, parts, held = None, [], 0
         for batch in batches:
             for key, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != group and parts:
+                if key != group and held >= MARKS_AT_ONCE:
                     yield from dealt(parts)
-                    parts = []
+                    parts, held = [], 0
                 group = key
                 parts.append(unpack(blob, HASHED))
+                held += len(parts[-1][0])
         if parts:
             yield from dealt(parts)
 
     return (marks.select("key", "blob").repartition("key").sortWithinPartitions("key")
-            .transform(in_batches, run, ROW))
+            .transform(in_batches, run, ROW, BATCH_BYTES))
+
+
+def _noted(doc, length: int, groups: int) -> list[tuple[int, int, bytes]]:
+    """Rows that say, by document group, which documents hold a mark of the level of ``length`` words."""
+    import numpy as np
+
+    if not len(doc):
+        return []
+    doc = np.unique(doc)
+    group = group_of(doc, groups)
+    order = np.argsort(group, kind="stable")
+    keys, cuts = np.unique(group[order], return_index=True)
+    return [(int(g), DOCS, length.to_bytes(8, "little") + own.astype("<i8").tobytes())
+            for g, own in zip(keys, np.split(doc[order], cuts[1:]), strict=True)]
 
 
-def _marks(packed: DataFrame, groups: int, kind, size: int = NEXT_BYTES) -> DataFrame:
-    """Marks of the windows that several documents share, packed by document group."""
+def _marks(packed: DataFrame, groups: int, kind, note: int = 0, note_groups: int | None = None, size: int = HASH_BYTES) -> DataFrame:
+    """Marks of the windows that several documents share, packed by document group; with ``note``, the length of
+    the level's windows, also rows of the documents that hold them, by ``note_groups``."""
+    note_groups = note_groups or groups
 
     def run(batches):
         import numpy as np
 
-        bucket, parts, found, waiting = None, [], [], 0
+        bucket, parts, found, waiting, local = None, [], [], 0, [np.zeros(0, np.int64)]
 
         def settle():
             """Marks of the bucket's windows that several documents share."""
@@ -262,10 +297,16 @@ def _marks(packed: DataFrame, groups: int, kind, size: int = NEXT_BYTES) -> Data
             order = np.lexsort((pos, doc))
             doc, pos, mark = doc[order], pos[order], mark[order]
             yield from _rows([(k, MARKS, b) for k, b in pack_by(group_of(doc, groups), doc, pos, mark)])
+            if note:
+                yield from _rows(_noted(doc, note, note_groups))
 
         for batch in batches:
             for key, own, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if own == LOCAL:
+                    if note:  # the same documents come in blob after blob
+                        local.append(np.unique(unpack(blob, kind)[0]))
+                        if len(local) > 256:
+                            local = [np.unique(np.concatenate(local))]
                     yield from _rows([(key, MARKS, blob)])
                     continue
                 if key != bucket and parts:
@@ -280,8 +321,10 @@ def _marks(packed: DataFrame, groups: int, kind, size: int = NEXT_BYTES) -> Data
             found.append(settle())
         if found:
             yield from sent()
+        if note and len(local := np.concatenate(local)):
+            yield from _rows(_noted(local, note, note_groups))
 
-    return packed.repartition("key").sortWithinPartitions("kind", "key").transform(in_batches, run, ROW)
+    return packed.repartition("key").sortWithinPartitions("kind", "key").transform(in_batches, run, ROW, BATCH_BYTES)
 
 
 def _texts(docs: DataFrame, groups: int) -> DataFrame:
@@ -315,7 +358,7 @@ def _texts(docs: DataFrame, groups: int) -> DataFrame:
         if waiting:
             yield from _rows(list(packed()))
 
-    return docs.transform(in_batches, run, ROW)
+    return docs.transform(in_batches, run, ROW, BATCH_BYTES)
 
 
 def without(text: bytes, keep: list[bool]) -> bytes:
@@ -326,10 +369,12 @@ def without(text: bytes, keep: list[bool]) -> bytes:
     return (left if keep[0] else left.lstrip()) + end
 
 
-def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, keep_text: bool, prefix: str) -> DataFrame:
-    """Marks and rows (``row``: doc_id, text, more) meet by document group; marks come first."""
+def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, keep_text: bool, prefix: str,
+           noted: bool = False) -> DataFrame:
+    """Marks and rows (``row``: doc_id, text, more) meet by document group; marks, and notes of documents, come first."""
     schema = StructType([f for f in row.fields if keep_text or f.name == "doc_id"])
-    for name, kind in (("n_words", LongType()), ("n_removed", LongType()), ("kept_sha256", StringType())):
+    added = [("n_words", LongType()), ("n_removed", LongType()), ("kept_sha256", StringType()), ("longest_repeat", LongType())]
+    for name, kind in added if noted else added[:3]:
         schema = schema.add(prefix + name, kind)
 
     def run(batches):
@@ -339,7 +384,7 @@ def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, kee
         import pyarrow as pa
         import zstandard
 
-        group, parts, marked = None, [], None
+        group, parts, marked, longest = None, [], None, {}
         types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
 
         def one(doc: int, text: bytes) -> tuple:
@@ -366,10 +411,14 @@ def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, kee
         for batch in batches:
             for key, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != group:
-                    group, parts, marked = key, [], None
+                    group, parts, marked, longest = key, [], None, {}
                 if kind == MARKS:
                     parts.append(unpack(blob, FLAG))
                     continue
+                if kind == DOCS:
+                    size = int.from_bytes(blob[:8], "little")
+                    longest.update((d, max(size, longest.get(d, 0))) for d in np.frombuffer(blob, "<i8", offset=8).tolist())
+                    continue
                 if parts:
                     doc, pos, flag = (np.concatenate(x) for x in zip(*parts, strict=True))
                     order = np.argsort(doc, kind="stable")
@@ -378,9 +427,11 @@ def _apply(marks: DataFrame, texts: DataFrame, row: StructType, length: int, kee
                     done = [one(d, t or b"") for d, t in zip(rows.column(0).to_pylist(), blobs(rows.column(1)), strict=True)]
                     found = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)]
                     kept = [rows.column(0), found[3], *rows.columns[2:]] if keep_text else [rows.column(0)]
-                    yield pa.RecordBatch.from_arrays([*kept, *found[:3]], schema.names)
+                    if noted:
+                        found[3] = pa.array([longest.get(d, 0) for d in rows.column(0).to_pylist()], pa.int64())
+                    yield pa.RecordBatch.from_arrays([*kept, *found[:4 if noted else 3]], schema.names)
 
-    return (marks.union(texts).repartition("key").sortWithinPartitions("key", "kind").transform(in_batches, run, schema))
+    return (marks.union(texts).repartition("key").sortWithinPartitions("key", "kind").transform(in_batches, run, schema, BATCH_BYTES))
 
 
 def _flags(marks: DataFrame) -> DataFrame:
@@ -394,32 +445,62 @@ def _flags(marks: DataFrame) -> DataFrame:
                 rows.append((key, MARKS, pack(doc, pos, _mark(mark["flag"], None, FLAG))))
             yield from _rows(rows)
 
-    return marks.select("key", "blob").transform(in_batches, run, ROW)
+    return marks.select("key", "blob").transform(in_batches, run, ROW, BATCH_BYTES)
 
 
-def _marked(marks: DataFrame) -> DataFrame:
-    """``(doc_id)`` of ``HASHED`` marks, once a row of marks."""
+#: Spark's own setting: a finished query's shuffle files go at once, not when the driver's heap is next collected
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
 
-        for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(unpack(blob, HASHED)[0]))], ["doc_id"])
+class _Level:
+    """The marks of a level and its notes of documents, written once to the shared folder."""
+
+    def __init__(self, found: DataFrame, length: int):
+        self.spark, self.length = found.sparkSession, length
+        self.path = run_folder(self.spark, f"windows{length}")
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            found.write.partitionBy("kind").parquet(self.path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
+
+    def rows(self, kind: int) -> DataFrame:
+        return self.spark.read.schema(ROW).parquet(self.path).where(F.col("kind") == kind).select("key", "kind", "blob")
+
+    def _marks_folder(self):
+        return hadoop_path(self.spark, f"{self.path}/kind={MARKS}")
+
+    def marks_bytes(self) -> int:
+        p, fs = self._marks_folder()
+        return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+    def drop_marks(self) -> None:
+        """The next level is written and nothing reads these marks again."""
+        p, fs = self._marks_folder()
+        fs.delete(p, True)
+
+
+def _doubled(level: _Level, buckets: int, groups: int) -> list[DataFrame]:
+    """Notes of the documents of all longer levels: twice the length, four times, until none holds a window.
 
-    return marks.select("blob").transform(in_batches, run, "doc_id long")
+    A level is dealt to as many buckets and groups as the bytes of the marks that it comes from ask for; the notes
+    keep to the document groups of the texts.
+    """
+    notes, first = [], level
+    while not level.rows(DOCS).isEmpty():
+        notes.append(level.rows(DOCS))
+        size = level.marks_bytes()
+        few = _between(size // BUCKET_MARKS, 1, buckets), _between(size // GROUP_MARKS, 1, groups)
+        longer = _marks(_next_level(level.rows(MARKS), level.length, *few, HASHED), few[1], HASHED, 2 * level.length, groups)
+        before, level = level, _Level(longer, 2 * level.length)
+        if before is not first:
+            before.drop_marks()
+    return notes
 
 
-def _longest(marks: DataFrame, length: int, buckets: int, groups: int) -> DataFrame:
-    """``(doc_id, longest_repeat)``: the greatest doubled length at which a document shares a window."""
-    size, reached = length, None
-    while reached is None or not marks.isEmpty():
-        docs = _marked(marks).groupBy("doc_id").agg(F.lit(size).cast("long").alias("longest_repeat"))
-        reached = docs if reached is None else reached.union(docs)
-        marks = written(_marks(_next_level(marks, size, buckets, groups, HASHED), groups, HASHED), f"windows{2 * size}")
-        size *= 2
-    return reached.groupBy("doc_id").agg(F.max("longest_repeat").alias("longest_repeat"))
+def _between(n: int, least: int, most: int) -> int:
+    return max(least, min(n, most))
 
 
 def _own(docs: DataFrame, *more: str) -> DataFrame:
@@ -427,28 +508,30 @@ def _own(docs: DataFrame, *more: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
-def _sizes(spark) -> tuple[int, int]:
-    """Hash buckets and document groups."""
-    return 4 * width(spark), 2 * width(spark)
+def _sizes(rows: DataFrame) -> tuple[int, int]:
+    """Hash buckets and document groups, from the bytes of the texts: one to four, and one to two, a shuffle partition."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    w = width(rows.sparkSession)
+    return _between(size // BUCKET_TEXT, w, 4 * w), _between(size // GROUP_TEXT, w, 2 * w)
 
 
-def _repeated(rows: DataFrame, length: int, kind) -> DataFrame:
-    """Marks of the repeated windows of ``length`` words, by way of those of half the length."""
-    buckets, groups = _sizes(rows.sparkSession)
+def _repeated(rows: DataFrame, length: int, kind, sizes: tuple[int, int], note: int = 0) -> DataFrame:
+    """Marks of the repeated windows of ``length`` words, by way of those of half the length, which are written."""
+    buckets, groups = sizes
     half = (length + 1) // 2
-    marks = _marks(_first_level(rows.select("doc_id", "text"), half, buckets, groups), groups, HASHED,
-                   FIRST_BYTES)
-    return _marks(_next_level(marks, length - half, buckets, groups, kind), groups, kind)
+    first = _Level(_marks(_first_level(rows.select("doc_id", "text"), half, buckets, groups), groups, HASHED), half)
+    return _marks(_next_level(first.rows(MARKS), length - half, buckets, groups, kind), groups, kind, note)
 
 
 def remove_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, n_words, n_removed, kept_sha256, longest_repeat)``."""
     rows = _own(docs)
-    buckets, groups = _sizes(rows.sparkSession)
-    marks = written(_repeated(rows, length, HASHED), f"windows{length}")
-    found = _apply(_flags(marks), _texts(rows, groups), rows.schema, length, False, "")
-    return (found.join(_longest(marks, length, buckets, groups), "doc_id", "left")
-            .withColumn("longest_repeat", F.coalesce("longest_repeat", F.lit(0).cast("long"))))
+    buckets, groups = sizes = _sizes(rows)
+    level = _Level(_repeated(rows, length, HASHED, sizes, length), length)
+    marks = _flags(level.rows(MARKS))
+    for notes in _doubled(level, buckets, groups):
+        marks = marks.union(notes)
+    return _apply(marks, _texts(rows, groups), rows.schema, length, False, "", noted=True)
 
 
 def cleaned(docs: DataFrame, length: int = 13, prefix: str = "") -> DataFrame:
@@ -457,5 +540,5 @@ def cleaned(docs: DataFrame, length: int = 13, prefix: str = "") -> DataFrame:
     these names.  A text that loses nothing stays as it is; columns of ``docs`` with these names are replaced."""
     added = [prefix + c for c in ("n_words", "n_removed", "kept_sha256")]
     rows = _own(docs, *(c for c in docs.columns if c not in ("doc_id", "text", *added)))
-    groups = _sizes(rows.sparkSession)[1]
-    return _apply(_repeated(rows, length, FLAG), _texts(rows, groups), rows.schema, length, True, prefix)
+    sizes = _sizes(rows)
+    return _apply(_repeated(rows, length, FLAG, sizes), _texts(rows, sizes[1]), rows.schema, length, True, prefix)

@@ -15,7 +15,7 @@ is for templates that look no further back: the pieces joined are compared with
 one rendering of the whole conversation, and a difference is an error.
 
 ``chatml`` marks turns with control strings and escapes these in texts and roles,
-reversibly; ``read_back`` parses its output.
+reversibly; ``read_back`` parses its joined output.
 
 Turns are taken by ``turn``, then role and text (nulls first).  Null texts and
 roles are empty; rows with a null conv_id are left out; repeated rows are turns
@@ -52,15 +52,25 @@ def chatml(turns: Turns) -> str:
     return "".join(f"{START}{quote(role, safe=' ')}\n{escape(text)}{END}\n" for role, text in turns)
 
 
-TURN = re.compile(rf"{re.escape(START)}([^\n]*)\n(.*?){re.escape(END)}\n", re.DOTALL)
-
-
-def parse(piece: str) -> tuple[str, str]:
-    """Role and text of one turn of ``chatml``'s output."""
-    found = TURN.fullmatch(piece)
-    if not found:
-        raise ValueError(f"not one formatted turn: {piece[:80]!r}")
-    return unquote(found[1]), unescape(found[2])
+def split(joined: str) -> Iterator[tuple[str, str, int]]:
+    """Role, text and end of every whole turn at the start of ``chatml``'s output, found by its control strings
+    alone; what follows the last one is an unfinished turn, or nothing."""
+    at = 0
+    while at < len(joined):
+        if not joined.startswith(START, at):
+            if START.startswith(joined[at:]):
+                return
+            raise ValueError(f"no turn begins at: {joined[at:at + 80]!r}")
+        line = joined.find("\n", at)
+        stop = joined.find("<|", line + 1) if line >= 0 else -1
+        if stop < 0:
+            return
+        close = END + "\n"
+        if not joined.startswith(close, stop):
+            if close.startswith(joined[stop:]):
+                return
+            raise ValueError(f"a turn does not end at: {joined[stop:stop + 80]!r}")
+        yield unquote(joined[at + len(START):line]), unescape(joined[line + 1:stop]), (at := stop + len(close))
 
 
 def common(a: str, b: str) -> int:
@@ -75,10 +85,12 @@ def common(a: str, b: str) -> int:
     return lo
 
 
-def turn_part(render: Callable[[Turns], str], before: Turns, role: str, text: str) -> tuple[str, int, int, bool]:
-    """What the turn adds after ``before``: its part, the start and end of its text there, and whether
-    the template rewrote history."""
-    shorter = render(before) if before else ""
+def turn_part(render: Callable[[Turns], str], before: Turns, role: str, text: str,
+              shorter: str | None = None) -> tuple[str, int, int, bool, str]:
+    """What the turn adds after ``before``: its part, the start and end of its text there, whether the template
+    rewrote history, and the output with the turn.  ``shorter`` is the output before it, if that is known."""
+    if shorter is None:
+        shorter = render(before) if before else ""
     longer = render([*before, (role, text)])
     cut = common(shorter, longer)
     rewrites = cut < len(shorter)
@@ -86,7 +98,7 @@ def turn_part(render: Callable[[Turns], str], before: Turns, role: str, text: st
     head = common(empty, render([*before, (role, PROBE)]))
     start = max(head, cut) - cut
     end = max(start, start + len(longer) - len(empty))
-    return longer[cut:], start, min(end, len(longer) - cut), rewrites
+    return longer[cut:], start, min(end, len(longer) - cut), rewrites, longer
 
 
 def format_turns(conversations: DataFrame, render: Callable[[Turns], str] = chatml, context: int | None = None,
@@ -100,7 +112,7 @@ def format_turns(conversations: DataFrame, render: Callable[[Turns], str] = chat
 
         names = ["conv_id", "place", "piece", "offset", "loss_start", "loss_end", "rewrites"]
         types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
-        conv, before, place, offset = None, [], 0, 0
+        conv, before, place, offset, last = None, [], 0, 0, None
         every, said = [], []  # of a bounded prefix: the conversation's turns and pieces
 
         def settle():
@@ -114,13 +126,13 @@ def format_turns(conversations: DataFrame, render: Callable[[Turns], str] = chat
                 for key, role, text in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
                     if key != conv:
                         settle()
-                        conv, before, place, offset, every, said = key, [], 0, 0, [], []
-                    piece, start, end, rewrites = turn_part(render, before, role, text)
+                        conv, before, place, offset, last, every, said = key, [], 0, 0, None, [], []
+                    piece, start, end, rewrites, last = turn_part(render, before, role, text, last)
                     loss = (start, end) if role in loss_roles else (None, None)
                     rows.append((conv, place, piece, offset, *loss, rewrites))
-                    before = [*before, (role, text)]
+                    before.append((role, text))
                     if context is not None:
-                        before = before[max(0, len(before) - context):]
+                        before, last = before[max(0, len(before) - context):], None
                         every.append((role, text))
                         said.append(piece)
                     place, offset = place + 1, offset + len(piece)
@@ -135,9 +147,16 @@ def format_turns(conversations: DataFrame, render: Callable[[Turns], str] = chat
     return turns.select("conv_id", "role", "text").transform(in_batches, run, "conv_id long, place long, piece string, offset long, loss_start int, loss_end int, rewrites boolean")
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """``format_turns``' rows, as they come, -> a row per conversation, from the formatted text alone: n_turns,
-    turns_sha256, loss_chars, loss_sha256, formatted_chars, n_rewrites."""
+def read_back(formatted: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """``format_turns``' rows, as they come, -> a row per conversation: n_turns, turns_sha256, loss_chars,
+    loss_sha256, formatted_chars, n_rewrites.
+
+    The pieces are joined again, and turns, roles and the text under the loss
+    mask are taken from the control strings found in that output alone, turn by
+    turn as it comes; where ``format_turns`` cut it plays no part.  Output that
+    is not whole turns is an error.  Where the mask that ``format_turns`` stated
+    covers other characters than the turns of ``loss_roles`` found, that is an error too.
+    """
 
     def run(batches) -> Iterator:
         from hashlib import sha256
@@ -145,7 +164,13 @@ def read_back(formatted: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_rewrites"]
-        conv, now = None, None
+        conv, now, rest, masked = None, None, "", None
+
+        def ended():
+            if rest:
+                raise ValueError(f"conversation {conv} ends inside a turn: {rest[:80]!r}")
+            if masked.digest() != now[3].digest():
+                raise ValueError(f"conversation {conv}: the loss mask does not cover the turns of {loss_roles}")
 
         def row(rows):
             done = [(c, x[0], x[1].hexdigest(), x[2], x[3].hexdigest(), x[4], x[5]) for c, x in rows]
@@ -157,19 +182,24 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 if key != conv:
                     if now:
                         rows.append((conv, now))
-                    conv, now = key, [0, sha256(), 0, sha256(), 0, 0]
-                role, text = parse(piece)
-                now[0] += 1
-                now[1].update(f"{role}\n{text}\n".encode())
+                        ended()
+                    conv, now, rest, masked = key, [0, sha256(), 0, sha256(), 0, 0], "", sha256()
+                rest, done = rest + piece, 0
+                for role, text, done in split(rest):
+                    now[0] += 1
+                    now[1].update(f"{role}\n{text}\n".encode())
+                    if role in loss_roles:
+                        now[2] += len(text)
+                        now[3].update(text.encode())
+                rest = rest[done:]
                 if start is not None:
-                    loss = unescape(piece[start:end])
-                    now[2] += len(loss)
-                    now[3].update(loss.encode())
+                    masked.update(unescape(piece[start:end]).encode())
                 now[4] += len(piece)
                 now[5] += rewrites
             if rows:
                 yield row(rows)
         if now:
+            ended()
             yield row([(conv, now)])
 
     return formatted.select("conv_id", "piece", "loss_start", "loss_end", "rewrites").transform(in_batches, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StructType
 
-from .common import in_batches
+from .common import free, in_batches
 from .rolling import mix
 
 MARK = "▁"
@@ -242,7 +242,9 @@ def sampled_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text:
                    theta: float = 1.0, out: str = "pieces", lossless: str = "lossless") -> DataFrame:
     """All columns of ``docs``, ``out`` (array of int): one sampled segmentation of each text, and
     ``lossless``: whether it decodes to every byte of the text, as each task checks."""
-    rows = docs.drop(out, lossless).withColumn("__state", F.xxhash64(F.lit(seed), F.col(key).cast("string")))
+    rows = docs.drop(out, lossless)
+    state_name = free("__state", out, lossless, *rows.columns)
+    rows = rows.withColumn(state_name, F.xxhash64(F.lit(seed), F.col(key).cast("string")))
     schema = StructType([*rows.schema.fields]).add(out, ArrayType(IntegerType())).add(lossless, BooleanType())
     where, state = rows.columns.index(text), len(rows.columns) - 1
 
@@ -260,7 +262,7 @@ def sampled_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text:
                     [*batch.slice(part.start, part.stop - part.start).columns, pa.array(ids, pa.list_(pa.int32())),
                      pa.array(same, pa.bool_())], names=schema.names)
 
-    return rows.transform(in_batches, run, schema).drop("__state")
+    return rows.transform(in_batches, run, schema).drop(state_name)
 
 
 def decoded(rows: DataFrame, model_path: str, ids: str = "pieces", out: str = "decoded") -> DataFrame:

@@ -38,7 +38,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches, run_folder, written
+from .common import in_batches, run_folder, width, written
 
 # Member names, record names and signatures of the formats.
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -297,8 +297,10 @@ def read_packages(paths: DataFrame, with_payload: bool = False) -> DataFrame:
                 keep = 7 if with_payload else 6
                 yield pa.RecordBatch.from_arrays(columns[:keep], names[:keep])
 
-    found = paths.repartition("path").transform(in_batches, locate, "path string, at long, length long, sizes array<int>")
-    return found.repartition("path", "at").transform(in_batches, fetch, schema)
+    # a stated number, which is not merged: descriptors are tiny and say nothing of the bytes behind them
+    tasks = width(paths.sparkSession)
+    found = paths.repartition(tasks, "path").transform(in_batches, locate, "path string, at long, length long, sizes array<int>")
+    return found.repartition(tasks, "path", "at").transform(in_batches, fetch, schema)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:

@@ -51,7 +51,8 @@ def docs(spark, corpus):
 def clashing():
     """Names that the operators use inside, as further columns."""
     names = ("key kind blob fp rep component_id pair tree n words tokens seed at start item same piece ids part shard row "
-             "n_words n_removed ladders value level pos lang_pred score held_out place rank pieces decoded n_tokens a b u v m")
+             "n_words n_removed ladders value level pos lang_pred score held_out place rank pieces decoded n_tokens a b u v m "
+             "__state __lang_pred __score __n_words __n_removed __kept_sha256 k0 q t w h code per")
 
     def add(df):
         from pyspark.sql import functions as F

@@ -6,8 +6,9 @@ import struct
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
-from fleetlake.llm.chat import chatml, escape, format_turns, parse, read_back, turn_part, unescape
+from fleetlake.llm.chat import chatml, escape, format_turns, read_back, split, turn_part, unescape
 from fleetlake.llm.webarchive import data_offset, directory, package, ranges, read_packages, round_trip, write_packages
 
 
@@ -108,15 +109,15 @@ def test_escape_is_reversible():
     for _ in range(3000):
         text = "".join(rng.choice("<|\\>im_end\n\x01") for _ in range(rng.randrange(14)))
         assert unescape(escape(text)) == text and "<|" not in escape(text)
-        part, lo, hi, rewrites = turn_part(chatml, [("user", text)], "assi\n<|x", text)
-        assert parse(part) == ("assi\n<|x", text) and unescape(part[lo:hi]) == text and not rewrites
+        part, lo, hi, rewrites, longer = turn_part(chatml, [("user", text)], "assi\n<|x", text)
+        assert list(split(part)) == [("assi\n<|x", text, len(part))] and longer.endswith(part) and unescape(part[lo:hi]) == text and not rewrites
 
 
 def test_bounded_context_equals_whole_prefixes():
     turns = [("user", "a"), ("assistant", HOSTILE), ("user", ""), ("assistant", "b\n")]
     whole = ""
     for i, (role, text) in enumerate(turns):
-        assert turn_part(chatml, turns[:i], role, text) == turn_part(chatml, turns[max(0, i - 1):i], role, text)
+        assert turn_part(chatml, turns[:i], role, text)[:4] == turn_part(chatml, turns[max(0, i - 1):i], role, text)[:4]
         whole += turn_part(chatml, turns[:i], role, text)[0]
     assert whole == chatml(turns)
 
@@ -184,3 +185,47 @@ def test_digests_equal_brute_force(spark, clashing):
                 hashlib.sha256(loss.encode()).hexdigest(), len(out), 0)
         assert tuple(got[c])[1:] == want
     assert read_back(format_turns(frame.limit(0))).count() == 0
+
+
+def test_packages_are_read_by_many_tasks(spark, tmp_path):
+    from fleetlake.llm.webarchive import read_packages, write_packages
+    pages = spark.range(400).selectExpr("id as page_id", "concat('http://h/', id) as url", "repeat(uuid(), 300) as html").repartition(40)
+    back = read_packages(write_packages(pages, str(tmp_path / "w"), least=0))
+    assert back.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    busy = back.selectExpr("spark_partition_id() as p").distinct().count()
+    assert back.count() == 400 and busy > 3
+
+
+def test_turns_are_found_in_the_joined_output():
+    turns = [("user", "a\nb"), ("assistant", HOSTILE), ("", ""), ("assistant", "<|<\\|")]
+    whole = chatml(turns)
+    assert [t[:2] for t in split(whole)] == turns
+    for cut in range(len(whole)):   # a stretch that ends inside a turn gives the whole turns before it
+        found = list(split(whole[:cut]))
+        assert [t[:2] for t in found] == turns[:len(found)] and (not found or found[-1][2] <= cut)
+    for bad in ("x" + whole, whole.replace("<|im_end|>\n", "<|im_end|>", 1), "<|im_start|>user\nx<|im_start|>y"):
+        with pytest.raises(ValueError):
+            list(split(bad))
+
+
+@pytest.mark.parametrize("what", ["escape", "mask", "cut"])
+def test_read_back_notices_what_is_wrong_with_the_output(spark, monkeypatch, what):
+    from fleetlake.llm import chat
+
+    frame = spark.createDataFrame([(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)], "conv_id long, turn long, role string, text string")
+    if what == "escape":
+        monkeypatch.setattr(chat, "escape", lambda text: text)
+    done = format_turns(frame)
+    if what == "mask":
+        done = done.withColumn("loss_end", F.col("loss_end") - 1)
+    if what == "cut":
+        done = done.withColumn("piece", F.expr("substr(piece, 1, length(piece) - 1)"))
+    with pytest.raises(Exception, match="turn does not end|mask does not cover|no turn begins|ends inside a turn"):
+        read_back(done).collect()
+    if what == "cut":   # where the pieces are cut plays no part, only the output that they join to
+        rows = format_turns(frame).orderBy("place").collect()
+        whole = "".join(r["piece"] for r in rows)
+        moved = spark.createDataFrame([(-1, whole[:20], None, None, False), (-1, whole[20:], rows[1]["offset"] + rows[1]["loss_start"] - 20,
+                                                                              rows[1]["offset"] + rows[1]["loss_end"] - 20, False)],
+                                      "conv_id long, piece string, loss_start int, loss_end int, rewrites boolean").coalesce(1)
+        assert read_back(moved).first()["turns_sha256"] == read_back(format_turns(frame)).first()["turns_sha256"]

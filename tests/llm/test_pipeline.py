@@ -1,5 +1,6 @@
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from .test_classify_match import brute_matches, prose
 from .test_substring_simhash import brute_repeats, classes, fingerprint
@@ -64,7 +65,7 @@ def test_run_and_registration(spark, folder):
     out = __spark_entry__.queries()["pipeline"](spark, path)
     assert 0 < out.count() < len(rows)
     names = [q for q in __spark_entry__.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
 
 
 def test_stages_on_empty_tables(spark, folder):
@@ -73,3 +74,10 @@ def test_stages_on_empty_tables(spark, folder):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(stage(spark, docs, path), name)
         assert docs.count() == 0
+
+
+def test_without_labels_texts_with_letters_stay(spark, folder):
+    path, rows, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    got = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, path).collect()}
+    assert got == {r[0] for r in rows if any(c.isalpha() for c in r[1] or "")}

@@ -2,7 +2,9 @@
 
 Every stage takes all rows that its predecessor kept and returns the columns of
 ``documents`` (doc_id, text, lang, source, n_chars); the last adds the pieces.
-Rows with a null doc_id are dropped by the second stage.
+Rows with a null doc_id are dropped by the second stage.  Rows that repeat a
+doc_id are judged by that id and stay or go together.  Columns that a stage adds
+for itself get names that the table does not have.
 """
 
 from __future__ import annotations
@@ -10,18 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import table, written
+from fleetlake.llm.common import free, table, written
 
 MIN_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose language can't be told: null or without a letter, or scored below ``MIN_SCORE``."""
+    """Documents go whose language can't be told: null or without a letter, or scored below ``MIN_SCORE``.  Without
+    a single label to learn from no language can be told of any, and only those without a letter go."""
     from fleetlake.llm.language_id import UNKNOWN, fit, predict
 
-    columns, out = docs.columns, ("__lang_pred", "__score")
+    columns = docs.columns
+    out = (free("__lang_pred", *columns), free("__score", *columns))
     learn = docs.where((F.crc32(F.col("doc_id").cast("string")) % 4 != 2) & F.col("lang").isNotNull())
-    found = predict(docs, fit(learn), keep=tuple(c for c in columns if c not in ("doc_id", "text")), keep_text=True,
+    model = fit(learn)
+    if not model.classes:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = predict(docs, model, keep=tuple(c for c in columns if c not in ("doc_id", "text")), keep_text=True,
                     out=out)
     return found.where((F.col(out[0]) != UNKNOWN) & (F.col(out[1]) >= MIN_SCORE)).select(*columns)
 
@@ -39,7 +46,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     nothing of its text is left."""
     from fleetlake.llm.substring import cleaned
 
-    left = cleaned(docs, length=13, prefix="__").where("__n_words = 0 or __n_removed < __n_words")
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    left = cleaned(docs, length=13, prefix=prefix).where(f"{prefix}n_words = 0 or {prefix}n_removed < {prefix}n_words")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

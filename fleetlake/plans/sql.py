@@ -21,12 +21,10 @@ def register_views(spark: SparkSession, *, fact: DataFrame | None = None, dim_ro
 
 
 DELAY_REPORT = """
-WITH seconds AS (
-  SELECT route_short_name, route_long_name, avg(dl) AS late
-  FROM (FROM positions |> WHERE oday = :day |> SELECT route_id, dl) JOIN current_routes USING (route_id)
-  GROUP BY ALL)
-SELECT CAST(:day AS DATE) AS oday, route_short_name, route_long_name, round(late / 60, 2) AS avg_delay_min
-FROM seconds
+SELECT oday, route_short_name, route_long_name, round(avg(dl) / 60, 2) AS avg_delay_min
+FROM positions JOIN current_routes USING (route_id)
+WHERE oday = :day
+GROUP BY oday, route_short_name, route_long_name
 ORDER BY avg_delay_min DESC NULLS LAST, route_short_name, route_long_name LIMIT :n
 """
 
@@ -41,9 +39,7 @@ ORDER BY veh_to_stops_ratio DESC NULLS LAST, route_id LIMIT :n
 """
 
 PARTITION_REPORT = """
-FROM raw_events
-|> AGGREGATE count(*) AS event_count GROUP BY `partition` AS kafka_partition
-|> ORDER BY kafka_partition
+SELECT `partition` AS kafka_partition, count(*) AS event_count FROM raw_events GROUP BY `partition` ORDER BY kafka_partition
 """
 
 

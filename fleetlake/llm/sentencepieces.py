@@ -11,8 +11,8 @@ The text is taken as it is (no normalisation): a space becomes the piece mark,
 a mark that stands in the text itself is spelled in bytes, so that decoding
 gives back every byte.  As no piece has a mark after another character, the
 lattice falls apart before each run of marks (and around a spelled character) into
-words.  The different words of a block of texts are filtered side by side in
-numpy, then all their occurrences are sampled side by side.
+words.  The different words of a block of texts that have the same length are
+filtered side by side in numpy, then all their occurrences are sampled side by side.
 
 The draws depend on ``seed``, the row's key and the word's place alone: the same
 row gets the same segmentation on any partitioning, in any run.  A null key is
@@ -40,24 +40,26 @@ STEP, ADD, FULL = 6364136223846793005, 1442695040888963407, (1 << 64) - 1
 class Pieces:
     """Piece table of a model file, and the lattice over it."""
 
-    #: words longer than the last go one by one; each class is worked in blocks of so many different words
-    CLASSES = ((8, 10_000), (16, 3_000), (32, 1_000))
+    #: longer words go one by one; words of each length up to this are worked in blocks of about so many sums
+    LONGEST, CELLS = 32, 1 << 18
 
     def __init__(self, model_path: str, theta: float = 1.0):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         size = model.get_piece_size()
-        self.byte_id, self.raw, self.piece = [0] * 256, [b""] * size, {}
+        self.byte_id, raw, self.piece = [0] * 256, [b""] * size, {}
         for i in range(size):
             name = model.id_to_piece(i)
             if model.is_byte(i):
                 value = int(name[3:5], 16)
-                self.byte_id[value], self.raw[i] = i, bytes([value])
+                self.byte_id[value], raw[i] = i, bytes([value])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                self.raw[i] = name.replace(MARK, " ").encode()
+                raw[i] = name.replace(MARK, " ").encode()
                 rank = min(max(-model.get_score(i), 0.0), float(size))
                 self.piece[name] = (i, (rank + 2.0) ** -theta)
+        self.blob, self.width = np.frombuffer(b"".join(raw), np.uint8), np.array([len(b) for b in raw])
+        self.offset = np.cumsum(self.width) - self.width
         self.longest = max(map(len, self.piece))
         if any(MARK in name.lstrip(MARK) for name in self.piece):
             raise ValueError("a piece has a mark after another character: words can't be taken apart")
@@ -74,11 +76,14 @@ class Pieces:
             codes = "".join(names[i] for i in own).encode("utf-32-le")
             hashes[own] = self._hash(np.frombuffer(codes, "<u4").reshape(-1, n).astype(np.uint64))
         order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        self.ids = np.array([self.piece[n][0] for n in names], np.int32)[order]
-        self.weights = np.array([self.piece[n][1] for n in names])[order]
-        self.seen = np.zeros(1 << 22, bool)
-        self.seen[(self.hashes >> np.uint64(42)).astype(np.int64)] = True
+        # one more than there are, at which a search may end
+        self.hashes = np.append(hashes[order], np.uint64(FULL))
+        self.ids = np.append(np.array([self.piece[n][0] for n in names], np.int32)[order], np.int32(0))
+        self.weights = np.append(np.array([self.piece[n][1] for n in names])[order], 0.0)
+        self.seen = np.zeros(1 << 19, bool)
+        self.seen[hashes >> np.uint64(45)] = True
+        buckets = np.bincount((hashes >> np.uint64(46)).astype(np.int64), minlength=1 << 18)
+        self.deepest, self.bucket = int(buckets.max()), (np.cumsum(buckets) - buckets).astype(np.int32)
 
     @staticmethod
     def _hash(codes: np.ndarray) -> np.ndarray:
@@ -123,40 +128,52 @@ class Pieces:
             at = starts[k]
         return out
 
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are a piece's, and the piece's place in the table."""
+        which = np.flatnonzero(self.seen.take((h >> np.uint64(45)).view(np.int64)))
+        value = h.take(which)
+        place = self.bucket.take((value >> np.uint64(46)).view(np.int64))
+        for _ in range(self.deepest):
+            place += self.hashes.take(place) < value
+        hit = self.hashes.take(place) == value
+        return which[hit], place[hit]
+
     def _sums(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Forward filtering of words of up to ``n`` characters at once (code 0: none): for word, end and
-        piece length, the running sum and the piece's id."""
+        """Forward filtering of words of ``n`` characters at once: for word, end and piece length, the
+        running sum and the piece's id."""
         words, n = codes.shape
         reach = min(n, self.longest)
-        sums, ids = np.zeros((words, n + 1, reach + 1)), np.zeros((words, n + 1, reach + 1), np.int32)
-        h = np.zeros((words, n), np.uint64)
+        chars = np.ascontiguousarray(codes.T) + np.uint64(1)
+        # the words side by side in memory: every step below runs along them
+        sums, ids = np.zeros((reach + 1, n + 1, words)), np.zeros((reach + 1, n + 1, words), np.int32)
+        h = np.zeros((n, words), np.uint64)
         for size in range(1, reach + 1):
-            h = (h[:, :n - size + 1] + codes[:, size - 1:] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h[:n - size + 1] + chars[size - 1:]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-            row, start = np.nonzero(self.seen[(h >> np.uint64(42)).astype(np.int64)])
-            value = h[row, start]
-            place = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
-            hit = self.hashes[place] == value
-            row, end, place = row[hit], start[hit] + size, place[hit]
-            sums[row, end, size] = self.weights[place]
-            ids[row, end, size] = self.ids[place]
-        alpha = np.zeros((words, n + 1))
-        alpha[:, 0] = 1
+            which, place = self._find(h.reshape(-1))
+            sums[size, size:].reshape(-1)[which] = self.weights[place]
+            ids[size, size:].reshape(-1)[which] = self.ids[place]
+        alpha = np.ones((n + 1, words))
         for end in range(1, n + 1):
             far = min(end, reach)
-            sums[:, end, 1:far + 1] *= alpha[:, end - 1::-1][:, :far] if end > 1 else alpha[:, :1]
-            np.cumsum(sums[:, end, :], axis=1, out=sums[:, end, :])
-            alpha[:, end] = sums[:, end, -1]
-        return sums, ids
+            for size in range(1, far + 1):
+                sums[size, end] *= alpha[end - size]
+                sums[size, end] += sums[size - 1, end]
+            sums[far + 1:, end] = alpha[end] = sums[far, end]
+        return np.ascontiguousarray(sums.transpose(2, 1, 0)), np.ascontiguousarray(ids.transpose(2, 1, 0))
 
-    def _draw(self, sums, ids, word, length, x) -> tuple[list, np.ndarray]:
+    def _draw(self, sums, ids, word, x) -> tuple[list, np.ndarray]:
         """Backward sampling of many words at once: per step (which, id), and the number of pieces."""
-        which, at, steps, count = np.arange(len(word)), length.astype(np.int64), [], np.zeros(len(word), np.int64)
+        ends, sizes = sums.shape[1:]
+        rows, flat = sums.reshape(-1, sizes), ids.reshape(-1)
+        which, at = np.arange(len(word)), np.full(len(word), ends - 1)
+        steps, count = [], np.zeros(len(word), np.int64)
         while len(which):
-            mine = sums[word[which], at]
+            row = word[which] * ends + at
+            mine = rows.take(row, axis=0)
             draw = ((x >> np.uint64(11)) + np.uint64(1)).astype(np.float64) * 2.0 ** -53 * mine[:, -1]
             size = np.argmax(mine >= draw[:, None], axis=1)
-            steps.append((which, ids[word[which], at, size]))
+            steps.append((which, flat.take(row * sizes + size)))
             count[which] += 1
             at = at - size
             x = x * np.uint64(STEP) + np.uint64(ADD)
@@ -187,25 +204,22 @@ class Pieces:
         state = mix(mix(number.astype(np.uint64) + np.array(keys, np.uint64)[text]))
         count, filled = np.ones(len(first), np.int64), []
         spelled = np.flatnonzero(kind[first] == 0)
-        shortest = 0
-        for longest, block in self.CLASSES:
-            own = np.flatnonzero((length > shortest) & (length <= longest) & (kind[first] != 0))
-            shortest = longest
-            if not len(own):
-                continue
-            at = first[own][:, None] + np.arange(longest)
-            inside = np.arange(longest) < length[own][:, None]
-            codes = np.where(inside, code[np.minimum(at, len(code) - 1)], 0).astype(np.uint64)
-            _, example, word = np.unique(self._hash(codes), return_index=True, return_inverse=True)
-            order = np.argsort(word, kind="stable")
-            bounds = np.searchsorted(word[order], np.arange(0, len(example) + block, block))
-            for k, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                some = order[lo:hi]
-                sums, ids = self._sums(codes[example[k * block:(k + 1) * block]])
-                steps, n = self._draw(sums, ids, word[some] - k * block, length[own[some]], state[own[some]])
-                count[own[some]] = n
-                filled.append((own[some], steps))
-        for i in np.flatnonzero((length > shortest) & (kind[first] != 0)):
+        plain = kind[first] != 0
+        for n in np.unique(length[plain & (length <= self.LONGEST)]).tolist():
+            own = np.flatnonzero(plain & (length == n))
+            codes = code[first[own][:, None] + np.arange(n)].astype(np.uint64)
+            hashes = self._hash(codes)
+            order = np.argsort(hashes, kind="stable")
+            new = np.append(True, np.diff(hashes[order]) != 0)
+            word, example = np.cumsum(new) - 1, np.flatnonzero(new)
+            block = max(1, self.CELLS // ((n + 1) * (min(n, self.longest) + 1)))
+            for lo in range(0, len(example), block):
+                some = slice(example[lo], example[lo + block] if lo + block < len(example) else len(order))
+                which = own[order[some]]
+                sums, ids = self._sums(codes[order[example[lo:lo + block]]])
+                steps, count[which] = self._draw(sums, ids, word[some] - lo, state[which])
+                filled.append((which, steps))
+        for i in np.flatnonzero(plain & (length > self.LONGEST)):
             found = self.sample("".join(map(chr, code[first[i]:first[i] + length[i]])), int(state[i]))
             count[i] = len(found)
             filled.append((np.array([i]), [(np.array([0]), np.array([x])) for x in found]))
@@ -222,11 +236,15 @@ class Pieces:
         edges = np.append(0, stop)[last]
         return np.split(out, edges[:-1])
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.raw.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray) -> bytes:
+        width = self.width[ids]
+        stop = np.cumsum(width)
+        at = np.repeat(self.offset[ids] - stop + width, width)
+        at += np.arange(len(at))
+        return self.blob[at].tobytes()
 
 
-def by_size(texts: list, limit: int = 1 << 19) -> Iterator[slice]:
+def by_size(texts: list, limit: int = 1 << 20) -> Iterator[slice]:
     """Slices of ``texts`` of about ``limit`` characters."""
     lo = size = 0
     for i, t in enumerate(texts):

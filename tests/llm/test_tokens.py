@@ -113,6 +113,26 @@ def test_side_by_side_draws_equal_the_plain_lattice():
     assert p.encode([], []) == []
 
 
+def test_words_are_filtered_at_their_own_length(monkeypatch):
+    """No sums for characters that a word does not have; any length draws as the plain lattice does."""
+    from fleetlake.llm.rolling import mix
+
+    p, seen = Pieces(MODEL), []
+    own = Pieces._sums
+    monkeypatch.setattr(Pieces, "_sums", lambda self, codes: (seen.append(codes), own(self, codes))[1])
+    monkeypatch.setattr(Pieces, "CELLS", 2000, raising=False)
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("aeinrst▁é"), n)).replace("▁", "o") for n in range(1, 40) for _ in range(6)]
+    words += words[:50]
+    got = p.encode([" " + w for w in words], list(range(len(words))))
+    for key, (w, ids) in enumerate(zip(words, got, strict=True)):
+        state = int(mix(mix(np.array([key], np.uint64)))[0])
+        assert ids.tolist() == p.sample("▁" + w, state & FULL)[::-1]
+        assert p.decode(ids) == (" " + w).encode()
+    assert seen and all((codes != 0).all() for codes in seen)
+    assert sum(len(codes) for codes in seen) == len({w for w in words if len(w) < Pieces.LONGEST})
+
+
 def test_draws_follow_the_lattice():
     from collections import Counter
     from itertools import product

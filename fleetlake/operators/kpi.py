@@ -6,8 +6,9 @@ The same definitions serve batch and streaming:
   (and per vehicle / route), then fan each pane out to the
   ``window/slide`` windows that contain it and merge.  Partial sums and
   counts are exact; the fan-out multiplies the already reduced pane rows,
-  not the raw events.  Distinct vehicles are exact (pane x vehicle rows are
-  merged per window), or approximate with mergeable HLL sketches.
+  not the raw events.  Distinct vehicles are exact (of a vehicle's panes each
+  counts it in the windows that hold no earlier one, so vehicles are summed up
+  per pane before the fan-out), or approximate with mergeable HLL sketches.
 * ``method="window"``: Spark's ``window(ts, window, slide)`` (Expand of every
   row); the only form Structured Streaming accepts.
 """
@@ -19,9 +20,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlake.functions.exprs import epoch_seconds
 from fleetlake.operators.silver import filter_delay_outliers
 
 THRESHOLDS = (60, 120, 180)
+DAY_S = 86400
 
 
 def kpi_input(df: DataFrame, max_abs: int = 1800) -> DataFrame:
@@ -33,14 +36,40 @@ def _panes(df: DataFrame, ts: str, slide_s: int) -> Column:
     return F.window(F.col(ts), f"{slide_s} seconds").start
 
 
-def _fan_out(panes: DataFrame, window_s: int, slide_s: int) -> DataFrame:
-    """Each pane row -> one row per window containing it (``window_start``)."""
+def _n_panes(window_s: int, slide_s: int) -> int:
     if window_s % slide_s:
         raise ValueError("panes need window a multiple of slide; use method='window'")
-    n = window_s // slide_s
+    return window_s // slide_s
+
+
+def _fan_out(panes: DataFrame, window_s: int, slide_s: int) -> DataFrame:
+    """Each pane row -> one row per window containing it (``window_start``), the ``_k``-th before the pane's own."""
+    n = _n_panes(window_s, slide_s)
     return (panes.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
             .withColumn("window_start", F.timestamp_add("SECOND", -F.col("_k") * slide_s, F.col("pane")))
-            .drop("_k", "pane"))
+            .drop("pane"))
+
+
+def _with_reach(pv: DataFrame, window_s: int, slide_s: int) -> DataFrame:
+    """``(pane, _veh)`` rows and ``_reach``: how many of the windows that hold the pane hold no earlier pane of the
+    vehicle (those that start last).
+
+    The windows of a vehicle are so counted once each without a row per window
+    and vehicle.  The pane before is looked up within time slices of a day (of
+    a window, if longer), each begun by copies of the panes before it that share
+    a window with it, so a vehicle's history of any length is dealt to many tasks.
+    """
+    n = _n_panes(window_s, slide_s)
+    if n == 1:
+        return pv.withColumn("_reach", F.lit(1).cast("long"))
+    per = max(n, DAY_S // slide_s)
+    at = F.col("_at")
+    own = F.floor(at / per)
+    earlier = at - F.lag("_at").over(Window.partitionBy("_veh", "_slice").orderBy("_at"))
+    return (pv.withColumn("_at", F.floor(epoch_seconds("pane") / slide_s))
+            .withColumn("_slice", F.explode(F.when((own + 1) * per - at < n, F.array(own, own + 1)).otherwise(F.array(own))))
+            .withColumn("_reach", F.least(F.lit(n).cast("long"), F.coalesce(earlier, F.lit(n).cast("long"))))
+            .filter(F.col("_slice") == own).drop("_at", "_slice"))
 
 
 def _with_end(df: DataFrame, window_s: int) -> DataFrame:
@@ -80,10 +109,12 @@ def kpi_windows(df: DataFrame, *, ts: str = "tst", vehicle: str = "vehicle_numbe
         win = (_fan_out(panes, window_s, slide_s).groupBy("window_start")
                .agg(F.hll_sketch_estimate(F.hll_union_agg("sk")).alias("active_vehicles"), *merge))
     else:
-        # (pane, vehicle) first: a vehicle reporting every second is one row per pane
+        # (pane, vehicle) first: a vehicle reporting every second is one row per pane; then, whatever the number
+        # of vehicles, at most one row per pane and reach
         pv = df.groupBy(_panes(df, ts, slide_s).alias("pane"), F.col(vehicle).alias("_veh")).agg(*sums)
-        wv = _fan_out(pv, window_s, slide_s).groupBy("window_start", "_veh").agg(*merge)
-        win = wv.groupBy("window_start").agg(F.count("_veh").alias("active_vehicles"), *merge)
+        panes = _with_reach(pv, window_s, slide_s).groupBy("pane", "_reach").agg(F.count("_veh").alias("_vehicles"), *merge)
+        first = F.when(F.col("_k") < F.col("_reach"), F.col("_vehicles")).otherwise(0)
+        win = _fan_out(panes, window_s, slide_s).groupBy("window_start").agg(F.sum(first).alias("active_vehicles"), *merge)
     return (_with_end(win, window_s)
             .select("window_start", "window_end", "active_vehicles",
                     F.try_divide(F.col("s_spd"), F.col("n_spd")).alias("avg_speed"),

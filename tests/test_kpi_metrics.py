@@ -1,6 +1,7 @@
 """KPI windows: pane pre-aggregation equals Spark's sliding window; gauges and extremes."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -27,6 +28,24 @@ def test_panes_equal_sliding_window(spark):
     assert _rows(K.route_delay_windows(df)) == _rows(K.route_delay_windows(df, method="window"))
 
 
+def test_distinct_vehicles_without_a_row_per_window_and_vehicle(spark):
+    """Gaps of every length, panes at both sides of midnight, repeated reports, unnamed vehicles and reports without time."""
+    rng, rows = random.Random(4), []
+    for v in ("a", "b", "c", None):
+        t = T(2024, 1, 1, 22, 0)
+        while t < T(2024, 1, 3, 1, 0):
+            t += dt.timedelta(seconds=rng.choice([1, 15, 60, 250, 299, 300, 301, 4000]))
+            rows += [(t, v, "R", rng.randrange(80) / 8, rng.randrange(-300, 300))] * rng.choice([1, 1, 2])
+    rows += [(T(2024, 1, 1, 23, 59, 59), "d", "R", 1.0, 5), (T(2024, 1, 2), "d", "R", 2.0, 5), (None, "e", "R", 1.0, 0)]
+    df = spark.createDataFrame(rows, "tst timestamp_ntz, vehicle_number string, route_id string, spd double, dl int").repartition(3)
+    for slide in (30, 100, None):
+        got = K.kpi_windows(df, slide_s=slide)
+        assert _rows(got) == _rows(K.kpi_windows(df, slide_s=slide, method="window"))
+    lines = K.kpi_windows(df)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    grouped = [line for line in lines if "Aggregate [window_start" in line]
+    assert grouped and not any("_veh#" in line.split("]")[0] for line in grouped)
+
+
 def test_approx_distinct_close_to_exact(spark):
     df = _positions(spark)
     ex = {r["window_start"]: r["active_vehicles"] for r in K.kpi_windows(df).collect()}

@@ -84,3 +84,42 @@ def test_fact_append_reads_only_touched_days(spark, fact_table):
     filters = [ln.split("PartitionFilters: [")[1].split("]")[0] for ln in plan.split("\n")
                if "FileScan" in ln and "PartitionFilters: [" in ln]
     assert any("oday" in f for f in filters)
+
+
+def test_reports_write_only_the_gold_tables_they_read(spark, tmp_path):
+    """A report on the fact alone writes no dimension; the dimensions are written whole once a report reads them."""
+    import datetime as dt
+    import math
+    import os
+
+    import pyarrow.parquet as pq
+
+    start, sf = dt.datetime(2024, 1, 8, 6), str(tmp_path)
+    events = [(i, start + dt.timedelta(seconds=37 * i), i % 7, "view", (i * 13 % 80) + 0.5, '{"k": %d}' % (i % 9)) for i in range(1, 120)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(f"{sf}/events.parquet")
+    spark.createDataFrame([(i, f"name {i}", "b", "t", i % 5) for i in range(20)],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{sf}/part.parquet")
+    base = f"{spark.conf.get('spark.checkpoint.dir')}/fleetlake-runs"
+    before = set(os.listdir(base)) if os.path.exists(base) else set()
+
+    def written():
+        return sorted(t for run in set(os.listdir(base)) - before for t in os.listdir(f"{base}/{run}"))
+
+    want = {}
+    for i, _, user, _, value, _ in events:
+        if i % 50:
+            want.setdefault(f"R{user}", []).append(abs(math.floor(value * 5) - 200 + (i % 20 == 0)))
+    got = {r["route_id"]: r for r in Q.QUERIES["route_on_time"](spark, sf).collect()}
+    assert got.keys() == want.keys()
+    for route, delays in want.items():
+        assert got[route]["events"] == len(delays)
+        assert got[route]["on_time_ratio_2"] == pytest.approx(sum(d <= 120 for d in delays) / len(delays))
+    assert written() == ["bronze", "fact_vehicle_position"]
+    run = next(r for r in set(os.listdir(base)) - before if os.path.exists(f"{base}/{r}/bronze"))
+    raw = next(f for f in os.listdir(f"{base}/{run}/bronze") if f.endswith(".parquet"))
+    assert pq.ParquetFile(f"{base}/{run}/bronze/{raw}").metadata.row_group(0).column(0).compression == "ZSTD"
+
+    assert Q.dim_stops(spark, sf).count() == 20 and Q.dim_routes(spark, sf).count() > 0
+    Q.QUERIES["route_on_time"](spark, sf).collect()
+    assert written() == ["bronze", "dim_routes", "dim_stops", "fact_vehicle_position"]
